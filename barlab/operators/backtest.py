@@ -2,18 +2,17 @@
 
 A rule set turns session bars into per-bar signals and, for each signal bar,
 the plan of a trade entered at the next bar's open (F15).  The simulator
-(F16 + F17) walks each session once with ``aggregate`` over the
-session's ts-sorted bar array:
-
-* flat: a signal on bar ``i`` (after the last exit) opens a trade at ``i+1``;
-  a signal on the last bar opens nothing; an invalid risk skips the bar;
-* open: from the bar after the entry bar on, the stop is checked first, then
-  the +1R partial (stop moves to entry), then the extensions (same bar
-  allowed); a trade still open after the last bar closes at its close (EOD).
-
-The fold is O(bars) per session and runs in the JVM; a session is one
-``(symbol, dt)`` group, bounded by the bar resolution, so a hot symbol only
-adds sessions, never a bigger group.
+works on each session's ts-sorted bar array, in the JVM:
+
+* outcome (F16): for a planned entry, first-hit searches after the entry
+  bar -- stop vs +1R target (stop wins a tie), then break-even stop vs
+  extensions (stop wins a tie) -- or end of day at the last close;
+* choice (F17): a greedy ``aggregate`` over the signal bars takes a signal
+  when it lies after the previous exit and its plan is valid.
+
+A session is one ``(symbol, dt)`` group, bounded by the bar resolution, so a
+hot symbol only adds sessions, never a bigger group.  No pairs of bars are
+ever materialised as rows.
 """
 
 from __future__ import annotations
@@ -165,93 +164,102 @@ def add_entry_plan(df: DataFrame, rs: RuleSet, lo: str = "lo", hi: str = "hi",
 _BAR_FIELDS = ["idx", "ts", "high", "low", "close", "sig", "has_next", "valid", "e_ts", "e_open",
                "R", "stop", "tp1", "ext1", "ext2", "n1", "n2"]
 
-_STATE = T.StructType([
-    T.StructField("open", T.BooleanType()), T.StructField("side", T.IntegerType()),
-    T.StructField("e_idx", T.IntegerType()), T.StructField("e_ts", T.TimestampType()),
-    T.StructField("entry", T.DoubleType()), T.StructField("R", T.DoubleType()),
-    T.StructField("stop_lvl", T.DoubleType()), T.StructField("tp1", T.DoubleType()),
-    T.StructField("ext1", T.DoubleType()), T.StructField("ext2", T.DoubleType()),
-    T.StructField("n1", T.StringType()), T.StructField("n2", T.StringType()),
-    T.StructField("filled", T.BooleanType()), T.StructField("last_exit", T.IntegerType()),
-    T.StructField("last_idx", T.IntegerType()), T.StructField("last_ts", T.TimestampType()),
-    T.StructField("last_close", T.DoubleType()),
-    T.StructField("trades", T.ArrayType(TRADE)),
-])
-
-
-def _trade(acc, exit_idx, exit_ts, reason, exit_price, pnl) -> Column:
-    return F.struct(
-        acc["e_idx"].alias("idx_in"), acc["e_ts"].alias("ts_in"),
-        F.when(acc["side"] == 1, F.lit("LONG")).otherwise(F.lit("SHORT")).alias("side"),
-        acc["entry"].alias("entry"), acc["R"].alias("R"),
-        exit_idx.cast("int").alias("exit_idx"), exit_ts.alias("exit_ts"),
-        reason.alias("exit_reason"), exit_price.alias("exit_price"), pnl.alias("pnl_R"))
-
-
-def _step(acc, x, be_label: bool) -> Column:
-    side = acc["side"]
-    active = acc["open"] & (x["idx"] > acc["e_idx"])
-    stop_hit = active & F.when(side == 1, x["low"] <= acc["stop_lvl"]).otherwise(x["high"] >= acc["stop_lvl"])
-    fill_now = (active & ~stop_hit & ~acc["filled"]
-                & F.when(side == 1, x["high"] >= acc["tp1"]).otherwise(x["low"] <= acc["tp1"]))
-    filled = acc["filled"] | fill_now
-    stop_lvl = F.when(fill_now, acc["entry"]).otherwise(acc["stop_lvl"])
-    hit1 = active & ~stop_hit & filled & F.when(side == 1, x["high"] >= acc["ext1"]).otherwise(x["low"] <= acc["ext1"])
-    hit2 = active & ~stop_hit & filled & F.when(side == 1, x["high"] >= acc["ext2"]).otherwise(x["low"] <= acc["ext2"])
-    target = F.when(hit1, acc["ext1"]).otherwise(acc["ext2"])
-    half_r = F.lit(0.5) * acc["R"]
-    stop_rec = _trade(
-        acc, x["idx"], x["ts"],
-        F.when(acc["filled"], F.lit("STOP_BE" if be_label else "STOP")).otherwise(F.lit("STOP")),
-        acc["stop_lvl"],
-        F.when(acc["filled"], (half_r - half_r) / acc["R"]).otherwise((-half_r - half_r) / acc["R"]))
-    gain = F.when(side == 1, target - acc["entry"]).otherwise(acc["entry"] - target)
-    tp_rec = _trade(acc, x["idx"], x["ts"],
-                    F.concat(F.lit("TP"), F.when(hit1, acc["n1"]).otherwise(acc["n2"])),
-                    target, (half_r + F.lit(0.5) * gain) / acc["R"])
-    tp_exit = hit1 | hit2
-    close_now = stop_hit | tp_exit
-    rec = F.when(stop_hit, stop_rec).otherwise(tp_rec)
-    open_new = ~acc["open"] & (x["idx"] > acc["last_exit"]) & (x["sig"] != 0) & x["has_next"] & x["valid"]
-
-    def pick(new, old):
-        return F.when(open_new, new).otherwise(old)
-
-    return F.struct(
-        F.when(acc["open"], ~close_now).otherwise(open_new).alias("open"),
-        pick(x["sig"], side).alias("side"),
-        pick(x["idx"] + 1, acc["e_idx"]).alias("e_idx"),
-        pick(x["e_ts"], acc["e_ts"]).alias("e_ts"),
-        pick(x["e_open"], acc["entry"]).alias("entry"),
-        pick(x["R"], acc["R"]).alias("R"),
-        pick(x["stop"], stop_lvl).alias("stop_lvl"),
-        pick(x["tp1"], acc["tp1"]).alias("tp1"),
-        pick(x["ext1"], acc["ext1"]).alias("ext1"),
-        pick(x["ext2"], acc["ext2"]).alias("ext2"),
-        pick(x["n1"], acc["n1"]).alias("n1"),
-        pick(x["n2"], acc["n2"]).alias("n2"),
-        F.when(open_new, F.lit(False)).otherwise(acc["open"] & ~close_now & filled).alias("filled"),
-        F.when(close_now, x["idx"]).otherwise(acc["last_exit"]).alias("last_exit"),
-        x["idx"].alias("last_idx"), x["ts"].alias("last_ts"), x["close"].alias("last_close"),
-        F.when(close_now, F.concat(acc["trades"], F.array(rec))).otherwise(acc["trades"]).alias("trades"),
-    )
-
-
-def _finish(acc) -> Column:
-    side = acc["side"]
-    move = F.when(side == 1, acc["last_close"] - acc["entry"]).otherwise(acc["entry"] - acc["last_close"])
-    half = F.lit(0.5) * move
-    pnl = F.when(acc["filled"], (F.lit(0.5) * acc["R"] + half) / acc["R"]).otherwise((half + half) / acc["R"])
-    eod = _trade(acc, acc["last_idx"], acc["last_ts"], F.lit("EOD"), acc["last_close"], pnl)
-    return F.when(acc["open"], F.concat(acc["trades"], F.array(eod))).otherwise(acc["trades"])
-
-
-def _init() -> Column:
-    empty = F.array().cast(T.ArrayType(TRADE))
-    vals = {"open": F.lit(False), "side": F.lit(0), "e_idx": F.lit(-1), "filled": F.lit(False),
-            "last_exit": F.lit(-1), "last_idx": F.lit(-1), "trades": empty}
-    return F.struct(*[(vals[f.name] if f.name in vals else F.lit(None)).cast(f.dataType).alias(f.name)
-                      for f in _STATE.fields])
+
+def _first(bars: Column, after: Column, cond) -> Column:
+    """Position of the first bar with ``idx > after`` meeting ``cond`` (NULL if none)."""
+    return F.try_element_at(F.filter(bars, lambda b: (b["idx"] > after) & cond(b)), F.lit(1))["idx"]
+
+
+def outcomes(plans: Column, bars: Column, be_label: bool = False) -> Column:
+    """Bracket outcomes of planned entries: ``array<struct<i, ok, trade>>``.
+
+    ``plans`` holds entry plans (fields of :func:`add_entry_plan`, ``idx`` =
+    signal bar); ``bars`` is the session's ts-sorted array (``idx`` =
+    position).  First hits are searched only after the entry bar: stop ``s``
+    vs +1R target ``t`` (the stop wins a tie); after ``t`` the break-even
+    stop ``b`` (bars after ``t``) vs the extensions ``x`` (from ``t`` on; ``b``
+    wins a tie); else end of day at the last bar's close.  The work is staged
+    through ``transform`` so each search runs once per plan.
+    """
+    def hit_stop(p, lvl):
+        return lambda b: F.when(p["sig"] == 1, b["low"] <= lvl).otherwise(b["high"] >= lvl)
+
+    def hit_up(p, lvl):
+        return lambda b: F.when(p["sig"] == 1, b["high"] >= lvl).otherwise(b["low"] <= lvl)
+
+    s1 = F.transform(plans, lambda p: F.struct(
+        p.alias("p"),
+        _first(bars, p["idx"] + 1, hit_stop(p, p["stop"])).alias("s"),
+        _first(bars, p["idx"] + 1, hit_up(p, p["tp1"])).alias("t")))
+    s2 = F.transform(s1, lambda q: F.struct(
+        q["p"].alias("p"), q["s"].alias("s"), q["t"].alias("t"),
+        (q["s"].isNotNull() & (q["t"].isNull() | (q["s"] <= q["t"]))).alias("stopped"),
+        _first(bars, q["t"], hit_stop(q["p"], q["p"]["e_open"])).alias("b"),
+        _first(bars, q["t"] - 1, lambda b: hit_up(q["p"], q["p"]["ext1"])(b) | hit_up(q["p"], q["p"]["ext2"])(b))
+        .alias("x")))
+    s3 = F.transform(s2, lambda q: F.struct(
+        q["p"].alias("p"), q["stopped"].alias("stopped"),
+        (~q["stopped"] & q["t"].isNotNull()).alias("filled"),
+        (~q["stopped"] & q["t"].isNotNull() & q["b"].isNotNull()
+         & (q["x"].isNull() | (q["b"] <= q["x"]))).alias("be_stop"),
+        F.when(q["stopped"], q["s"]).when(q["t"].isNotNull() & q["b"].isNotNull()
+                                          & (q["x"].isNull() | (q["b"] <= q["x"])), q["b"])
+         .when(q["t"].isNotNull(), q["x"]).alias("exit_hit")))
+
+    def final(q):
+        p = q["p"]
+        long_ = p["sig"] == 1
+        entry, r = p["e_open"], p["R"]
+        last = F.element_at(bars, -1)
+        tp = q["filled"] & ~q["be_stop"] & q["exit_hit"].isNotNull()
+        exit_idx = F.coalesce(q["exit_hit"], last["idx"])
+        xbar = F.element_at(bars, exit_idx + 1)
+        hit1 = F.when(long_, xbar["high"] >= p["ext1"]).otherwise(xbar["low"] <= p["ext1"])
+        target = F.when(hit1, p["ext1"]).otherwise(p["ext2"])
+        half_r = F.lit(0.5) * r
+        gain = F.when(long_, target - entry).otherwise(entry - target)
+        move = F.when(long_, last["close"] - entry).otherwise(entry - last["close"])
+        half = F.lit(0.5) * move
+        reason = (F.when(q["stopped"], F.lit("STOP"))
+                   .when(q["be_stop"], F.lit("STOP_BE" if be_label else "STOP"))
+                   .when(tp, F.concat(F.lit("TP"), F.when(hit1, p["n1"]).otherwise(p["n2"])))
+                   .otherwise(F.lit("EOD")))
+        price = (F.when(q["stopped"], p["stop"]).when(q["be_stop"], entry).when(tp, target)
+                  .otherwise(last["close"]))
+        pnl = (F.when(q["stopped"], (-half_r - half_r) / r)
+                .when(q["be_stop"], (half_r - half_r) / r)
+                .when(tp, (half_r + F.lit(0.5) * gain) / r)
+                .when(q["filled"], (half_r + half) / r)
+                .otherwise((half + half) / r))
+        trade = F.struct(
+            (p["idx"] + 1).cast("int").alias("idx_in"), p["e_ts"].alias("ts_in"),
+            F.when(long_, F.lit("LONG")).otherwise(F.lit("SHORT")).alias("side"),
+            entry.alias("entry"), r.alias("R"), exit_idx.cast("int").alias("exit_idx"),
+            xbar["ts"].alias("exit_ts"), reason.alias("exit_reason"), price.alias("exit_price"),
+            pnl.alias("pnl_R"))
+        return F.struct(p["idx"].alias("i"), (p["has_next"] & p["valid"]).alias("ok"), trade.alias("trade"))
+
+    return F.transform(s3, final)
+
+
+def _empty_trades() -> Column:
+    return F.array().cast(T.ArrayType(TRADE))
+
+
+def take_non_overlapping(cands: Column, trade_of=lambda c: c) -> Column:
+    """Greedy left-to-right choice (F17): a candidate signal on bar ``i`` is
+    taken when ``i`` is after the last exit and its plan is valid; the trade's
+    exit then blocks later candidates.  ``cands`` is in ascending bar order;
+    ``trade_of(c)`` gives ``struct(i, ok, trade)`` for an element."""
+    init = F.struct(F.lit(-1).alias("last_exit"), _empty_trades().alias("trades"))
+
+    def step(acc, c):
+        o = trade_of(c)
+        take = (o["i"] > acc["last_exit"]) & o["ok"]
+        return F.struct(F.when(take, o["trade"]["exit_idx"]).otherwise(acc["last_exit"]).alias("last_exit"),
+                        F.when(take, F.concat(acc["trades"], F.array(o["trade"]))).otherwise(acc["trades"])
+                        .alias("trades"))
+    return F.aggregate(cands, init, step, lambda acc: acc["trades"])
 
 
 def simulate(plan: DataFrame, keys: Sequence[str] = SESSION_KEYS, be_label: bool = False,
@@ -259,14 +267,15 @@ def simulate(plan: DataFrame, keys: Sequence[str] = SESSION_KEYS, be_label: bool
     """Trades of each session: one row per trade (F16 + F17).
 
     ``plan`` holds one row per kept bar with the columns of
-    :func:`add_entry_plan`.  ``extra_keys`` (e.g. a parameter id) are carried
-    as additional group keys.
+    :func:`add_entry_plan`.  Per session: the outcome of every signal bar's
+    plan (first-hit searches inside the session array), then the greedy
+    non-overlapping choice.  ``extra_keys`` are carried as group keys.
     """
     gk = [*extra_keys, *keys]
-    bars = F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in _BAR_FIELDS])))
-    per_session = plan.groupBy(*gk).agg(bars.alias("bars"))
-    trades = F.aggregate("bars", _init(), lambda acc, x: _step(acc, x, be_label), _finish)
-    out = per_session.select(*gk, F.explode(trades).alias("t"))
+    item = F.struct(*[F.col(c) for c in _BAR_FIELDS])
+    per_session = plan.groupBy(*gk).agg(F.sort_array(F.collect_list(item)).alias("bars"))
+    outs = outcomes(F.filter("bars", lambda x: x["sig"] != 0), F.col("bars"), be_label)
+    out = per_session.select(*gk, F.explode(take_non_overlapping(outs)).alias("t"))
     return out.select(*gk, "t.*")
 
 

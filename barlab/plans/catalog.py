@@ -6,5 +6,5 @@ from barlab.plans.registry import REGISTRY, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from barlab.plans import q_backtest, q_indicators  # noqa: F401
+    from barlab.plans import q_backtest, q_indicators, q_metrics  # noqa: F401
     return dict(REGISTRY)

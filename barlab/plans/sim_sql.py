@@ -100,9 +100,13 @@ _REC = ["emit", "r_idx_in", "r_ts_in", "r_side", "r_entry", "r_R", "r_exit_ts",
         "r_exit_price", "r_pnl"]
 
 
-def sim_cte(be_label: bool) -> str:
+def sim_cte(be_label: bool, keys: tuple[str, ...] = ("symbol", "dt")) -> str:
+    ks = ", ".join(keys)
+    sk = ", ".join(f"s.{k}" for k in keys)
+    zk = ", ".join(f"z.{k}" for k in keys)
+    on = " AND ".join(f"p.{k} = s.{k}" for k in keys)
     anchor = (
-        "SELECT DISTINCT symbol, dt, -1 AS idx, false AS open, 0 AS side, -1 AS e_idx, "
+        f"SELECT DISTINCT {ks}, -1 AS idx, false AS open, 0 AS side, -1 AS e_idx, "
         "CAST(NULL AS TIMESTAMP) AS e_ts, CAST(NULL AS DOUBLE) AS entry, CAST(NULL AS DOUBLE) AS R, "
         "CAST(NULL AS DOUBLE) AS stop_lvl, CAST(NULL AS DOUBLE) AS tp1, CAST(NULL AS DOUBLE) AS ext1, "
         "CAST(NULL AS DOUBLE) AS ext2, CAST(NULL AS VARCHAR) AS n1, CAST(NULL AS VARCHAR) AS n2, "
@@ -111,13 +115,13 @@ def sim_cte(be_label: bool) -> str:
         "CAST(NULL AS TIMESTAMP) AS r_ts_in, CAST(NULL AS INTEGER) AS r_side, CAST(NULL AS DOUBLE) AS r_entry, "
         "CAST(NULL AS DOUBLE) AS r_R, CAST(NULL AS TIMESTAMP) AS r_exit_ts, CAST(NULL AS VARCHAR) AS r_reason, "
         "CAST(NULL AS DOUBLE) AS r_exit_price, CAST(NULL AS DOUBLE) AS r_pnl FROM pl")
-    t = ("SELECT s.symbol, s.dt, s.open, s.side, s.e_idx, s.e_ts, s.entry, s.R, s.stop_lvl, s.tp1, "
+    t = (f"SELECT {sk}, s.open, s.side, s.e_idx, s.e_ts, s.entry, s.R, s.stop_lvl, s.tp1, "
          "s.ext1, s.ext2, s.n1, s.n2, s.filled, s.last_exit, p.idx AS x_idx, p.ts AS x_ts, p.high AS x_high, "
          "p.low AS x_low, p.close AS x_close, p.sig AS x_sig, p.has_next AS x_has_next, p.valid AS x_valid, "
          "p.e_ts AS x_e_ts, p.e_open AS x_e_open, p.R AS x_R, p.stop AS x_stop, p.tp1 AS x_tp1, "
          "p.ext1 AS x_ext1, p.ext2 AS x_ext2, p.n1 AS x_n1, p.n2 AS x_n2, "
          "(s.open AND p.idx > s.e_idx) AS active "
-         "FROM sim s JOIN pl p ON p.symbol = s.symbol AND p.dt = s.dt AND p.idx = s.idx + 1")
+         f"FROM sim s JOIN pl p ON {on} AND p.idx = s.idx + 1")
     u = ("SELECT t.*, (t.active AND CASE WHEN t.side = 1 THEN t.x_low <= t.stop_lvl "
          f"ELSE t.x_high >= t.stop_lvl END) AS stop_hit FROM ({t}) t")
     v = ("SELECT u.*, (u.active AND NOT u.stop_hit AND NOT u.filled AND CASE WHEN u.side = 1 "
@@ -144,7 +148,7 @@ def sim_cte(be_label: bool) -> str:
         f"ELSE (0.5 * z.R + 0.5 * ({gain})) / z.R END AS r_pnl")
     pick = lambda new, old: f"CASE WHEN z.open_new THEN {new} ELSE {old} END"
     step = (
-        "SELECT z.symbol, z.dt, z.x_idx AS idx, "
+        f"SELECT {zk}, z.x_idx AS idx, "
         "CASE WHEN z.open THEN NOT z.close_now ELSE z.open_new END AS open, "
         f"{pick('z.x_sig', 'z.side')} AS side, {pick('z.x_idx + 1', 'z.e_idx')} AS e_idx, "
         f"{pick('z.x_e_ts', 'z.e_ts')} AS e_ts, {pick('z.x_e_open', 'z.entry')} AS entry, "
@@ -158,25 +162,31 @@ def sim_cte(be_label: bool) -> str:
     return f"sim AS ({anchor} UNION ALL {step})"
 
 
-def trades_sql(rs: RuleSet, tail: str | None = None) -> str:
-    """Trade rows (``TRADE_COLS``) of one rule set; ``tail`` may add CTEs/selects
-    over the CTE ``trades``."""
-    be_label = rs.kind in ("C", "D")
-    ctes = prepared_ctes(rs) + plan_ctes(rs) + [sim_cte(be_label)]
+def trades_cte(be_label: bool, keys: tuple[str, ...] = ("symbol", "dt")) -> list[str]:
+    """``sim`` and ``trades`` CTEs over a plan CTE ``pl`` keyed by ``keys``."""
+    ks = ", ".join(keys)
+    sk = ", ".join(f"s.{k}" for k in keys)
+    on = " AND ".join(f"m.{k} = s.{k}" for k in keys)
     eod_move = "CASE WHEN side = 1 THEN last_close - entry ELSE entry - last_close END"
     trades = (
         "trades AS ("
-        "SELECT symbol, dt, r_ts_in AS ts_in, CASE WHEN r_side = 1 THEN 'LONG' ELSE 'SHORT' END AS side, "
+        f"SELECT {ks}, r_ts_in AS ts_in, CASE WHEN r_side = 1 THEN 'LONG' ELSE 'SHORT' END AS side, "
         "r_entry AS entry, r_R AS R, r_exit_ts AS exit_ts, r_reason AS exit_reason, "
         "r_exit_price AS exit_price, r_pnl AS pnl_R FROM sim WHERE emit "
         "UNION ALL "
-        "SELECT s.symbol, s.dt, s.e_ts, CASE WHEN s.side = 1 THEN 'LONG' ELSE 'SHORT' END, s.entry, s.R, "
+        f"SELECT {sk}, s.e_ts, CASE WHEN s.side = 1 THEN 'LONG' ELSE 'SHORT' END, s.entry, s.R, "
         "s.last_ts, 'EOD', s.last_close, "
         f"CASE WHEN s.filled THEN (0.5 * s.R + 0.5 * ({eod_move})) / s.R "
         f"ELSE (0.5 * ({eod_move}) + 0.5 * ({eod_move})) / s.R END "
-        "FROM sim s JOIN (SELECT symbol, dt, max(idx) AS mi FROM pl GROUP BY symbol, dt) m "
-        "ON m.symbol = s.symbol AND m.dt = s.dt AND s.idx = m.mi WHERE s.open)")
-    ctes.append(trades)
+        f"FROM sim s JOIN (SELECT {ks}, max(idx) AS mi FROM pl GROUP BY {ks}) m "
+        f"ON {on} AND s.idx = m.mi WHERE s.open)")
+    return [sim_cte(be_label, keys), trades]
+
+
+def trades_sql(rs: RuleSet, tail: str | None = None) -> str:
+    """Trade rows (``TRADE_COLS``) of one rule set; ``tail`` may add CTEs/selects
+    over the CTE ``trades``."""
+    ctes = prepared_ctes(rs) + plan_ctes(rs) + trades_cte(rs.kind in ("C", "D"))
     body = "WITH RECURSIVE " + ",\n".join(ctes)
     if tail is None:
         sel = ", ".join(f"round({c}, 6) AS {c}" if c in TRADE_DOUBLES else c for c in TRADE_COLS)
