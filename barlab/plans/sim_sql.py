@@ -192,3 +192,86 @@ def trades_sql(rs: RuleSet, tail: str | None = None) -> str:
         sel = ", ".join(f"round({c}, 6) AS {c}" if c in TRADE_DOUBLES else c for c in TRADE_COLS)
         return body + f"\nSELECT {sel} FROM trades"
     return body + "\n" + tail
+
+
+def zigzag_ctes(mult: float, src: str = "zin") -> list[str]:
+    """Recursive CTE ``zz`` stepping the rolling impulse through each session
+    (``src`` has symbol, dt, idx, close, atr_filled)."""
+    m = float(mult)
+    thr = f"({m!r} * coalesce(p.atr_filled, 0.0))"
+    c = "p.close"
+    up_new = f"{c} >= s.piv + {thr}"
+    dn_new = f"{c} <= s.piv - {thr}"
+    d = (f"CASE WHEN s.d IS NULL THEN (CASE WHEN {up_new} THEN 'up' WHEN {dn_new} THEN 'down' END) "
+         f"WHEN s.d = 'up' THEN (CASE WHEN {c} > s.last THEN 'up' WHEN s.last - {c} >= {thr} THEN 'down' ELSE 'up' END) "
+         f"ELSE (CASE WHEN {c} < s.last THEN 'down' WHEN {c} - s.last >= {thr} THEN 'up' ELSE 'down' END) END")
+    piv = (f"CASE WHEN s.d = 'up' AND NOT ({c} > s.last) AND s.last - {c} >= {thr} THEN {c} "
+           f"WHEN s.d = 'down' AND NOT ({c} < s.last) AND {c} - s.last >= {thr} THEN {c} ELSE s.piv END")
+    lo = (f"CASE WHEN s.d IS NULL THEN (CASE WHEN {up_new} THEN s.piv WHEN {dn_new} THEN {c} ELSE s.imp_lo END) "
+          f"WHEN s.d = 'up' THEN (CASE WHEN {c} > s.last THEN s.imp_lo WHEN s.last - {c} >= {thr} THEN {c} "
+          f"ELSE s.imp_lo END) ELSE (CASE WHEN {c} < s.last THEN {c} ELSE s.imp_lo END) END")
+    hi = (f"CASE WHEN s.d IS NULL THEN (CASE WHEN {up_new} THEN {c} WHEN {dn_new} THEN s.piv ELSE s.imp_hi END) "
+          f"WHEN s.d = 'up' THEN (CASE WHEN {c} > s.last THEN {c} ELSE s.imp_hi END) "
+          f"ELSE (CASE WHEN {c} < s.last THEN s.imp_hi WHEN {c} - s.last >= {thr} THEN {c} ELSE s.imp_hi END) END")
+    last = (f"CASE WHEN s.d IS NULL THEN (CASE WHEN {up_new} OR {dn_new} THEN {c} ELSE s.last END) "
+            f"WHEN s.d = 'up' THEN (CASE WHEN {c} > s.last OR s.last - {c} >= {thr} THEN {c} ELSE s.last END) "
+            f"ELSE (CASE WHEN {c} < s.last OR {c} - s.last >= {thr} THEN {c} ELSE s.last END) END")
+    return [
+        f"zz AS (SELECT symbol, dt, -1 AS idx, CAST(NULL AS VARCHAR) AS d, close AS piv, close AS imp_lo, "
+        f"close AS imp_hi, close AS last FROM {src} WHERE idx = 0 "
+        f"UNION ALL SELECT s.symbol, s.dt, p.idx, {d}, {piv}, {lo}, {hi}, {last} "
+        f"FROM zz s JOIN {src} p ON p.symbol = s.symbol AND p.dt = s.dt AND p.idx = s.idx + 1)"]
+
+
+def rolling_ctes(rs: RuleSet) -> list[str]:
+    """Rule set D up to the plan CTE ``pl`` (levels read at the entry bar)."""
+    base = prepared_ctes(replace_kind(rs, "C"))
+    base = base[:base.index(next(c for c in base if c.startswith("x1 AS")))]
+    m = float(rs.atr_mult_stop)
+    pad = float(rs.zone_pad_frac)
+    up = "ema_fast > ema_slow"
+    dn = "ema_fast < ema_slow"
+    if rs.allow_slope_or:
+        up, dn = f"({up} OR slope > 0)", f"({dn} OR slope < 0)"
+    c = base + [
+        f"zin AS (SELECT *, coalesce(atr, first_value(atr IGNORE NULLS) OVER ({PI} ROWS BETWEEN CURRENT ROW AND "
+        f"UNBOUNDED FOLLOWING), last_value(atr IGNORE NULLS) OVER ({PI} ROWS BETWEEN UNBOUNDED PRECEDING AND "
+        f"CURRENT ROW)) AS atr_filled, ema_fast - lag(ema_fast, 3) OVER ({PI}) AS slope FROM f)",
+        *zigzag_ctes(rs.zz_atr_mult),
+        "r0 AS (SELECT zin.*, zz.d AS zz_dir, zz.imp_lo, zz.imp_hi, nullif(zz.imp_hi - zz.imp_lo, 0.0) AS rng "
+        "FROM zin JOIN zz ON zz.symbol = zin.symbol "
+        "AND zz.dt = zin.dt AND zz.idx = zin.idx)",
+        f"r1 AS (SELECT *, least(imp_lo + {float(rs.retr_low)!r} * rng, imp_lo + {float(rs.retr_high)!r} * rng) "
+        f"- abs(rng) * {pad!r} AS zone_lo, greatest(imp_lo + {float(rs.retr_low)!r} * rng, imp_lo + "
+        f"{float(rs.retr_high)!r} * rng) + abs(rng) * {pad!r} AS zone_hi FROM r0)",
+        "r2 AS (SELECT *, coalesce(low <= zone_hi AND high >= zone_lo, false) AS in_zone FROM r1)",
+        f"r3 AS (SELECT *, in_zone AND NOT coalesce(lag(in_zone) OVER ({PI}), false) AS fresh FROM r2)",
+        f"sg AS (SELECT *, CASE WHEN coalesce(zz_dir = 'up' AND fresh AND {up} AND rsi >= {rs.rsi_long}, false) "
+        f"THEN 1 WHEN coalesce(zz_dir = 'down' AND fresh AND {dn} AND rsi <= {rs.rsi_short}, false) THEN -1 "
+        "ELSE 0 END AS sig FROM r3)",
+        f"pl0 AS (SELECT *, lead(idx) OVER ({PI}) IS NOT NULL AS has_next, lead(ts) OVER ({PI}) AS e_ts, "
+        f"lead(open) OVER ({PI}) AS e_open, coalesce(lead(atr) OVER ({PI}), 0.0) AS e_atr, "
+        f"lead(imp_lo) OVER ({PI}) AS e_lo, lead(imp_hi) OVER ({PI}) AS e_hi FROM sg)",
+        f"pl1 AS (SELECT *, CASE WHEN sig = 1 THEN e_lo - {m!r} * e_atr WHEN sig = -1 THEN e_hi + {m!r} * e_atr END "
+        "AS stop FROM pl0)",
+        "pl2 AS (SELECT *, abs(e_open - stop) AS R FROM pl1)",
+    ]
+    e127 = "CASE WHEN sig = 1 THEN e_hi + 0.272 * (e_hi - e_lo) ELSE e_lo - 0.272 * (e_hi - e_lo) END"
+    e161 = "CASE WHEN sig = 1 THEN e_hi + 0.618 * (e_hi - e_lo) ELSE e_lo - 0.618 * (e_hi - e_lo) END"
+    ext = {"127": e127, "161": e161}
+    p1, p2 = rs.ext_pref
+    c.append(f"pl AS (SELECT *, coalesce(R > 0 AND e_lo IS NOT NULL AND e_hi IS NOT NULL AND e_lo <> e_hi, false) "
+             f"AS valid, e_open + sig * R AS tp1, {ext[p1]} AS ext1, {ext[p2]} AS ext2, '{p1}' AS n1, '{p2}' AS n2 "
+             "FROM pl2)")
+    return c
+
+
+def replace_kind(rs: RuleSet, kind: str) -> RuleSet:
+    from dataclasses import replace
+    return replace(rs, kind=kind)
+
+
+def rolling_trades_sql(rs: RuleSet) -> str:
+    ctes = rolling_ctes(rs) + trades_cte(True)
+    sel = ", ".join(f"round({c}, 6) AS {c}" if c in TRADE_DOUBLES else c for c in TRADE_COLS)
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"\nSELECT {sel} FROM trades"
