@@ -191,8 +191,9 @@ def session_vwap(df: DataFrame, out: str = "vwap_intraday", *,
 
 def pct_return(df: DataFrame, src: str = "close", out: str = "return_1m", *,
                keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> DataFrame:
-    """One-bar simple return ``x/prev - 1``; first row of each series NULL."""
-    return df.withColumn(out, F.col(src) / F.lag(src).over(series_window(keys, order)) - F.lit(1.0))
+    """One-bar simple return ``x/prev - 1``; first row of each series NULL.
+    A zero previous value gives NULL (not an ANSI error, not infinity)."""
+    return df.withColumn(out, F.try_divide(F.col(src), F.lag(src).over(series_window(keys, order))) - F.lit(1.0))
 
 
 def fill_back_then_forward(df: DataFrame, src: str, out: str | None = None, *,

@@ -66,7 +66,7 @@ def eod_flag(et: Column, hour: int = 15, minute: int = 55) -> Column:
 
 def safe_div(a: Column, b: Column) -> Column:
     """Division with a zero denominator giving NULL."""
-    return a / F.nullif(b, F.lit(0.0))
+    return F.try_divide(a, F.nullif(b, F.lit(0.0)))
 
 
 def path_symbol(path: Column) -> Column:

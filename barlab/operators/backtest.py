@@ -226,11 +226,11 @@ def outcomes(plans: Column, bars: Column, be_label: bool = False) -> Column:
                    .otherwise(F.lit("EOD")))
         price = (F.when(q["stopped"], p["stop"]).when(q["be_stop"], entry).when(tp, target)
                   .otherwise(last["close"]))
-        pnl = (F.when(q["stopped"], (-half_r - half_r) / r)
-                .when(q["be_stop"], (half_r - half_r) / r)
-                .when(tp, (half_r + F.lit(0.5) * gain) / r)
-                .when(q["filled"], (half_r + half) / r)
-                .otherwise((half + half) / r))
+        pnl = (F.when(q["stopped"], F.try_divide(-half_r - half_r, r))
+                .when(q["be_stop"], F.try_divide(half_r - half_r, r))
+                .when(tp, F.try_divide(half_r + F.lit(0.5) * gain, r))
+                .when(q["filled"], F.try_divide(half_r + half, r))
+                .otherwise(F.try_divide(half + half, r)))
         trade = F.struct(
             (p["idx"] + 1).cast("int").alias("idx_in"), p["e_ts"].alias("ts_in"),
             F.when(long_, F.lit("LONG")).otherwise(F.lit("SHORT")).alias("side"),

@@ -108,6 +108,6 @@ def perf_metrics(daily: DataFrame, instrument: Sequence[str], src: str = "day_R"
     final = F.lit(1.0) + F.sum(src) / F.lit(100.0)
     return d.groupBy(*instrument).agg(
         (F.avg(F.when(F.col(src) > 0, 1.0).otherwise(0.0)) * 100.0).alias("win_pct"),
-        (F.avg(src) / F.stddev_samp(src) * F.lit(periods_per_year ** 0.5)).alias("sharpe"),
+        (F.try_divide(F.avg(src), F.stddev_samp(src)) * F.lit(periods_per_year ** 0.5)).alias("sharpe"),
         F.min("dd").alias("max_dd"),
         F.when(final > 0, F.pow(final, F.lit(1.0) / span_years) - F.lit(1.0)).alias("cagr"))

@@ -170,7 +170,7 @@ def q_return_1m(spark, sf):
 
 
 register("return_1m", sql=sql_final(with_bars()
-         + f" SELECT symbol, ts, close, close / lag(close) OVER ({SESSION}) - 1.0 AS return_1m FROM bars",
+         + f" SELECT symbol, ts, close, close / nullif(lag(close) OVER ({SESSION}), 0.0) - 1.0 AS return_1m FROM bars",
          ["symbol", "ts", "close", "return_1m"], ["close", "return_1m"]))(q_return_1m)
 
 

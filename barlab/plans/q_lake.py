@@ -30,7 +30,7 @@ _ET = "timezone('America/New_York', ts AT TIME ZONE 'UTC')"
 _GOLD_CTE = (f"gold AS (SELECT ts AS utc_timestamp, {_ET} AS et, CASE WHEN (hour({_ET}) > 9 OR (hour({_ET}) = 9 "
              f"AND minute({_ET}) >= 30)) AND (hour({_ET}) < 16 OR (hour({_ET}) = 16 AND minute({_ET}) = 0)) "
              "THEN 'RTH' ELSE 'AH' END AS session, open, high, low, close, volume, num_trades, vwap, "
-             "close / lag(close) OVER (PARTITION BY symbol, dt ORDER BY ts) - 1.0 AS return_1m, symbol, resolution, dt "
+             "close / nullif(lag(close) OVER (PARTITION BY symbol, dt ORDER BY ts), 0.0) - 1.0 AS return_1m, symbol, resolution, dt "
              "FROM silver)")
 GOLD_COLS = ["utc_timestamp", "et", "session", "open", "high", "low", "close", "volume", "num_trades", "vwap",
              "return_1m", "symbol", "resolution", "dt"]

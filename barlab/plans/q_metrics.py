@@ -151,7 +151,7 @@ register("perf_metrics", sql=sim_sql.trades_sql(
     "CURRENT ROW) AS equity FROM dl), pp AS (SELECT *, equity - max(equity) OVER (PARTITION BY symbol ORDER BY dt "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS dd FROM pe), "
     "g AS (SELECT symbol, avg(CASE WHEN day_R > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) * 100.0 AS win_pct, "
-    "avg(day_R) / stddev_samp(day_R) * sqrt(252) AS sharpe, min(dd) AS max_dd, "
+    "avg(day_R) / nullif(stddev_samp(day_R), 0.0) * sqrt(252) AS sharpe, min(dd) AS max_dd, "
     "1.0 + sum(day_R) / 100.0 AS fin, greatest(date_diff('day', min(dt), max(dt)), 1) / 365.25 AS yrs "
     "FROM pp GROUP BY symbol) "
     "SELECT symbol, round(win_pct, 6) AS win_pct, round(sharpe, 6) AS sharpe, round(max_dd, 6) AS max_dd, "
