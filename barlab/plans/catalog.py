@@ -6,5 +6,5 @@ from barlab.plans.registry import REGISTRY, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from barlab.plans import q_backtest, q_indicators, q_lake, q_metrics, q_stream, q_swings  # noqa: F401
+    from barlab.plans import q_backtest, q_goals, q_indicators, q_lake, q_metrics, q_stream, q_swings  # noqa: F401
     return dict(REGISTRY)
