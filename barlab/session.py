@@ -68,3 +68,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/barlab/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def object_store_settings(endpoint: str, access_key: str, secret_key: str, *, path_style: bool = True,
+                          ssl: bool | None = None, region: str | None = None) -> dict[str, str]:
+    """``spark.hadoop.fs.s3a.*`` settings for an S3-compatible store.
+
+    The scheme is stripped from ``endpoint`` (``http://host:9000`` ->
+    ``host:9000``) and decides SSL unless ``ssl`` is given.  Pass the result to
+    ``SparkSession.builder.config(map=...)``; credentials are the caller's.
+    """
+    scheme, _, host = endpoint.partition("://")
+    if not host:
+        scheme, host = "", endpoint
+    use_ssl = (scheme == "https") if ssl is None else ssl
+    conf = {
+        "spark.hadoop.fs.s3a.endpoint": host.rstrip("/"),
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(bool(path_style)).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(bool(use_ssl)).lower(),
+    }
+    if region:
+        conf["spark.hadoop.fs.s3a.endpoint.region"] = region
+    return conf
