@@ -55,25 +55,27 @@ def with_index(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, order: str = "
     return df.withColumn(name, (F.row_number().over(series_window(keys, order)) - 1).cast("int"))
 
 
+def smooth_expr(x: Column, alpha: float, *, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
+                idx: str = "idx", start: int = 0) -> Column:
+    """Closed-form exponential smoothing of ``x`` as one Column (window inline).
+
+    ``x`` must not itself contain a window function; rows before series
+    position ``start`` give NULL, as pandas leaves leading NaN."""
+    i = F.col(idx) - F.lit(start)
+    if alpha >= 1.0:
+        return F.when(i >= 0, x)
+    q = 1.0 - alpha
+    term = F.when(i == 0, x).when(i > 0, F.lit(alpha) * F.pow(F.lit(q), -i) * x)
+    return F.when(i >= 0, F.pow(F.lit(q), i) * F.sum(term).over(running(series_window(keys, order))))
+
+
 def smooth(df: DataFrame, src: str, out: str, alpha: float, *,
            keys: Sequence[str] = SESSION_KEYS, order: str = "ts", idx: str = "idx",
            start: int = 0) -> DataFrame:
     """Exponential smoothing of ``src`` seeded at series position ``start``.
 
-    Rows before ``start`` (e.g. the first row of a diff) give NULL, as pandas
-    leaves leading NaN.  Requires ``idx`` from :func:`with_index`.
-    """
-    x = F.col(src)
-    if alpha >= 1.0:
-        return df.withColumn(out, F.when(F.col(idx) >= start, x))
-    q = 1.0 - alpha
-    i = F.col(idx) - F.lit(start)
-    term = F.when(i == 0, x).when(i > 0, F.lit(alpha) * F.pow(F.lit(q), -i) * x)
-    tmp = f"_{out}_wsum"
-    w = running(series_window(keys, order))
-    return (df.withColumn(tmp, F.sum(term).over(w))
-              .withColumn(out, F.when(i >= 0, F.pow(F.lit(q), i) * F.col(tmp)))
-              .drop(tmp))
+    Requires ``idx`` from :func:`with_index`."""
+    return df.withColumn(out, smooth_expr(F.col(src), alpha, keys=keys, order=order, idx=idx, start=start))
 
 
 def ema(df: DataFrame, src: str, span: int, out: str | None = None, **kw) -> DataFrame:
@@ -81,6 +83,12 @@ def ema(df: DataFrame, src: str, span: int, out: str | None = None, **kw) -> Dat
     return smooth(df, src, out or f"ema_{span}", 2.0 / (span + 1.0), **kw)
 
 
+def emas(df: DataFrame, src: str, spans: Sequence[int], names: Sequence[str] | None = None, **kw) -> DataFrame:
+    """Several EMAs of one column in a single projection."""
+    names = names or [f"ema_{n}" for n in spans]
+    return df.withColumns({nm: smooth_expr(F.col(src), 2.0 / (n + 1.0), **kw) for nm, n in zip(names, spans)})
+
+
 def wilder(df: DataFrame, src: str, n: int, out: str, **kw) -> DataFrame:
     """Wilder smoothing, ``alpha = 1/n``."""
     return smooth(df, src, out, 1.0 / n, **kw)
@@ -102,14 +110,12 @@ def bollinger(df: DataFrame, src: str = "close", n: int = 20, k: float = 2.0, *,
     """Bollinger bands (W4: ddof=0, full windows; W5: ddof=1, min_periods=1)."""
     min_periods = n if min_periods is None else min_periods
     w = series_window(keys, order).rowsBetween(-(n - 1), CUR)
-    cnt = F.count(src).over(w)
+    ok = F.count(src).over(w) >= min_periods
     sd = (F.stddev_pop if ddof == 0 else F.stddev_samp)(src).over(w)
-    mid = F.when(cnt >= min_periods, F.avg(src).over(w))
-    return (df.withColumn(f"{prefix}_mid", mid)
-              .withColumn(f"_{prefix}_sd", F.when(cnt >= min_periods, sd))
-              .withColumn(f"{prefix}_upper", F.col(f"{prefix}_mid") + F.lit(k) * F.col(f"_{prefix}_sd"))
-              .withColumn(f"{prefix}_lower", F.col(f"{prefix}_mid") - F.lit(k) * F.col(f"_{prefix}_sd"))
-              .drop(f"_{prefix}_sd"))
+    mid = F.avg(src).over(w)
+    return df.withColumns({f"{prefix}_mid": F.when(ok, mid),
+                           f"{prefix}_upper": F.when(ok, mid + F.lit(k) * sd),
+                           f"{prefix}_lower": F.when(ok, mid - F.lit(k) * sd)})
 
 
 def diff(df: DataFrame, src: str, out: str, periods: int = 1, *,
@@ -117,6 +123,26 @@ def diff(df: DataFrame, src: str, out: str, periods: int = 1, *,
     return df.withColumn(out, F.col(src) - F.lag(src, periods).over(series_window(keys, order)))
 
 
+def rsi_inputs(src: str = "close", variant: str = "null", *, keys: Sequence[str] = SESSION_KEYS,
+               order: str = "ts") -> tuple[Column, Column]:
+    """Per-bar gain and loss of ``src`` (lag inline)."""
+    d = F.col(src) - F.lag(src).over(series_window(keys, order))
+    if variant == "eps":
+        return (F.when(d > 0, d).otherwise(F.lit(0.0)), F.when(d < 0, -d).otherwise(F.lit(0.0)))
+    return F.greatest(d, F.lit(0.0)), F.greatest(-d, F.lit(0.0))
+
+
+def rsi_expr(up: str, dn: str, n: int = 14, variant: str = "null", **kw) -> Column:
+    """RSI from gain/loss columns (both smoothings inline)."""
+    start = 0 if variant == "eps" else 1
+    au = smooth_expr(F.col(up), 1.0 / n, start=start, **kw)
+    ad = smooth_expr(F.col(dn), 1.0 / n, start=start, **kw)
+    if variant == "eps":
+        return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / (ad + F.lit(1e-9)))
+    val = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / F.nullif(ad, F.lit(0.0)))
+    return F.coalesce(val, F.lit(50.0)) if variant == "fill50" else val
+
+
 def rsi(df: DataFrame, src: str = "close", n: int = 14, out: str | None = None, *,
         variant: str = "null", keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
         idx: str = "idx") -> DataFrame:
@@ -128,36 +154,23 @@ def rsi(df: DataFrame, src: str = "close", n: int = 14, out: str | None = None,
     * ``"eps"`` (W8): row-0 gain = loss = 0 (seed at row 0); ``rs = up/(dn+1e-9)``.
     """
     out = out or f"rsi_{n}"
-    kw = dict(keys=keys, order=order, idx=idx)
-    d = f"_{out}_d"
-    df = diff(df, src, d, keys=keys, order=order)
-    if variant == "eps":
-        up = F.when(F.col(d) > 0, F.col(d)).otherwise(F.lit(0.0))
-        dn = F.when(F.col(d) < 0, -F.col(d)).otherwise(F.lit(0.0))
-        start = 0
-    else:
-        up = F.greatest(F.col(d), F.lit(0.0))
-        dn = F.greatest(-F.col(d), F.lit(0.0))
-        start = 1
-    df = df.withColumn(f"_{out}_up", up).withColumn(f"_{out}_dn", dn)
-    df = wilder(df, f"_{out}_up", n, f"_{out}_au", start=start, **kw)
-    df = wilder(df, f"_{out}_dn", n, f"_{out}_ad", start=start, **kw)
-    au, ad = F.col(f"_{out}_au"), F.col(f"_{out}_ad")
-    if variant == "eps":
-        val = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / (ad + F.lit(1e-9)))
-    else:
-        val = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / F.nullif(ad, F.lit(0.0)))
-        if variant == "fill50":
-            val = F.coalesce(val, F.lit(50.0))
-    return df.withColumn(out, val).drop(d, f"_{out}_up", f"_{out}_dn", f"_{out}_au", f"_{out}_ad")
+    up, dn = rsi_inputs(src, variant, keys=keys, order=order)
+    tu, td = f"_{out}_up", f"_{out}_dn"
+    df = df.withColumns({tu: up, td: dn})
+    df = df.withColumn(out, rsi_expr(tu, td, n, variant, keys=keys, order=order, idx=idx))
+    return df.drop(tu, td)
 
 
-def true_range(df: DataFrame, out: str = "tr", *, keys: Sequence[str] = SESSION_KEYS,
-               order: str = "ts") -> DataFrame:
+def true_range_expr(*, keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> Column:
     """max(|h-l|, |h-pc|, |l-pc|); a NULL previous close is skipped."""
     pc = F.lag("close").over(series_window(keys, order))
     h, l = F.col("high"), F.col("low")
-    return df.withColumn(out, F.greatest(F.abs(h - l), F.abs(h - pc), F.abs(l - pc)))
+    return F.greatest(F.abs(h - l), F.abs(h - pc), F.abs(l - pc))
+
+
+def true_range(df: DataFrame, out: str = "tr", *, keys: Sequence[str] = SESSION_KEYS,
+               order: str = "ts") -> DataFrame:
+    return df.withColumn(out, true_range_expr(keys=keys, order=order))
 
 
 def atr(df: DataFrame, n: int = 14, out: str | None = None, **kw) -> DataFrame:
@@ -165,19 +178,17 @@ def atr(df: DataFrame, n: int = 14, out: str | None = None, **kw) -> DataFrame:
     out = out or f"atr_{n}"
     tr = f"_{out}_tr"
     wkw = {k: v for k, v in kw.items() if k in ("keys", "order")}
-    df = true_range(df, tr, **wkw)
-    return wilder(df, tr, n, out, **kw).drop(tr)
+    df = df.withColumn(tr, true_range_expr(**wkw))
+    return df.withColumn(out, smooth_expr(F.col(tr), 1.0 / n, **kw)).drop(tr)
 
 
 def macd(df: DataFrame, src: str = "close", fast: int = 12, slow: int = 26, signal: int = 9,
          **kw) -> DataFrame:
     """MACD line, signal (EMA of the line) and histogram."""
-    df = ema(df, src, fast, "_macd_f", **kw)
-    df = ema(df, src, slow, "_macd_s", **kw)
-    df = df.withColumn("macd", F.col("_macd_f") - F.col("_macd_s"))
-    df = ema(df, "macd", signal, "macd_signal", **kw)
-    return (df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-              .drop("_macd_f", "_macd_s"))
+    line = smooth_expr(F.col(src), 2.0 / (fast + 1.0), **kw) - smooth_expr(F.col(src), 2.0 / (slow + 1.0), **kw)
+    df = df.withColumn("macd", line)
+    df = df.withColumn("macd_signal", smooth_expr(F.col("macd"), 2.0 / (signal + 1.0), **kw))
+    return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
 def session_vwap(df: DataFrame, out: str = "vwap_intraday", *,
@@ -223,6 +234,6 @@ def drawdown_cols(df: DataFrame, src: str, *, keys: Sequence[str], order: Sequen
                   prefix: str = "") -> DataFrame:
     """Running sum (equity), running peak and drawdown ``eq - peak``."""
     w = running(Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)))
-    return (df.withColumn(f"{prefix}equity", F.sum(src).over(w))
-              .withColumn(f"{prefix}peak", F.max(f"{prefix}equity").over(w))
-              .withColumn(f"{prefix}dd", F.col(f"{prefix}equity") - F.col(f"{prefix}peak")))
+    df = df.withColumn(f"{prefix}equity", F.sum(src).over(w))
+    peak = F.max(f"{prefix}equity").over(w)
+    return df.withColumns({f"{prefix}peak": peak, f"{prefix}dd": F.col(f"{prefix}equity") - peak})

@@ -73,11 +73,16 @@ RULE_D = replace(RULE_C, kind="D", zz_atr_mult=1.5)
 def add_indicators(df: DataFrame, rs: RuleSet) -> DataFrame:
     """EMA fast/slow, RSI (NULL variant) and ATR over the full session."""
     kw = dict(keys=rs.keys)
-    df = ind.with_index(df, rs.keys)
-    df = ind.ema(df, "close", rs.ema_fast, "ema_fast", **kw)
-    df = ind.ema(df, "close", rs.ema_slow, "ema_slow", **kw)
-    df = ind.rsi(df, "close", rs.rsi_len, "rsi", variant="null", **kw)
-    return ind.atr(df, rs.atr_len, "atr", **kw)
+    up, dn = ind.rsi_inputs("close", "null", keys=rs.keys)
+    df = df.withColumns({
+        "idx": (F.row_number().over(ind.series_window(rs.keys)) - 1).cast("int"),
+        "_up": up, "_dn": dn, "_tr": ind.true_range_expr(keys=rs.keys)})
+    df = df.withColumns({
+        "ema_fast": ind.smooth_expr(F.col("close"), 2.0 / (rs.ema_fast + 1.0), **kw),
+        "ema_slow": ind.smooth_expr(F.col("close"), 2.0 / (rs.ema_slow + 1.0), **kw),
+        "rsi": ind.rsi_expr("_up", "_dn", rs.rsi_len, "null", **kw),
+        "atr": ind.smooth_expr(F.col("_tr"), 1.0 / rs.atr_len, **kw)})
+    return df.drop("_up", "_dn", "_tr")
 
 
 def session_bars(bars: DataFrame, rs: RuleSet) -> DataFrame:
@@ -139,25 +144,21 @@ def add_entry_plan(df: DataFrame, rs: RuleSet, lo: str = "lo", hi: str = "hi",
         lo_c, hi_c = F.lead(lo).over(w), F.lead(hi).over(w)
     else:
         lo_c, hi_c = F.col(lo), F.col(hi)
-    df = (df.withColumn("has_next", F.lead("idx").over(w).isNotNull())
-            .withColumn("e_ts", F.lead("ts").over(w))
-            .withColumn("e_open", F.lead("open").over(w))
-            .withColumn("e_atr", e_atr)
-            .withColumn("e_lo", lo_c).withColumn("e_hi", hi_c))
+    df = df.withColumns({"has_next": F.lead("idx").over(w).isNotNull(), "e_ts": F.lead("ts").over(w),
+                         "e_open": F.lead("open").over(w), "e_atr": e_atr, "e_lo": lo_c, "e_hi": hi_c})
     stop = F.when(side == 1, F.col("e_lo") - F.lit(rs.atr_mult_stop) * F.col("e_atr")) \
             .when(side == -1, F.col("e_hi") + F.lit(rs.atr_mult_stop) * F.col("e_atr"))
-    df = df.withColumn("stop", stop).withColumn("R", F.abs(F.col("e_open") - F.col("stop")))
-    valid = F.col("R").isNotNull() & ~F.isnan("R") & (F.col("R") > 0)
+    r = F.abs(F.col("e_open") - stop)
+    valid = r.isNotNull() & ~F.isnan(r) & (r > 0)
     if at_entry_levels:
         valid = valid & F.col("e_lo").isNotNull() & F.col("e_hi").isNotNull() & (F.col("e_lo") != F.col("e_hi"))
-    df = df.withColumn("valid", _true(valid))
-    df = df.withColumn("tp1", F.col("e_open") + side * F.col("R"))
     up_cond = (F.col("direction") == "up") if rs.kind == "A" else (side == 1)
     e127, e161 = fib.extensions(F.col("e_lo"), F.col("e_hi"), up_cond)
     levels = {"127": e127, "161": e161}
     pref = ("161", "127") if rs.kind == "B" else tuple(rs.ext_pref)
-    return (df.withColumn("ext1", levels[pref[0]]).withColumn("ext2", levels[pref[1]])
-              .withColumn("n1", F.lit(pref[0])).withColumn("n2", F.lit(pref[1])))
+    return df.withColumns({"stop": stop, "R": r, "valid": _true(valid), "tp1": F.col("e_open") + side * r,
+                           "ext1": levels[pref[0]], "ext2": levels[pref[1]],
+                           "n1": F.lit(pref[0]), "n2": F.lit(pref[1])})
 
 
 # --------------------------------------------------------------------------- simulate
@@ -309,8 +310,7 @@ def dashboard_signals(bars: DataFrame, ema_fast: int = 9, ema_slow: int = 21,
     fast, slow = F.col("ema_fast"), F.col("ema_slow")
     long_e = _true((d == "up") & zone & (fast > slow) & (F.col("rsi") > 45))
     short_e = _true((d == "down") & zone & (fast < slow) & (F.col("rsi") < 55))
-    return (df.withColumn("long_entry", long_e).withColumn("short_entry", short_e)
-              .withColumn("ext127", e127))
+    return df.withColumns({"long_entry": long_e, "short_entry": short_e, "ext127": e127})
 
 
 def signal_table(sig: DataFrame, k: int = 20, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:

@@ -30,17 +30,15 @@ def session_extremes(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, idx: str
     w = Window.partitionBy(*keys)
     mn = F.min(F.struct(F.col("low"), F.col(idx), F.col("ts"))).over(w)
     mx = F.max(F.struct(F.col("high"), (-F.col(idx)).alias("nidx"), F.col("ts"))).over(w)
-    df = (df.withColumn("_mn", mn).withColumn("_mx", mx)
-            .withColumn("lo", F.col("_mn.low")).withColumn("idx_low", F.col(f"_mn.{idx}"))
-            .withColumn("ts_low", F.col("_mn.ts"))
-            .withColumn("hi", F.col("_mx.high")).withColumn("idx_high", -F.col("_mx.nidx"))
-            .withColumn("ts_high", F.col("_mx.ts"))
-            .drop("_mn", "_mx"))
+    df = df.withColumns({"_mn": mn, "_mx": mx})
     if direction == "auto":
-        d = F.when(F.col("idx_low") < F.col("idx_high"), F.lit("up")).otherwise(F.lit("down"))
+        d = F.when(F.col(f"_mn.{idx}") < -F.col("_mx.nidx"), F.lit("up")).otherwise(F.lit("down"))
     else:
         d = F.lit(direction)
-    return df.withColumn("direction", d)
+    return df.withColumns({
+        "lo": F.col("_mn.low"), "idx_low": F.col(f"_mn.{idx}"), "ts_low": F.col("_mn.ts"),
+        "hi": F.col("_mx.high"), "idx_high": -F.col("_mx.nidx"), "ts_high": F.col("_mx.ts"),
+        "direction": d}).drop("_mn", "_mx")
 
 
 def level(lo, hi, direction, ratio):

@@ -122,8 +122,22 @@ def _signal_combos(grid: dict) -> list[dict]:
     return out
 
 
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
 def _lit_structs(rows: list[dict]) -> Column:
-    return F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in r.items()]) for r in rows])
+    """A constant ``array<struct>`` from one SQL literal (one parse in the JVM,
+    not one call per value)."""
+    items = ", ".join("named_struct(" + ", ".join(f"'{k}', {_sql_lit(v)}" for k, v in r.items()) + ")"
+                      for r in rows)
+    return F.expr(f"array({items})")
 
 
 def _entry_plan(x: Column, oc: Column, atr_pos: Column) -> Column:
