@@ -165,13 +165,59 @@ def add_entry_plan(df: DataFrame, rs: RuleSet, lo: str = "lo", hi: str = "hi",
 _BAR_FIELDS = ["idx", "ts", "high", "low", "close", "sig", "has_next", "valid", "e_ts", "e_open",
                "R", "stop", "tp1", "ext1", "ext2", "n1", "n2"]
 
-
-def _first(bars: Column, after: Column, cond) -> Column:
-    """Position of the first bar with ``idx > after`` meeting ``cond`` (NULL if none)."""
-    return F.try_element_at(F.filter(bars, lambda b: (b["idx"] > after) & cond(b)), F.lit(1))["idx"]
-
-
-def outcomes(plans: Column, bars: Column, be_label: bool = False) -> Column:
+# Levels of the per-session search index: blocks of up to 2**11 bars, so a
+# session may hold up to 4,095 bars (a day of minute bars is 1,440); a longer
+# session needs a larger ``levels``.
+SEARCH_LEVELS = 12
+
+
+def add_search_arrays(per_session: DataFrame, bars: str = "bars", levels: int = SEARCH_LEVELS) -> DataFrame:
+    """Search index of each session row: ``mn[k][j]`` / ``mx[k][j]`` = lowest
+    low / highest high of the ``2**k`` bars starting at position ``j`` (clipped
+    at the session end).  Built by doubling inside the session array,
+    ``m_k[j] = min(m_{k-1}[j], m_{k-1}[j + 2**(k-1)])``: O(bars x levels) per
+    session, no window pass over the bar rows."""
+    df = per_session.withColumns({"_mn0": F.transform(bars, lambda b: b["low"]),
+                                  "_mx0": F.transform(bars, lambda b: b["high"])})
+    def doubled(prev: str, step: int, pick):
+        return F.transform(prev, lambda v, j: pick(v, F.try_element_at(F.col(prev), j + 1 + step)))
+
+    for k in range(1, levels):
+        step = 2 ** (k - 1)
+        df = df.withColumns({f"_mn{k}": doubled(f"_mn{k - 1}", step, F.least),
+                             f"_mx{k}": doubled(f"_mx{k - 1}", step, F.greatest)})
+    tmp = [f"_mn{k}" for k in range(levels)] + [f"_mx{k}" for k in range(levels)]
+    return df.withColumns({"mn": F.array(*[F.col(f"_mn{k}") for k in range(levels)]),
+                           "mx": F.array(*[F.col(f"_mx{k}") for k in range(levels)])}).drop(*tmp)
+
+
+def _first_hit(mn_idx: Column, mx_idx: Column, n: Column, after: Column, side: Column, level: Column,
+               kind: str, levels: int = SEARCH_LEVELS) -> Column:
+    """Position of the first bar after ``after`` that reaches ``level`` (NULL if
+    none), by binary lifting over the search index: whole blocks without a
+    hit are skipped, largest first -- O(levels) per search.
+
+    ``kind="against"``: long low <= level / short high >= level (stops);
+    ``kind="with"``: long high >= level / short low <= level (targets)."""
+    long_ = side == 1
+
+    def clear(pos, k):
+        mn = F.element_at(F.element_at(mn_idx, k + 1), pos + 1)
+        mx = F.element_at(F.element_at(mx_idx, k + 1), pos + 1)
+        if kind == "against":
+            return F.when(long_, mn > level).otherwise(mx < level)
+        return F.when(long_, mx < level).otherwise(mn > level)
+
+    def step(pos, k):
+        jump = F.pow(F.lit(2), k).cast("int")
+        return F.when((pos + jump <= n) & clear(pos, k), pos + jump).otherwise(pos)
+
+    pos = F.aggregate(F.sequence(F.lit(levels - 1), F.lit(0), F.lit(-1)), (after + 1).cast("int"), step)
+    return F.when(pos < n, pos)
+
+
+def outcomes(plans: Column, bars: Column, be_label: bool = False, mn: Column | None = None,
+             mx: Column | None = None) -> Column:
     """Bracket outcomes of planned entries: ``array<struct<i, ok, trade>>``.
 
     ``plans`` holds entry plans (fields of :func:`add_entry_plan`, ``idx`` =
@@ -182,22 +228,24 @@ def outcomes(plans: Column, bars: Column, be_label: bool = False) -> Column:
     wins a tie); else end of day at the last bar's close.  The work is staged
     through ``transform`` so each search runs once per plan.
     """
-    def hit_stop(p, lvl):
-        return lambda b: F.when(p["sig"] == 1, b["low"] <= lvl).otherwise(b["high"] >= lvl)
+    n = F.size(bars)
+    mn = F.col("mn") if mn is None else mn
+    mx = F.col("mx") if mx is None else mx
 
-    def hit_up(p, lvl):
-        return lambda b: F.when(p["sig"] == 1, b["high"] >= lvl).otherwise(b["low"] <= lvl)
+    def first(p, after, level, kind):
+        return _first_hit(mn, mx, n, after, p["sig"], level, kind)
 
     s1 = F.transform(plans, lambda p: F.struct(
         p.alias("p"),
-        _first(bars, p["idx"] + 1, hit_stop(p, p["stop"])).alias("s"),
-        _first(bars, p["idx"] + 1, hit_up(p, p["tp1"])).alias("t")))
+        first(p, p["idx"] + 1, p["stop"], "against").alias("s"),
+        first(p, p["idx"] + 1, p["tp1"], "with").alias("t")))
+    # either extension: the nearer one decides whether the bar reaches one
     s2 = F.transform(s1, lambda q: F.struct(
         q["p"].alias("p"), q["s"].alias("s"), q["t"].alias("t"),
         (q["s"].isNotNull() & (q["t"].isNull() | (q["s"] <= q["t"]))).alias("stopped"),
-        _first(bars, q["t"], hit_stop(q["p"], q["p"]["e_open"])).alias("b"),
-        _first(bars, q["t"] - 1, lambda b: hit_up(q["p"], q["p"]["ext1"])(b) | hit_up(q["p"], q["p"]["ext2"])(b))
-        .alias("x")))
+        first(q["p"], q["t"], q["p"]["e_open"], "against").alias("b"),
+        first(q["p"], q["t"] - 1, F.when(q["p"]["sig"] == 1, F.least(q["p"]["ext1"], q["p"]["ext2"]))
+              .otherwise(F.greatest(q["p"]["ext1"], q["p"]["ext2"])), "with").alias("x")))
     s3 = F.transform(s2, lambda q: F.struct(
         q["p"].alias("p"), q["stopped"].alias("stopped"),
         (~q["stopped"] & q["t"].isNotNull()).alias("filled"),
@@ -269,12 +317,12 @@ def simulate(plan: DataFrame, keys: Sequence[str] = SESSION_KEYS, be_label: bool
 
     ``plan`` holds one row per kept bar with the columns of
     :func:`add_entry_plan`.  Per session: the outcome of every signal bar's
-    plan (first-hit searches inside the session array), then the greedy
+    plan (first-hit searches over the session's search index, O(log bars) each), then the greedy
     non-overlapping choice.  ``extra_keys`` are carried as group keys.
     """
     gk = [*extra_keys, *keys]
     item = F.struct(*[F.col(c) for c in _BAR_FIELDS])
-    per_session = plan.groupBy(*gk).agg(F.sort_array(F.collect_list(item)).alias("bars"))
+    per_session = add_search_arrays(plan.groupBy(*gk).agg(F.sort_array(F.collect_list(item)).alias("bars")))
     outs = outcomes(F.filter("bars", lambda x: x["sig"] != 0), F.col("bars"), be_label)
     out = per_session.select(*gk, F.explode(take_non_overlapping(outs)).alias("t"))
     return out.select(*gk, "t.*")

@@ -9,9 +9,10 @@ Factored plan:
 3. outcome axes (16 combinations): the bracket outcome of an entry on every
    bar of the session, computed once per (session, outcome combination);
 4. signal axes (324 combinations): the candidate signal bars, as a
-   ``filter`` of the session array; combinations without candidates drop out;
-5. the remaining (session, signal, outcome) rows run the greedy
-   non-overlapping choice over their candidates (a few steps each);
+   ``filter`` of the session array;
+5. every (signal, outcome) pair runs the greedy non-overlapping choice over
+   its candidates inside the session row (a few steps each); only trades
+   become rows, so no session array is copied per combination;
 6. per (symbol, combination) metrics; drawdown windows hold the trades of
    one combination (days x trades/day).
 
@@ -188,30 +189,32 @@ def sweep_trades(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] |
         s["fi"] = emas.index(s["ema_fast"]) + 1
         s["si"] = emas.index(s["ema_slow"]) + 1
         s["ri"] = rsis.index(s["rsi_len"]) + 1
-    sessions = sweep_bars(bars, grid, windows, keys=keys)
-    # (a) outcome of an entry on every bar, per outcome combination: array[oc][bar]
-    outs = F.transform(_lit_structs(ocs), lambda oc: bt.outcomes(
+    sessions = bt.add_search_arrays(sweep_bars(bars, grid, windows, keys=keys))
+    # (a) outcome of an entry on every bar, per outcome combination: outs[oc][bar]
+    oc_lit, sc_lit = _lit_structs(ocs), _lit_structs(scs)
+    outs = F.transform(oc_lit, lambda oc: bt.outcomes(
         F.transform("bars", lambda x: _entry_plan(x, oc, oc["ai"])), F.col("bars")))
-    sessions = sessions.withColumn("outs", outs)
-    # (b) candidate signal bars per signal combination; empty ones drop out here
-    sig = sessions.withColumn("sc", F.explode(_lit_structs(scs)))
-    sig = sig.withColumn("cands", F.transform(
-        F.filter("bars", lambda x: _signal(x, F.col("sc"))), lambda x: x["idx"]))
-    sig = sig.filter(F.size("cands") > 0)
-    # (c) meet the outcome combinations; greedy non-overlapping choice inside
-    # the row (no row per combination is materialised unless it trades)
-    oc_lit = _lit_structs(ocs)
-    per_oc = F.transform("outs", lambda o, k: F.struct(
-        F.element_at(oc_lit, k + 1).alias("oc"),
-        bt.take_non_overlapping(F.col("cands"), lambda c: F.element_at(o, c + 1)).alias("trades")))
-    sig = sig.select(*keys, "sc", F.explode(per_oc).alias("po"))
-    out = sig.select(*keys, "sc", F.col("po.oc").alias("oc"), F.explode("po.trades").alias("t"))
-    return out.select(*keys, *[F.col(f"sc.{c}").alias(c) for c in
-                               ("ema_fast", "ema_slow", "rsi_len", "rsi_long", "rsi_short")],
-                      F.col("oc.atr_len").alias("atr_len"), F.col("oc.atr_mult_stop").alias("atr_mult_stop"),
-                      F.col("sc.retr_low").alias("retr_low"), F.col("sc.retr_high").alias("retr_high"),
-                      F.col("oc.ext_first").alias("ext_first"), F.col("oc.ext_second").alias("ext_second"),
-                      "t.*")
+    sessions = sessions.withColumn("outs", outs).drop("mn", "mx")
+    # (b) candidate signal bars per signal combination: cands[sc] = [bar, ...]
+    cands = F.transform(sc_lit, lambda sc: F.transform(F.filter("bars", lambda x: _signal(x, sc)),
+                                                       lambda x: x["idx"]))
+    sessions = sessions.withColumn("cands", cands).drop("bars")
+    # (c) greedy non-overlapping choice for every (signal, outcome) pair, inside
+    # the session row; only trades become rows
+    res = F.transform("cands", lambda c, si: F.struct(
+        si.alias("si"),
+        F.transform("outs", lambda o, oi: F.struct(
+            oi.alias("oi"),
+            F.when(F.size(c) > 0, bt.take_non_overlapping(c, lambda i: F.element_at(o, i + 1)))
+             .alias("trades"))).alias("per_oc")))
+    out = sessions.select(*keys, F.explode(res).alias("r"))
+    out = out.select(*keys, F.col("r.si").alias("si"), F.explode("r.per_oc").alias("p"))
+    out = out.select(*keys, "si", F.col("p.oi").alias("oi"), F.explode("p.trades").alias("t"))
+    sc, oc = F.element_at(sc_lit, F.col("si") + 1), F.element_at(oc_lit, F.col("oi") + 1)
+    return out.select(*keys, *[sc[c].alias(c) for c in ("ema_fast", "ema_slow", "rsi_len", "rsi_long", "rsi_short")],
+                      oc["atr_len"].alias("atr_len"), oc["atr_mult_stop"].alias("atr_mult_stop"),
+                      sc["retr_low"].alias("retr_low"), sc["retr_high"].alias("retr_high"),
+                      oc["ext_first"].alias("ext_first"), oc["ext_second"].alias("ext_second"), "t.*")
 
 
 def sweep_results(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
