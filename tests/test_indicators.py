@@ -62,3 +62,15 @@ def test_ema_rsi_atr_bollinger_match_pandas(spark):
 def test_max_smooth_rows_bound():
     assert ind.max_smooth_rows(2 / 10) > 2800
     assert ind.max_smooth_rows(1 / 14) > 8000
+
+
+def test_overlong_series_fails_loudly(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select(F.lit("x").alias("symbol"), F.lit(1).alias("dt"),
+                                  F.col("id").cast("int").alias("idx"), (F.col("id") % 7).cast("double").alias("close"),
+                                  F.col("id").alias("ts"))
+    ok = ind.ema(df.filter(F.col("idx") < 2000), "close", 9)
+    assert ok.filter(F.col("ema_9").isNull()).count() == 0
+    with pytest.raises(Exception, match="closed-form"):
+        ind.ema(df, "close", 9).collect()
