@@ -213,7 +213,8 @@ def _first_hit(mn_idx: Column, mx_idx: Column, n: Column, after: Column, side: C
         return F.when((pos + jump <= n) & clear(pos, k), pos + jump).otherwise(pos)
 
     pos = F.aggregate(F.sequence(F.lit(levels - 1), F.lit(0), F.lit(-1)), (after + 1).cast("int"), step)
-    return F.when(pos < n, pos)
+    too_long = F.raise_error(F.lit(f"session longer than {2 ** levels - 1} bars: raise SEARCH_LEVELS"))
+    return F.when(n > 2 ** levels - 1, too_long.cast("int")).when(pos < n, pos)
 
 
 def outcomes(plans: Column, bars: Column, be_label: bool = False, mn: Column | None = None,
