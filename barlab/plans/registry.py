@@ -29,11 +29,23 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _utc(fn: QueryFn) -> QueryFn:
+    """Bar timestamps are UTC instants: pin the session time zone before the
+    plan is built, whatever session the caller hands in."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def register(name: str, sql: str | None = None, headline: bool = False):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, headline)
+        REGISTRY[name] = Query(name, _utc(fn), sql, headline)
         return fn
     return deco
 
