@@ -192,11 +192,12 @@ def signal_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
         c, h, lo = (hist[k].to_numpy(float) for k in ("close", "high", "low"))
         ema9, ema21, rsi, atr = _session_indicators(c, h, lo)
         d, leg_lo, leg_hi = swings.last_leg_states(c, h, lo, atr, swings.LIVE["zz_atr_mult"])
+        gates = swings.expanding_quantile_values(atr, swings.LIVE["atr_pct_q"])
         for i in range(start, len(hist)):
             eod = bool(hist["eod"].iloc[i])
             if eod:
                 in_pos = False
-            gate = float(np.quantile(atr[: i + 1], swings.LIVE["atr_pct_q"]))
+            gate = float(gates[i])
             leg_up = d[i] == "up"
             if d[i] is not None:
                 rng = leg_hi[i] - leg_lo[i]
