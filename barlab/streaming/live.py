@@ -43,7 +43,7 @@ def land(bars: DataFrame, path: str, seed: bool = False) -> None:
     cols = [F.col(f.name) if f.name in bars.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in BAR_SCHEMA.fields if f.name not in ("seed",)]
     out = bars.select(*cols, F.lit(seed).alias("seed"))
-    out.select(*[f.name for f in BAR_SCHEMA.fields]).repartition("dt").write.mode("append") \
+    out.select(*[f.name for f in BAR_SCHEMA.fields]).repartition("dt", "symbol").write.mode("append") \
         .partitionBy("dt").parquet(path)
 
 
