@@ -111,3 +111,17 @@ register("bar_gaps", sql=with_bars(
     "s AS (SELECT symbol, dt, min(ts) AS t0, max(ts) AS t1 FROM bars GROUP BY symbol, dt)",
     "e AS (SELECT symbol, dt, unnest(generate_series(t0, t1, INTERVAL 1 HOUR)) AS ts FROM s)")
     + " SELECT symbol, dt, ts FROM e ANTI JOIN bars USING (symbol, dt, ts)")(q_bar_gaps)
+
+
+def q_rolling_vol(spark, sf, n: int = 20):
+    """Rolling volatility: sample std of the one-bar return over the last ``n``
+    bars, and the same scaled by sqrt(n) (G2)."""
+    b = ind.pct_return(fixtures.bars(spark, sf), "close", "ret")
+    sd = F.stddev_samp("ret").over(ind.series_window().rowsBetween(-(n - 1), 0))
+    return rounded(b.select("symbol", "ts", "ret", sd.alias("vol"), (sd * F.lit(n ** 0.5)).alias("vol_scaled")))
+
+
+register("rolling_vol", sql=sql_final(with_bars(
+    f"r AS (SELECT *, close / nullif(lag(close) OVER ({SESSION}), 0.0) - 1.0 AS ret FROM bars)")
+    + f" SELECT symbol, ts, ret, stddev_samp(ret) {_FR} AS vol, stddev_samp(ret) {_FR} * sqrt(20) AS vol_scaled FROM r",
+    ["symbol", "ts", "ret", "vol", "vol_scaled"], ["ret", "vol", "vol_scaled"]))(q_rolling_vol)

@@ -496,3 +496,15 @@ def _fib_lookup_sql():
 
 
 register("fib_level_lookup", sql=_fib_lookup_sql())(q_fib_level_lookup)
+
+
+def q_date_range(spark, sf):
+    """Inclusive calendar days from each symbol's first to last bar day."""
+    b = fixtures.bars(spark, sf).groupBy("symbol").agg(F.min("dt").alias("start"), F.max("dt").alias("end"))
+    return ingest.day_range(b)
+
+
+register("date_range", sql=with_bars(
+    "r AS (SELECT symbol, min(dt) AS s, max(dt) AS e FROM bars GROUP BY symbol)")
+    + " SELECT symbol, CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) "
+    "AS DATE) AS dt FROM r")(q_date_range)

@@ -167,3 +167,12 @@ register("order_plan", sql=sql_final(
     "round_even(close + R, 2) AS tp1, round_even(leg_high + 0.618 * (leg_high - leg_low), 2) AS t161 FROM q",
     ["symbol", "dt", "ts", "entry", "stop", "R", "qty", "qty1", "qty2", "tp1", "t161"],
     ["entry", "stop", "R", "tp1", "t161"]))(q_order_plan)
+
+
+def q_fresh_touch(spark, sf):
+    """In the rolling zone now and not on the previous bar; the first bar of a
+    session counts as fresh when in the zone (W17)."""
+    return _rolling(spark, sf).select("symbol", "dt", "ts", "in_zone", "fresh")
+
+
+register("fresh_touch", sql=_ZZ_HEAD + " SELECT symbol, dt, ts, in_zone, fresh FROM r3")(q_fresh_touch)
