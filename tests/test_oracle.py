@@ -12,7 +12,7 @@ FAST = ["ema_trend", "sma", "rsi_null", "rsi_fill50", "rsi_eps", "atr", "bolling
         "entry_plan", "bracket_outcome", "backtest_bidir", "backtest_trades", "rolling_fib_trades",
         "zigzag_last_leg", "live_signals", "order_plan", "trade_summary", "summary_by_day_total",
         "bronze_to_silver", "silver_to_gold", "ingest_bars_json", "scan_union_by_name", "lake_inventory",
-        "parse_ts", "round_ms", "stream_indicators", "stream_bars"]
+        "parse_ts", "round_ms", "stream_indicators", "stream_bars", "stream_signals", "fresh_touch", "date_range"]
 
 
 def test_contract(spark):

@@ -43,3 +43,13 @@ def test_rolling_zigzag_in_spark_matches_step(spark):
     d, lo, hi = swings.rolling_zigzag_states(out["close"].to_numpy(), out["atr_filled"].to_numpy(), 2.0)
     assert list(out["zz_dir"]) == d
     assert np.allclose(out["imp_lo"], lo) and np.allclose(out["imp_hi"], hi)
+
+
+def test_expanding_quantile_matches_pandas():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=200)
+    x[[5, 50]] = np.nan
+    got = swings.expanding_quantile_values(x, 0.6)
+    exp = pd.Series(x).expanding().quantile(0.6).to_numpy()
+    assert np.allclose(got, exp, equal_nan=True)
