@@ -177,18 +177,15 @@ def add_search_arrays(per_session: DataFrame, bars: str = "bars", levels: int =
     at the session end).  Built by doubling inside the session array,
     ``m_k[j] = min(m_{k-1}[j], m_{k-1}[j + 2**(k-1)])``: O(bars x levels) per
     session, no window pass over the bar rows."""
-    df = per_session.withColumns({"_mn0": F.transform(bars, lambda b: b["low"]),
-                                  "_mx0": F.transform(bars, lambda b: b["high"])})
-    def doubled(prev: str, step: int, pick):
-        return F.transform(prev, lambda v, j: pick(v, F.try_element_at(F.col(prev), j + 1 + step)))
-
-    for k in range(1, levels):
-        step = 2 ** (k - 1)
-        df = df.withColumns({f"_mn{k}": doubled(f"_mn{k - 1}", step, F.least),
-                             f"_mx{k}": doubled(f"_mx{k - 1}", step, F.greatest)})
-    tmp = [f"_mn{k}" for k in range(levels)] + [f"_mx{k}" for k in range(levels)]
-    return df.withColumns({"mn": F.array(*[F.col(f"_mn{k}") for k in range(levels)]),
-                           "mx": F.array(*[F.col(f"_mx{k}") for k in range(levels)])}).drop(*tmp)
+    def levels_of(field: str, pick) -> Column:
+        def step(acc, k):
+            prev = F.element_at(acc, k)
+            width = F.pow(F.lit(2), k - 1).cast("int")
+            return F.concat(acc, F.array(F.transform(prev, lambda v, j: pick(v, F.try_element_at(prev, j + 1 + width)))))
+        base = F.array(F.transform(bars, lambda b: b[field]))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(levels - 1)), base, step)
+
+    return per_session.withColumns({"mn": levels_of("low", F.least), "mx": levels_of("high", F.greatest)})
 
 
 def _first_hit(mn_idx: Column, mx_idx: Column, n: Column, after: Column, side: Column, level: Column,

@@ -210,7 +210,10 @@ def sweep_trades(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] |
     out = sessions.select(*keys, F.explode(res).alias("r"))
     out = out.select(*keys, F.col("r.si").alias("si"), F.explode("r.per_oc").alias("p"))
     out = out.select(*keys, "si", F.col("p.oi").alias("oi"), F.explode("p.trades").alias("t"))
-    sc, oc = F.element_at(sc_lit, F.col("si") + 1), F.element_at(oc_lit, F.col("oi") + 1)
+    # each grid literal is referenced once; its fields are read from the column
+    out = out.select(*keys, F.element_at(sc_lit, F.col("si") + 1).alias("sc"),
+                     F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "t")
+    sc, oc = F.col("sc"), F.col("oc")
     return out.select(*keys, *[sc[c].alias(c) for c in ("ema_fast", "ema_slow", "rsi_len", "rsi_long", "rsi_short")],
                       oc["atr_len"].alias("atr_len"), oc["atr_mult_stop"].alias("atr_mult_stop"),
                       sc["retr_low"].alias("retr_low"), sc["retr_high"].alias("retr_high"),
