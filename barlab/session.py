@@ -17,6 +17,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Per-session stages are compute-heavy on few bytes (a session's bar array
+    # feeds thousands of parameter combinations): let AQE keep small shuffles
+    # spread over the cluster's parallelism instead of merging them to 1 MB.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -60,8 +60,13 @@ def _minute_queries():
     def live_signals_1m(spark, sf):
         return swings.live_signals(bars_1m(spark, sf))
 
+    def sweep_1m(spark, sf):
+        from barlab.operators import sweep
+        return sweep.sweep_results(sweep.sweep_trades(bars_1m(spark, sf)))
+
     return {"indicators_1m": indicators_1m, "medallion_1m": medallion_1m, "backtest_a_1m": backtest_a_1m,
-            "backtest_c_1m": backtest_c_1m, "backtest_d_1m": backtest_d_1m, "live_signals_1m": live_signals_1m}
+            "backtest_c_1m": backtest_c_1m, "backtest_d_1m": backtest_d_1m, "live_signals_1m": live_signals_1m,
+            "sweep_1m": sweep_1m}
 
 
 def main() -> None:
