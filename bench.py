@@ -72,7 +72,7 @@ def _minute_queries():
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "1"))
+    reps = int(os.environ.get("BENCH_REPS", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from barlab.plans import catalog
     from barlab.session import get_spark
