@@ -64,6 +64,18 @@ def eod_flag(et: Column, hour: int = 15, minute: int = 55) -> Column:
     return (F.hour(et) == hour) & (F.minute(et) >= minute)
 
 
+def round_half_away(c: Column, places: int) -> Column:
+    """Round half away from zero on the binary value: ``sign(x) *
+    floor(|x| * 10^p + 0.5) / 10^p``.  Deterministic for a given double, so
+    two engines that compute the same double round it the same way
+    (``round`` on a double rounds its shortest decimal text instead, which
+    splits exact decimal ties differently).  Magnitudes beyond 9e18 / 10^p
+    are returned unchanged."""
+    scale = float(10 ** places)
+    return F.when(F.abs(c) < F.lit(9.0e18 / scale),
+                  F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(c)
+
+
 def safe_div(a: Column, b: Column) -> Column:
     """Division with a zero denominator giving NULL."""
     return F.try_divide(a, F.nullif(b, F.lit(0.0)))

@@ -125,7 +125,7 @@ def q_drawdown(spark, sf):
     The series has one row per calendar day, so its single ordered window is
     bounded by the calendar, not by the order volume."""
     d = fixtures.daily_series(spark, sf).withColumn("series", F.lit("orders"))
-    d = d.withColumn("pnl_R", F.col("pnl") / F.lit(1e6))
+    d = d.withColumn("pnl_R", F.col("pnl") / F.lit(1e3))  # thousands: at most 5 decimals
     d = ind.drawdown_cols(d, "pnl_R", keys=["series"], order=["dt"])
     d = d.withColumn("max_dd", F.min("dd").over(Window.partitionBy("series")))
     return rounded(d.select("dt", "pnl_R", "equity", "peak", "dd", "max_dd"))
@@ -133,7 +133,7 @@ def q_drawdown(spark, sf):
 
 _W_DD = "OVER (ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 register("drawdown", sql=(
-    "WITH d AS (SELECT CAST(o_orderdate AS DATE) AS dt, sum(o_totalprice) / 1e6 AS pnl_R FROM orders GROUP BY 1), "
+    "WITH d AS (SELECT CAST(o_orderdate AS DATE) AS dt, sum(o_totalprice) / 1e3 AS pnl_R FROM orders GROUP BY 1), "
     f"e AS (SELECT *, sum(pnl_R) {_W_DD} AS equity FROM d), p AS (SELECT *, max(equity) {_W_DD} AS peak FROM e), "
     "q AS (SELECT *, equity - peak AS dd FROM p) "
     "SELECT dt, round(pnl_R, 6) AS pnl_R, round(equity, 6) AS equity, round(peak, 6) AS peak, round(dd, 6) AS dd, "

@@ -162,9 +162,9 @@ def q_order_plan(spark, sf):
 register("order_plan", sql=sql_final(
     "WITH RECURSIVE " + ",\n".join(_LIVE_CTES) + ", o AS (SELECT *, close - (leg_low - 0.3 * atr) AS R FROM z "
     "WHERE enter), q AS (SELECT *, CAST(greatest(1, least(CAST(floor(100.0 / R) AS BIGINT), 1000)) AS BIGINT) AS qty "
-    "FROM o WHERE R > 0) SELECT symbol, dt, ts, close AS entry, round_even(close - R, 2) AS stop, round(R, 6) AS R, "
+    "FROM o WHERE R > 0) SELECT symbol, dt, ts, close AS entry, round(close - R, 2) AS stop, R, "
     "qty, CAST(floor(qty / 2) AS BIGINT) AS qty1, CAST(qty - floor(qty / 2) AS BIGINT) AS qty2, "
-    "round_even(close + R, 2) AS tp1, round_even(leg_high + 0.618 * (leg_high - leg_low), 2) AS t161 FROM q",
+    "round(close + R, 2) AS tp1, round(leg_high + 0.618 * (leg_high - leg_low), 2) AS t161 FROM q",
     ["symbol", "dt", "ts", "entry", "stop", "R", "qty", "qty1", "qty2", "tp1", "t161"],
     ["entry", "stop", "R", "tp1", "t161"]))(q_order_plan)
 

@@ -51,11 +51,14 @@ def register(name: str, sql: str | None = None, headline: bool = False):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column (result presentation only)."""
+    """Round every double column (result presentation only), half away from
+    zero on the binary value -- the same arithmetic as SQL ``round(x, p)`` on
+    a double in the oracle engine."""
+    from barlab.functions.scalar import round_half_away
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            cols.append(round_half_away(F.col(f.name), places).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
