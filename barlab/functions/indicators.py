@@ -247,6 +247,8 @@ def expanding_quantile(df: DataFrame, src: str, q: float, out: str, *,
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         return pdf.assign(**{out: expanding_quantile_values(pdf[src].to_numpy(float), q)})
 
+    from barlab.session import ship_package
+    ship_package(df.sparkSession)
     res = df.groupBy(*keys).applyInPandas(per_series, schema)
     return res.withColumn(out, F.when(~F.isnan(out), F.col(out)))
 

@@ -33,8 +33,10 @@ def _utc(fn: QueryFn) -> QueryFn:
     """Bar timestamps are UTC instants: pin the session time zone before the
     plan is built, whatever session the caller hands in."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from barlab.session import ship_package
         if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return fn(spark, sf_dir)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__

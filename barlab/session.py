@@ -48,6 +48,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -96,3 +97,34 @@ def object_store_settings(endpoint: str, access_key: str, secret_key: str, *, pa
     if region:
         conf["spark.hadoop.fs.s3a.endpoint.region"] = region
     return conf
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``barlab`` importable by the Python workers of every executor.
+
+    The per-session Python steps (``applyInPandas``, streaming state) pickle
+    barlab functions by reference, so executors must be able to import the
+    package.  It is zipped once per driver process and added with
+    ``addPyFile`` once per application -- the same mechanism as
+    ``spark-submit --py-files``."""
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        fd, path = tempfile.mkstemp(prefix="barlab-pkg-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        _ZIP.append(path)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(sc.applicationId)

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barlab.operators import swings
+from barlab.session import ship_package
 
 BAR_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
@@ -129,6 +130,7 @@ def indicator_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) ->
 
 def stream_indicators(bars: DataFrame) -> DataFrame:
     """Keyed streaming indicators over the unbroken per-symbol series."""
+    ship_package(bars.sparkSession)
     return bars.groupBy("symbol").applyInPandasWithState(
         indicator_state_fn, IND_OUT, IND_STATE, "append", GroupStateTimeout.NoTimeout)
 
@@ -224,5 +226,6 @@ def signal_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
 
 def stream_signals(bars: DataFrame) -> DataFrame:
     """Keyed streaming live signals (T3); ``logged`` rows form the log (T4)."""
+    ship_package(bars.sparkSession)
     return bars.groupBy("symbol").applyInPandasWithState(
         signal_state_fn, SIG_OUT, SIG_STATE, "append", GroupStateTimeout.NoTimeout)
