@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from barlab.llm import q_exact, q_licenses, q_mixing
+from barlab.llm import q_decontaminate, q_exact, q_licenses, q_mixing, q_packing, q_tokens
 
 QUERIES = {
     "op1_exact_dedup": q_exact.op1_exact_dedup,
+    "op3_decontamination": q_decontaminate.op3_decontamination,
     "op4_license_scan": q_licenses.op4_license_scan,
+    "op8_token_counts": q_tokens.op8_token_counts,
     "op9_mixing": q_mixing.op9_mixing,
+    "op10_token_packing": q_packing.op10_token_packing,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": q_exact.SQL,
+    "op3_decontamination": q_decontaminate.SQL,
     "op4_license_scan": q_licenses.SQL,
     "op9_mixing": q_mixing.SQL,
 }
