@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from barlab.llm import q_decontaminate, q_exact, q_licenses, q_mixing, q_packing, q_tokens
+from barlab.llm import (q_decontaminate, q_exact, q_language, q_licenses, q_mixing, q_packing, q_quality, q_tokens,
+                        q_toxicity)
 
 QUERIES = {
     "op1_exact_dedup": q_exact.op1_exact_dedup,
     "op3_decontamination": q_decontaminate.op3_decontamination,
     "op4_license_scan": q_licenses.op4_license_scan,
+    "op5_toxicity": q_toxicity.op5_toxicity,
+    "op6_quality": q_quality.op6_quality,
+    "op7_language_id": q_language.op7_language_id,
     "op8_token_counts": q_tokens.op8_token_counts,
     "op9_mixing": q_mixing.op9_mixing,
     "op10_token_packing": q_packing.op10_token_packing,
