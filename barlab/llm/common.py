@@ -14,6 +14,8 @@ from barlab.session import scratch_dir, ship_package
 
 #: Rows a side may have to be broadcast; checked by counting, never assumed.
 BROADCAST_ROWS = 200_000
+#: More groups than this can't be larger than 1/HOT_GROUPS of the rows.
+HOT_GROUPS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,20 @@ def small_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(right, on, how)
 
 
+def answers_to_rows(rows: DataFrame, answers: DataFrame, key: str, size: str) -> DataFrame:
+    """Left join of per-group ``answers`` to the groups' rows, whatever the size
+    of a group: groups above 1/``HOT_GROUPS`` of the rows, of which there can be
+    at most ``HOT_GROUPS``, are broadcast, all others are joined by shuffle.
+    Rows with a null key get null answers."""
+    limit = max(1_000, rows.count() // HOT_GROUPS)
+    hot = F.broadcast(answers.filter(F.col(size) > limit))
+    rest = answers.filter(F.col(size) <= limit)
+    found = rows.join(hot, key).unionByName(
+        rows.filter(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti").join(rest, key))
+    none = [F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in answers.columns if c != key]
+    return found.unionByName(rows.filter(F.col(key).isNull()).select("*", *none).select(*found.columns))
+
+
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     """True where crc32(id as text) mod ``modulus`` is ``remainder``; a null id
     counts as the empty text."""

@@ -8,8 +8,8 @@
    to one row whose identifier is chosen again.  A run is dealt out by digest
    range, so a merge holds one range of a few runs, never a whole table.  A
    group of copies of any size is one row per run, so it cannot skew a merge.
-4. The merged answers are joined back to the rows; groups above a size that at
-   most ``HOT_GROUPS`` groups can reach are broadcast, all others are joined by
+4. The merged answers are joined back to the rows; groups above a size that only
+   a bounded number of groups can reach are broadcast, all others are joined by
    shuffle.
 """
 
@@ -23,10 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, written
+from barlab.llm.common import answers_to_rows, batch_of, written
 
-#: More groups than this can't be larger than 1/HOT_GROUPS of the rows.
-HOT_GROUPS = 10_000
 RUN_SCHEMA = "rng int, run int, sha binary, keep_id long, n long"
 _ARROW_RUN = pa.schema([("rng", pa.int32()), ("run", pa.int32()), ("sha", pa.binary()), ("keep_id", pa.int64()),
                         ("n", pa.int64())])
@@ -153,10 +151,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         count = -(-count // fan_in)
     answers = written(runs.select("sha", "keep_id", F.col("n").alias("group_size")), "exact-answers")
 
-    hot_size = max(1_000, total // HOT_GROUPS)
-    hot = F.broadcast(answers.filter(F.col("group_size") > hot_size))  # at most HOT_GROUPS rows
-    joined = (rows.join(hot, "sha")
-              .unionByName(rows.join(hot.select("sha"), "sha", "left_anti")
-                           .join(answers.filter(F.col("group_size") <= hot_size), "sha")))
+    joined = answers_to_rows(rows, answers, "sha", "group_size")
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                          F.lower(F.hex("sha")).alias("text_sha256"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from barlab.llm import (q_decontaminate, q_exact, q_language, q_licenses, q_mixing, q_packing, q_quality, q_tokens,
-                        q_toxicity)
+from barlab.llm import (q_decontaminate, q_exact, q_language, q_licenses, q_mixing, q_near, q_packing, q_quality,
+                        q_tokens, q_toxicity)
 
 QUERIES = {
     "op1_exact_dedup": q_exact.op1_exact_dedup,
+    "op2_near_dedup": q_near.op2_near_dedup,
     "op3_decontamination": q_decontaminate.op3_decontamination,
     "op4_license_scan": q_licenses.op4_license_scan,
     "op5_toxicity": q_toxicity.op5_toxicity,
