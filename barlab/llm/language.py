@@ -31,28 +31,39 @@ UNDETERMINED = "und"
 
 @dataclass
 class LanguageModel:
-    """``words`` and ``grams`` give, per key, log frequencies in the order of
-    ``languages`` (sorted names)."""
+    """``words`` and ``grams`` give the row of a key in ``word_rows`` and
+    ``gram_rows``: log frequencies in the order of ``languages`` (sorted names),
+    those of n-grams less what back-off costs."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    word_rows: np.ndarray
+    grams: dict[str, int]
+    gram_rows: np.ndarray
     max_gram: int
 
-    def word_vector(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        padded = f"<{word}>"
-        total, n = np.zeros(len(self.languages), np.float32), 0
-        for start in range(len(padded)):
-            for size in range(min(self.max_gram, len(padded) - start), 0, -1):
-                found = self.grams.get(padded[start:start + size])
-                if found is not None:
-                    total += found + np.float32(BACKOFF * (self.max_gram - size))
-                    n += 1
-                    break
-        return total / n if n else total
+    def backed_off(self, words: list[str]) -> np.ndarray:
+        """A row per unseen word: mean over its positions of the longest known
+        n-gram that starts there (0 where no n-gram is known)."""
+        get, longest = self.grams.get, self.max_gram
+        found: list[int] = []
+        counts = []
+        for word in words:
+            padded = f"<{word}>"
+            before = len(found)
+            for start in range(len(padded)):
+                for size in range(longest, 0, -1):
+                    row = get(padded[start:start + size])
+                    if row is not None:
+                        found.append(row)
+                        break
+            counts.append(len(found) - before)
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        some = np.array(counts) > 0
+        if found:
+            starts = np.concatenate([[0], np.cumsum(counts)[:-1]])[some]
+            out[some] = np.add.reduceat(self.gram_rows[found], starts, axis=0) / np.array(counts)[some][:, None]
+        return out
 
 
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
@@ -109,64 +120,99 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     got = ranked.filter(F.col("rank") <= limit).select("lang", "size", "key", "n", "total").toPandas()  # bounded per language
     languages = sorted(got["lang"].unique())
     column = {name: k for k, name in enumerate(languages)}
-    tables: dict[bool, dict[str, np.ndarray]] = {True: {}, False: {}}
-    floors = {}
-    for (lang, size), total in got.groupby(["lang", "size"])["total"].first().items():
-        floors[lang, size] = math.log(0.5 / (total + 1))
+    floors = {(lang, size): math.log(0.5 / (total + 1))
+              for (lang, size), total in got.groupby(["lang", "size"])["total"].first().items()}
     lowest = min(floors.values(), default=0.0)
-    for lang, size, key, n, total in got.itertuples(index=False):
-        table = tables[size == 0]
-        vector = table.get(key)
-        if vector is None:
-            vector = table[key] = np.array([floors.get((name, size), lowest) for name in languages], np.float32)
-        vector[column[lang]] = math.log((n + 0.5) / (total + 1))
-    return LanguageModel(languages, tables[True], tables[False], max_gram)
 
+    def table(part, cost: bool) -> tuple[dict[str, int], np.ndarray]:
+        places = {key: k for k, key in enumerate(sorted(part["key"].unique()))}
+        sizes = dict(zip(part["key"], part["size"]))
+        out = np.array([[floors.get((name, sizes[key]), lowest) for name in languages] for key in places], np.float32)
+        out = out.reshape(len(places), len(languages))
+        for lang, key, n, total in part[["lang", "key", "n", "total"]].itertuples(index=False):
+            out[places[key], column[lang]] = math.log((n + 0.5) / (total + 1))
+        if cost and len(places):
+            out += np.array([[BACKOFF * (max_gram - sizes[key])] for key in places], np.float32)
+        return places, out
 
-class _WordRows(dict):
-    """word -> row in a matrix of language scores; bounded, row 0 is for what is no word."""
+    return LanguageModel(languages, *table(got[got["size"] == 0], False), *table(got[got["size"] > 0], True), max_gram)
+
+
+class _WordRows:
+    """Scores of words by row of a matrix: first the model's own words, then a
+    bounded cache of unseen ones."""
 
     def __init__(self, model: LanguageModel):
-        super().__init__()
         self.model = model
-        self.limit = max(1_000, min(200_000, 8_000_000 // max(1, len(model.languages))))
-        self.matrix = np.zeros((1_024, len(model.languages)), np.float32)
-        self.used = 1
-
-    def __missing__(self, word: str) -> int:
-        if len(word) > 64 or not any(map(str.isalpha, word)):
-            return -1
-        row = self.used
-        if row >= len(self.matrix):
-            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-        self.matrix[row] = self.model.word_vector(word)
-        self.used += 1
-        self[word] = row
-        return row
+        self.limit = max(1_000, min(300_000, 8_000_000 // max(1, len(model.languages))))
+        self.matrix = np.zeros((len(model.words) + self.limit, len(model.languages)), np.float32)
+        self.matrix[:len(model.words)] = model.word_rows
+        self.reset()
+
+    def reset(self) -> None:
+        self.rows = dict(self.model.words)
+        self.used = len(self.rows)
 
     def scores(self, words: list[str]) -> tuple[np.ndarray, int]:
-        """Sum of the words' vectors and how many words there are."""
-        if self.used > self.limit:
-            self.clear()
-            self.used = 1
+        """Sum of the words' rows and how many words there are."""
         total, n = np.zeros(len(self.model.languages)), 0
-        for start in range(0, len(words), 50_000):
-            part = words[start:start + 50_000]
-            rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
-            total += self.matrix[rows[rows > 0]].sum(0, dtype=np.float64)
-            n += int((rows > 0).sum())
-            for at in np.flatnonzero(rows < 0).tolist():  # too long to be cached, or no letters
-                if any(map(str.isalpha, part[at])):
-                    total += self.model.word_vector(part[at])
-                    n += 1
+        size = min(20_000, self.limit)
+        for start in range(0, len(words), size):
+            part = words[start:start + size]
+            known = list(map(self.rows.get, part))
+            if None in known:
+                unseen = [w for w, row in zip(part, known) if row is None]
+                new = sorted({w for w in unseen if len(w) <= 64 and (w.isalpha() or any(map(str.isalpha, w)))})
+                if self.used + len(new) > len(self.matrix):
+                    self.reset()
+                    return self._again(words[start:], total, n)
+                if new:
+                    self.matrix[self.used:self.used + len(new)] = self.model.backed_off(new)
+                    self.rows.update(zip(new, range(self.used, self.used + len(new))))
+                    self.used += len(new)
+                    known = list(map(self.rows.get, part))
+                if None in known:  # too long to be cached, or without a letter
+                    other = [w for w, row in zip(part, known) if row is None and any(map(str.isalpha, w))]
+                    if other:
+                        total += self.model.backed_off(other).sum(0, dtype=np.float64)
+                        n += len(other)
+                    known = [row for row in known if row is not None]
+            if known:
+                total += self.matrix[known].sum(0, dtype=np.float64)
+                n += len(known)
         return total, n
 
+    def _again(self, words: list[str], total: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+        more, count = self.scores(words)
+        return total + more, n + count
+
 
 _ROWS: dict[int, _WordRows] = {}
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                         ("score", pa.float64())])
 
 
+def _judge(model: LanguageModel, texts: pa.Array) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    cache = _ROWS.get(id(model))
+    if cache is None or cache.model is not model:
+        _ROWS.clear()
+        cache = _ROWS[id(model)] = _WordRows(model)
+    names, shares = [], []
+    for start in range(0, len(texts), 64):
+        for text in texts.slice(start, 64).to_pylist():
+            total, n = cache.scores(_WORD.findall(text.lower())) if model.languages and text else (None, 0)
+            if not n:
+                names.append(UNDETERMINED)
+                shares.append(0.0)
+                continue
+            mean = total / n * min(n, 10)
+            best = int(np.argmax(mean))
+            names.append(model.languages[best])
+            shares.append(float(1.0 / np.exp(mean - mean[best]).sum()))
+    return names, shares
+
+
 def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", *,
                      modulus: int = 4, remainder: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, held_out, lang_pred, score``.
@@ -181,26 +227,24 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        cache = _ROWS.get(id(model))
-        if cache is None or cache.model is not model:
-            _ROWS.clear()
-            cache = _ROWS[id(model)] = _WordRows(model)
         for batch in batches:
-            names, shares = [], []
-            for start in range(0, batch.num_rows, 64):
-                for text in batch.column(2).slice(start, 64).to_pylist():
-                    total, n = cache.scores(_WORD.findall(text.lower())) if model.languages and text else (None, 0)
-                    if not n:
-                        names.append(UNDETERMINED)
-                        shares.append(0.0)
-                        continue
-                    mean = total / n * min(n, 10)
-                    best = int(np.argmax(mean))
-                    names.append(model.languages[best])
-                    shares.append(float(1.0 / np.exp(mean - mean[best]).sum()))
+            names, shares = _judge(shared.value, batch.column(2))
             yield batch_of(_PREDICTED, [batch.column(0), batch.column(1), names, shares])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, modulus, remainder).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def with_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", *, min_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a learned
+    language with at least ``min_score``: rows without any letter go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, shares = _judge(shared.value, batch.column(place))
+            yield batch.filter(pa.array([n != UNDETERMINED and s >= min_score for n, s in zip(names, shares)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
