@@ -55,6 +55,24 @@ def answers_to_rows(rows: DataFrame, answers: DataFrame, key: str, size: str) ->
     return found.unionByName(rows.filter(F.col(key).isNull()).select("*", *none).select(*found.columns))
 
 
+def text_key(text_col: str) -> Column:
+    """64-bit hash of a text, null as empty: with the identifier it names a row."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def same_row(id_col: str, text_col: str) -> Column:
+    """Condition between documents and decisions ``__gone`` (identifier, null
+    equals null) and ``__key`` (``text_key``)."""
+    return F.col(id_col).cast("long").eqNullSafe(F.col("__gone")) & (text_key(text_col) == F.col("__key"))
+
+
+def anti_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, limit: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows that ``gone`` (``__gone, __key``) names; it is
+    broadcast only if counting shows at most ``limit`` rows."""
+    few = gone.limit(limit + 1).count() <= limit
+    return docs.join(F.broadcast(gone) if few else gone, same_row(id_col, text_col), "left_anti")
+
+
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     """True where crc32(id as text) mod ``modulus`` is ``remainder``; a null id
     counts as the empty text."""

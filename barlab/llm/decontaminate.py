@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, text_bytes, written
+from barlab.llm.common import anti_rows, batch_of, text_bytes, text_key, written
 
 #: ASCII letters to lower case, other ASCII but digits to a space, the rest (UTF-8 beyond ASCII) as it is.
 _PLAIN = bytes(c if c >= 0x80 or chr(c).isdigit() else ord(chr(c).lower()) if chr(c).isalpha() else 0x20
@@ -219,14 +219,15 @@ def _automaton(sequences: list[tuple[str, bytes]], window: int) -> SuffixAutomat
     return _AUTOMATA[key]
 
 
-_SCANNED = ("doc_id long, text string, n_words long, longest long, spans array<array<long>>, items array<string>")
+_SCANNED = ("doc_id long, text_key long, text string, n_words long, longest long, spans array<array<long>>, items array<string>")
 _ARROW_SCANNED = pa.schema([
-    ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("longest", pa.int64()),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("longest", pa.int64()),
     ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 _RESULT = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()),
     ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("longest", pa.int64()),
-    ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string())), ("clean_text", pa.string())])
+    ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string())), ("clean_text", pa.string()),
+    ("text_key", pa.int64())])
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> int:
@@ -239,7 +240,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, max_share: int = 20,
                   block_words: int = 200_000, clean: bool = False) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated, longest, spans, items, clean_text``.
+    contaminated, longest, spans, items, clean_text, text_key``.
 
     ``n_hit`` words lie inside an occurrence of a window (``window`` consecutive
     words of an item, or a whole shorter item); ``spans`` are those words'
@@ -259,7 +260,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = _blocks(benchmark, item_col, item_text_col, block_words)
     named = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("words"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     state = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("longest"),
                         F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("items"))
@@ -280,8 +281,8 @@ def _pass(state: DataFrame, shared, window: int, *, last: bool, max_share: int,
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 out: list[list] = [[] for _ in range(9 if last else 4)]
-                before = zip(part.column(3).to_pylist(), part.column(4).to_pylist(), part.column(5).to_pylist())
-                for text, (was, old, met) in zip(text_bytes(part.column(1)), before):
+                before = zip(*(part.column(k).to_pylist() for k in (4, 5, 6)))
+                for text, (was, old, met) in zip(text_bytes(part.column(2)), before):
                     n, longest, spans, items = automaton.scan(plain(text))
                     if old:
                         merged: list[list[int]] = []
@@ -299,10 +300,16 @@ def _pass(state: DataFrame, shared, window: int, *, last: bool, max_share: int,
                     for column, value in zip(out, row):
                         column.append(value)
                 if last:
-                    yield batch_of(_RESULT, [part.column(0), *out])
+                    yield batch_of(_RESULT, [part.column(0), *out, part.column(1)])
                 else:
-                    yield batch_of(_ARROW_SCANNED, [part.column(0), part.column(1), *out])
+                    yield batch_of(_ARROW_SCANNED, [part.column(0), part.column(1), part.column(2), *out])
 
     schema = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-              "longest long, spans array<array<long>>, items array<string>, clean_text string") if last else _SCANNED
+              "longest long, spans array<array<long>>, items array<string>, clean_text string, text_key long") if last else _SCANNED
     return state.mapInArrow(scan, schema)
+
+
+def without_contaminated(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that are not contaminated."""
+    gone = decided.filter("contaminated").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
+    return anti_rows(docs, gone, id_col, text_col)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.llm.common import small_join, written
+from barlab.llm.common import same_row, text_key, written
 
 #: (progress, weight) knots; weight is linear between knots.  Sources take the
 #: schedules in turn, in the order of their names.
@@ -99,7 +99,8 @@ def curriculum_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3,
                    schedules: Sequence[Sequence[tuple[float, float]]] = (STEADY, LATE, EARLY),
                    rows_per_bucket: int = 2_000) -> DataFrame:
-    """One row per input row: ``doc_id, source, size, source_size, target, copies, positions``.
+    """One row per input row: ``doc_id, source, size, source_size, target, copies,
+    positions`` and ``bucket, row, text_key``, which name the row.
 
     ``size`` counts the words of the whole text (null or empty: 0).  ``copies``
     says how often the mix takes the document (0 to ``max_epochs``) and
@@ -115,7 +116,7 @@ def curriculum_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     an empty result; other columns are ignored.
     """
     rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                               F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD))
+                               text_key(text_col).alias("text_key"), F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD))
                                .cast("long").alias("size")).withColumn("h", _order_hash()), "mix-rows")
     total = rows.count()
     buckets = max(1, -(-total // rows_per_bucket))
@@ -152,7 +153,7 @@ def curriculum_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if step == 0:
             placed = written(placed, "mix-nudged")
     return _positions(placed, schedules).select("doc_id", "source", "size", "source_size", "target", "copies",
-                                                "positions", "bucket", "row")
+                                                "positions", "bucket", "row", "text_key")
 
 
 def _nudged(placed: DataFrame, with_targets, max_epochs: int) -> DataFrame:
@@ -195,3 +196,16 @@ def training_order(plan: DataFrame, partitions: int | None = None) -> DataFrame:
     keys = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last(), F.col("epoch").asc_nulls_last()]
     spread = copies.repartitionByRange(partitions, *keys) if partitions else copies.repartitionByRange(*keys)
     return spread.sortWithinPartitions(*keys)
+
+
+def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The copies that ``plan`` takes, each a row of ``docs`` with all its columns
+    as they are, range-sorted by training position."""
+    by_row = plan.groupBy(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).agg(
+        F.array_sort(F.flatten(F.collect_list("positions"))).alias("__positions"), F.count("*").alias("__rows"))
+    by_row = written(by_row, "mix-plan")
+    once = docs.dropDuplicates([id_col, text_col]) if by_row.filter("__rows > 1").limit(1).count() else docs
+    taken = once.join(by_row.filter(F.size("__positions") > 0), same_row(id_col, text_col))
+    copies = taken.select(*docs.columns, F.posexplode("__positions").alias("__epoch", "__position"))
+    keys = ["__position", F.col(id_col).asc_nulls_last(), "__epoch"]
+    return copies.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*docs.columns)

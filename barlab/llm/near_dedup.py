@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import WordHash, answers_to_rows, batch_of, small_join, text_bytes, written
+from barlab.llm.common import (WordHash, answers_to_rows, anti_rows, batch_of, small_join, text_bytes, text_key,
+                               written)
 from barlab.llm.components import components
 from barlab.llm.decontaminate import word_chunks
 
@@ -84,7 +85,7 @@ def region_keys(signature: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("keys", pa.list_(pa.int64())),
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("keys", pa.list_(pa.int64())),
                      ("sig", pa.binary())])
 _WORDS = WordHash()
 
@@ -94,7 +95,7 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
             out: list[list] = [[] for _ in range(4)]
-            for text in text_bytes(part.column(1)):
+            for text in text_bytes(part.column(2)):
                 found = shingle_set(text, _WORDS, width)
                 row = [0, None, None, None]
                 if len(found):
@@ -104,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
                            region_keys(signature), (signature & np.uint32(255)).astype(np.uint8).tobytes()]
                 for column, value in zip(out, row):
                     column.append(value)
-            yield batch_of(_SIGNED, [part.column(0), *out])
+            yield batch_of(_SIGNED, [part.column(0), part.column(1), *out])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -255,13 +256,14 @@ def _forest(classes: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = 5,
                percent: int = 80, alike: float = 0.66, reach: int = 2, few: int = 4) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``.
+    """One row per input row: ``doc_id, n_shingles, component_id, kept, text_key``.
 
     Words are runs of other characters than ASCII white space, ASCII letters
     lower-cased.  Two texts are linked when 100 times the intersection of their
     sets of ``shingle_words``-word shingles is at least ``percent`` times the
     union, confirmed on the full sets; ``component_id`` is the smallest
-    identifier reachable over links, and the row that bears it is ``kept``.
+    identifier reachable over links, and the row that bears it is ``kept``;
+    ``text_key`` is a 64-bit hash of the text, to find the row by.
 
     A null or empty text has an empty set and is linked with nothing.  Repeated
     rows are equal texts and share ``kept`` if they share the identifier.  A
@@ -272,10 +274,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``alike`` is the share of equal signature values from which a candidate is
     confirmed (0.66 is 3.8 standard deviations below a similarity of 0.8).
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = written(texts.mapInArrow(lambda b: _sign(b, shingle_words),
-                                    "doc_id long, n long, cls binary, keys array<long>, sig binary"), "near-rows")
+    rows = written(texts.mapInArrow(
+        lambda b: _sign(b, shingle_words),
+        "doc_id long, text_key long, n long, cls binary, keys array<long>, sig binary"), "near-rows")
     classes = written(rows.filter("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("keys").alias("keys"), F.first("sig").alias("sig")), "near-classes")
@@ -318,7 +321,17 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("node").alias("cls"), "component_id")
     answers = written(classes.join(lowest, "cls", "left").select(
         "cls", "copies", F.coalesce("component_id", "min_id").alias("component_id")), "near-answers")
-    out = answers_to_rows(rows.select("doc_id", "n", "cls"), answers, "cls", "copies").select(
+    out = answers_to_rows(rows.select("doc_id", "text_key", "n", "cls"), answers, "cls", "copies").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id"))
-        .otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .otherwise(F.col("component_id")).alias("component_id"), "text_key")
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
+
+
+def one_of_each(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``near_dedup`` keeps;
+    of rows with equal identifier and text, one."""
+    gone = decided.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
+    left = anti_rows(docs, gone, id_col, text_col)
+    repeated = decided.filter("kept").groupBy("doc_id", "text_key").count().filter("count > 1")
+    return left.dropDuplicates([id_col, text_col]) if repeated.limit(1).count() else left
