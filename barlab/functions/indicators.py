@@ -4,22 +4,25 @@ A series is the ts-ordered rows of one partition key (default one session,
 ``symbol, dt``).  All windows here share one ``partitionBy/orderBy``, so a
 chain of indicators costs one exchange and one sort.
 
-Exponential smoothing (``ewm(adjust=False)``, seeded with the first value) has
-no built-in window function; it is written in closed form as one running
-sum: with ``q = 1 - alpha`` and ``i`` the 0-based position from the seed,
-
-    y_i = q**i * sum_{k<=i} c_k * x_k,   c_0 = 1,  c_k = alpha * q**(-k)
-
-``q**(-i)`` overflows near ``i * ln(1/q) ~ 700`` rows, so a series may hold at
-most ``max_smooth_rows(alpha)`` rows; sessions of minute bars (<= 1440) are
-inside that bound for every span >= 4 (EMA 9: ~2,900 rows, Wilder 14: ~8,800).
-A longer series fails with an explicit error instead of returning inf/NaN.
+Exponential smoothing (recursive, seeded with the first value) has no built-in
+window function.  It is the linear recurrence ``y = a*y_prev + b`` with
+``a = q**g / (q**g + alpha)`` and ``b = alpha*x / (q**g + alpha)`` after a gap of
+``g`` rows (``q = 1 - alpha``); a NULL row carries the value on.  With ``L`` the
+running sum of ``-ln a`` it has the closed form
+
+    y_i = sum_{k<=i} b_k * exp(L_k - L_i)
+
+which is evaluated in blocks of ``L`` (``BLOCK`` wide): inside a block exponents
+stay within double range, the block before counts as one sum scaled by
+``exp(-BLOCK)``, and what is further back weighs less than ``exp(-BLOCK)`` and
+is below double precision.  Series of any length and any gaps are fine.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -43,11 +46,7 @@ def whole(keys: Sequence[str] = SESSION_KEYS) -> WindowSpec:
     return Window.partitionBy(*keys)
 
 
-def max_smooth_rows(alpha: float) -> int:
-    q = 1.0 - alpha
-    if q <= 0.0:
-        return 2**31 - 1
-    return int(650.0 / math.log(1.0 / q))
+BLOCK = 300.0
 
 
 def with_index(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
@@ -56,31 +55,72 @@ def with_index(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, order: str = "
     return df.withColumn(name, (F.row_number().over(series_window(keys, order)) - 1).cast("int"))
 
 
-def smooth_expr(x: Column, alpha: float, *, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
-                idx: str = "idx", start: int = 0) -> Column:
-    """Closed-form exponential smoothing of ``x`` as one Column (window inline).
-
-    ``x`` must not itself contain a window function; rows before series
-    position ``start`` give NULL, as pandas leaves leading NaN."""
-    i = F.col(idx) - F.lit(start)
-    if alpha >= 1.0:
-        return F.when(i >= 0, x)
-    q = 1.0 - alpha
-    term = F.when(i == 0, x).when(i > 0, F.lit(alpha) * F.pow(F.lit(q), -i) * x)
-    limit = max_smooth_rows(alpha)
-    too_long = F.raise_error(F.lit(f"series longer than {limit} rows: closed-form smoothing with alpha={alpha:.4g} "
-                                   "would overflow; split the series (e.g. by session)"))
-    return (F.when(F.col(idx) > limit, too_long.cast("double"))
-             .when(i >= 0, F.pow(F.lit(q), i) * F.sum(term).over(running(series_window(keys, order)))))
+@dataclass(frozen=True)
+class Smoothing:
+    """``out``: smoothing of column ``src`` with ``alpha``.  ``gaps`` may name a
+    column that is known exactly where ``src`` is (its gaps are then shared)."""
 
+    src: str
+    out: str
+    alpha: float
+    gaps: str | None = None
 
-def smooth(df: DataFrame, src: str, out: str, alpha: float, *,
-           keys: Sequence[str] = SESSION_KEYS, order: str = "ts", idx: str = "idx",
-           start: int = 0) -> DataFrame:
-    """Exponential smoothing of ``src`` seeded at series position ``start``.
 
-    Requires ``idx`` from :func:`with_index`."""
-    return df.withColumn(out, smooth_expr(F.col(src), alpha, keys=keys, order=order, idx=idx, start=start))
+def smooth_all(df: DataFrame, specs: Sequence[Smoothing], *, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
+               idx: str = "idx") -> DataFrame:
+    """Adds all smoothings in a few shared stages; needs ``idx`` from
+    :func:`with_index`.  NULL and NaN inputs carry the last value on, rows before
+    the first input are NULL.  Every stage is partitioned by ``keys`` (blocks by
+    more columns), so no stage shuffles again."""
+    w = series_window(keys, order)
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    gap_of = {s.gaps or s.src: f"__gap{k}" for k, s in enumerate(specs)}
+    df = df.withColumns({name: F.col(idx) - F.last(F.when(known(c), F.col(idx)), ignorenulls=True)
+                         .over(w.rowsBetween(UNB, -1)) for c, name in gap_of.items()})
+    decay = {}  # (gaps, alpha) -> name of the running -ln a
+    step, terms = {}, {}
+    for k, s in enumerate(specs):
+        gap = F.col(gap_of[s.gaps or s.src])
+        if s.alpha >= 1.0:
+            continue
+        log_q = math.log(1.0 - s.alpha)
+        mass = F.exp(gap * F.lit(log_q)) + F.lit(s.alpha)  # q**g + alpha
+        pair = (s.gaps or s.src, s.alpha)
+        if pair not in decay:
+            decay[pair] = f"__dec{k}"
+            step[decay[pair]] = F.when(known(pair[0]) & gap.isNotNull(),
+                                       F.least(F.log(mass) - gap * F.lit(log_q), F.lit(BLOCK))).otherwise(F.lit(0.0))
+        terms[f"__b{k}"] = F.when(known(s.src), F.when(gap.isNull(), F.col(s.src))
+                                  .otherwise(F.lit(s.alpha) * F.col(s.src) / mass))
+    df = df.withColumns({**step, **terms}) if step else df
+    df = df.withColumns({c: F.sum(c).over(running(w)) for c in step}) if step else df
+    block = {c: f"{c}_blk" for c in step}
+    df = df.withColumns({b: F.floor(F.col(c) / F.lit(BLOCK)) for c, b in block.items()}) if step else df
+    within = lambda c: F.col(c) - F.lit(BLOCK) * F.col(block[c])
+    df = df.withColumns({f"__b{k}": F.col(f"__b{k}") * F.exp(within(decay[s.gaps or s.src, s.alpha]))
+                         for k, s in enumerate(specs) if f"__b{k}" in terms}) if step else df
+    for c, b in block.items():
+        own = [k for k, s in enumerate(specs) if decay.get((s.gaps or s.src, s.alpha)) == c]
+        by_block = Window.partitionBy(*keys, b).orderBy(order)
+        before = Window.partitionBy(*keys).orderBy(b).rangeBetween(-1, -1)
+        df = df.withColumns({f"__s{k}": F.sum(f"__b{k}").over(running(by_block)) for k in own})
+        df = df.withColumns({f"__p{k}": F.sum(f"__b{k}").over(before) for k in own})
+    out = {}
+    for k, s in enumerate(specs):
+        seen = known(s.src) | F.col(gap_of[s.gaps or s.src]).isNotNull()
+        if s.alpha >= 1.0:
+            out[s.out] = F.last(F.when(known(s.src), F.col(s.src)), ignorenulls=True).over(running(w))
+        else:
+            total = F.coalesce(f"__s{k}", F.lit(0.0)) + F.lit(math.exp(-BLOCK)) * F.coalesce(f"__p{k}", F.lit(0.0))
+            out[s.out] = F.when(seen, F.exp(-within(decay[s.gaps or s.src, s.alpha])) * total)
+    made = [*gap_of.values(), *step, *block.values(), *terms,
+            *(f"__{x}{k}" for x in "sp" for k in range(len(specs)) if f"__b{k}" in terms)]
+    return df.withColumns(out).drop(*made)
+
+
+def smooth(df: DataFrame, src: str, out: str, alpha: float, **kw) -> DataFrame:
+    """Exponential smoothing of ``src``; requires ``idx`` from :func:`with_index`."""
+    return smooth_all(df, [Smoothing(src, out, alpha)], **kw)
 
 
 def ema(df: DataFrame, src: str, span: int, out: str | None = None, **kw) -> DataFrame:
@@ -91,7 +131,7 @@ def ema(df: DataFrame, src: str, span: int, out: str | None = None, **kw) -> Dat
 def emas(df: DataFrame, src: str, spans: Sequence[int], names: Sequence[str] | None = None, **kw) -> DataFrame:
     """Several EMAs of one column in a single projection."""
     names = names or [f"ema_{n}" for n in spans]
-    return df.withColumns({nm: smooth_expr(F.col(src), 2.0 / (n + 1.0), **kw) for nm, n in zip(names, spans)})
+    return smooth_all(df, [Smoothing(src, nm, 2.0 / (n + 1.0)) for nm, n in zip(names, spans)], **kw)
 
 
 def wilder(df: DataFrame, src: str, n: int, out: str, **kw) -> DataFrame:
@@ -134,14 +174,16 @@ def rsi_inputs(src: str = "close", variant: str = "null", *, keys: Sequence[str]
     d = F.col(src) - F.lag(src).over(series_window(keys, order))
     if variant == "eps":
         return (F.when(d > 0, d).otherwise(F.lit(0.0)), F.when(d < 0, -d).otherwise(F.lit(0.0)))
-    return F.greatest(d, F.lit(0.0)), F.greatest(-d, F.lit(0.0))
+    gain, loss = F.greatest(d, F.lit(0.0)), F.greatest(-d, F.lit(0.0))
+    return F.when(d.isNotNull(), gain), F.when(d.isNotNull(), loss)  # greatest alone would turn an unknown step into 0
+
+
+def rsi_smoothings(up: str, dn: str, n: int, out_up: str, out_dn: str) -> list[Smoothing]:
+    return [Smoothing(up, out_up, 1.0 / n), Smoothing(dn, out_dn, 1.0 / n, gaps=up)]
 
 
-def rsi_expr(up: str, dn: str, n: int = 14, variant: str = "null", **kw) -> Column:
-    """RSI from gain/loss columns (both smoothings inline)."""
-    start = 0 if variant == "eps" else 1
-    au = smooth_expr(F.col(up), 1.0 / n, start=start, **kw)
-    ad = smooth_expr(F.col(dn), 1.0 / n, start=start, **kw)
+def rsi_of(au: Column, ad: Column, variant: str = "null") -> Column:
+    """RSI from the smoothed gain and loss."""
     if variant == "eps":
         return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / (ad + F.lit(1e-9)))
     val = F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + au / F.nullif(ad, F.lit(0.0)))
@@ -161,9 +203,8 @@ def rsi(df: DataFrame, src: str = "close", n: int = 14, out: str | None = None,
     out = out or f"rsi_{n}"
     up, dn = rsi_inputs(src, variant, keys=keys, order=order)
     tu, td = f"_{out}_up", f"_{out}_dn"
-    df = df.withColumns({tu: up, td: dn})
-    df = df.withColumn(out, rsi_expr(tu, td, n, variant, keys=keys, order=order, idx=idx))
-    return df.drop(tu, td)
+    df = smooth_all(df.withColumns({tu: up, td: dn}), rsi_smoothings(tu, td, n, tu, td), keys=keys, order=order, idx=idx)
+    return df.withColumn(out, rsi_of(F.col(tu), F.col(td), variant)).drop(tu, td)
 
 
 def true_range_expr(*, keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> Column:
@@ -183,16 +224,15 @@ def atr(df: DataFrame, n: int = 14, out: str | None = None, **kw) -> DataFrame:
     out = out or f"atr_{n}"
     tr = f"_{out}_tr"
     wkw = {k: v for k, v in kw.items() if k in ("keys", "order")}
-    df = df.withColumn(tr, true_range_expr(**wkw))
-    return df.withColumn(out, smooth_expr(F.col(tr), 1.0 / n, **kw)).drop(tr)
+    return smooth(df.withColumn(tr, true_range_expr(**wkw)), tr, out, 1.0 / n, **kw).drop(tr)
 
 
 def macd(df: DataFrame, src: str = "close", fast: int = 12, slow: int = 26, signal: int = 9,
          **kw) -> DataFrame:
     """MACD line, signal (EMA of the line) and histogram."""
-    line = smooth_expr(F.col(src), 2.0 / (fast + 1.0), **kw) - smooth_expr(F.col(src), 2.0 / (slow + 1.0), **kw)
-    df = df.withColumn("macd", line)
-    df = df.withColumn("macd_signal", smooth_expr(F.col("macd"), 2.0 / (signal + 1.0), **kw))
+    df = emas(df, src, [fast, slow], ["_macd_fast", "_macd_slow"], **kw)
+    df = df.withColumn("macd", F.col("_macd_fast") - F.col("_macd_slow")).drop("_macd_fast", "_macd_slow")
+    df = ema(df, "macd", signal, "macd_signal", **kw)
     return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
@@ -239,13 +279,13 @@ def expanding_quantile(df: DataFrame, src: str, q: float, out: str, *,
     import pandas as pd
     from pyspark.sql import types as T
 
-    from barlab.operators.swings import expanding_quantile_values
+    from barlab.operators.zigzag import quantiles_so_far
 
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        return pdf.assign(**{out: expanding_quantile_values(pdf[src].to_numpy(float), q)})
+        return pdf.assign(**{out: quantiles_so_far([], pdf[src].to_numpy(float), q)})
 
     from barlab.session import ship_package
     ship_package(df.sparkSession)

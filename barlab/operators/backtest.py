@@ -72,17 +72,16 @@ RULE_D = replace(RULE_C, kind="D", zz_atr_mult=1.5)
 # --------------------------------------------------------------------------- prepare
 def add_indicators(df: DataFrame, rs: RuleSet) -> DataFrame:
     """EMA fast/slow, RSI (NULL variant) and ATR over the full session."""
-    kw = dict(keys=rs.keys)
     up, dn = ind.rsi_inputs("close", "null", keys=rs.keys)
     df = df.withColumns({
         "idx": (F.row_number().over(ind.series_window(rs.keys)) - 1).cast("int"),
         "_up": up, "_dn": dn, "_tr": ind.true_range_expr(keys=rs.keys)})
-    df = df.withColumns({
-        "ema_fast": ind.smooth_expr(F.col("close"), 2.0 / (rs.ema_fast + 1.0), **kw),
-        "ema_slow": ind.smooth_expr(F.col("close"), 2.0 / (rs.ema_slow + 1.0), **kw),
-        "rsi": ind.rsi_expr("_up", "_dn", rs.rsi_len, "null", **kw),
-        "atr": ind.smooth_expr(F.col("_tr"), 1.0 / rs.atr_len, **kw)})
-    return df.drop("_up", "_dn", "_tr")
+    df = ind.smooth_all(df, [
+        ind.Smoothing("close", "ema_fast", 2.0 / (rs.ema_fast + 1.0)),
+        ind.Smoothing("close", "ema_slow", 2.0 / (rs.ema_slow + 1.0)),
+        *ind.rsi_smoothings("_up", "_dn", rs.rsi_len, "_up", "_dn"),
+        ind.Smoothing("_tr", "atr", 1.0 / rs.atr_len)], keys=rs.keys)
+    return df.withColumn("rsi", ind.rsi_of(F.col("_up"), F.col("_dn"), "null")).drop("_up", "_dn", "_tr")
 
 
 def session_bars(bars: DataFrame, rs: RuleSet) -> DataFrame:
@@ -165,31 +164,28 @@ def add_entry_plan(df: DataFrame, rs: RuleSet, lo: str = "lo", hi: str = "hi",
 _BAR_FIELDS = ["idx", "ts", "high", "low", "close", "sig", "has_next", "valid", "e_ts", "e_open",
                "R", "stop", "tp1", "ext1", "ext2", "n1", "n2"]
 
-# Levels of the per-session search index: blocks of up to 2**11 bars, so a
-# session may hold up to 4,095 bars (a day of minute bars is 1,440); a longer
-# session needs a larger ``levels``.
-SEARCH_LEVELS = 12
-
-
-def add_search_arrays(per_session: DataFrame, bars: str = "bars", levels: int = SEARCH_LEVELS) -> DataFrame:
+def add_search_arrays(per_session: DataFrame, bars: str = "bars") -> DataFrame:
     """Search index of each session row: ``mn[k][j]`` / ``mx[k][j]`` = lowest
     low / highest high of the ``2**k`` bars starting at position ``j`` (clipped
     at the session end).  Built by doubling inside the session array,
     ``m_k[j] = min(m_{k-1}[j], m_{k-1}[j + 2**(k-1)])``: O(bars x levels) per
-    session, no window pass over the bar rows."""
+    session, no window pass over the bar rows.  The number of levels follows
+    each session's size, so that the blocks together span it."""
+    top = F.greatest(F.lit(1), F.ceil(F.log2(F.size(bars) + F.lit(1))).cast("int"))
+
     def levels_of(field: str, pick) -> Column:
         def step(acc, k):
             prev = F.element_at(acc, k)
             width = F.pow(F.lit(2), k - 1).cast("int")
             return F.concat(acc, F.array(F.transform(prev, lambda v, j: pick(v, F.try_element_at(prev, j + 1 + width)))))
         base = F.array(F.transform(bars, lambda b: b[field]))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(levels - 1)), base, step)
+        return F.aggregate(F.filter(F.sequence(F.lit(0), top - 1), lambda k: k > 0), base, step)
 
     return per_session.withColumns({"mn": levels_of("low", F.least), "mx": levels_of("high", F.greatest)})
 
 
 def _first_hit(mn_idx: Column, mx_idx: Column, n: Column, after: Column, side: Column, level: Column,
-               kind: str, levels: int = SEARCH_LEVELS) -> Column:
+               kind: str) -> Column:
     """Position of the first bar after ``after`` that reaches ``level`` (NULL if
     none), by binary lifting over the search index: whole blocks without a
     hit are skipped, largest first -- O(levels) per search.
@@ -209,9 +205,8 @@ def _first_hit(mn_idx: Column, mx_idx: Column, n: Column, after: Column, side: C
         jump = F.pow(F.lit(2), k).cast("int")
         return F.when((pos + jump <= n) & clear(pos, k), pos + jump).otherwise(pos)
 
-    pos = F.aggregate(F.sequence(F.lit(levels - 1), F.lit(0), F.lit(-1)), (after + 1).cast("int"), step)
-    too_long = F.raise_error(F.lit(f"session longer than {2 ** levels - 1} bars: raise SEARCH_LEVELS"))
-    return F.when(n > 2 ** levels - 1, too_long.cast("int")).when(pos < n, pos)
+    pos = F.aggregate(F.sequence(F.size(mn_idx) - 1, F.lit(0), F.lit(-1)), (after + 1).cast("int"), step)
+    return F.when(pos < n, pos)
 
 
 def outcomes(plans: Column, bars: Column, be_label: bool = False, mn: Column | None = None,

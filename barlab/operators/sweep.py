@@ -72,23 +72,22 @@ def sweep_bars(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] | No
     """One row per session: ``lo, hi, direction`` and the sorted array of kept
     bars carrying every indicator length the grid needs."""
     emas, rsis, atrs = _lengths(grid)
-    df = ind.with_index(bars, keys)
-    for n in emas:
-        df = ind.ema(df, "close", n, f"ema_{n}", keys=keys)
+    up, dn = ind.rsi_inputs("close", "null", keys=keys)
+    df = ind.with_index(bars, keys).withColumns({"_up": up, "_dn": dn, "_tr": ind.true_range_expr(keys=keys)})
+    specs = [ind.Smoothing("close", f"ema_{n}", 2.0 / (n + 1.0)) for n in emas]
     for n in rsis:
-        df = ind.rsi(df, "close", n, f"rsi_{n}", variant="null", keys=keys)
-    for n in atrs:
-        df = ind.atr(df, n, f"atr_{n}", keys=keys)
+        specs += ind.rsi_smoothings("_up", "_dn", n, f"_up_{n}", f"_dn_{n}")
+    specs += [ind.Smoothing("_tr", f"atr_{n}", 1.0 / n) for n in atrs]
+    df = ind.smooth_all(df, specs, keys=keys)
+    df = df.withColumns({f"rsi_{n}": ind.rsi_of(F.col(f"_up_{n}"), F.col(f"_dn_{n}"), "null") for n in rsis})
     if windows:
         df = df.filter(scalar.in_time_windows(F.col("ts"), windows, tz))
         df = ind.with_index(df.drop("idx"), keys)
     df = fib.session_extremes(df, keys)
     w = ind.series_window(keys, "idx")
-    df = (df.withColumn("has_next", F.lead("idx").over(w).isNotNull())
-            .withColumn("e_ts", F.lead("ts").over(w))
-            .withColumn("e_open", F.lead("open").over(w)))
-    for n in atrs:
-        df = df.withColumn(f"e_atr_{n}", F.lead(f"atr_{n}").over(w))
+    df = df.withColumns({"has_next": F.lead("idx").over(w).isNotNull(), "e_ts": F.lead("ts").over(w),
+                         "e_open": F.lead("open").over(w),
+                         **{f"e_atr_{n}": F.lead(f"atr_{n}").over(w) for n in atrs}})
     item = F.struct(
         "idx", "ts", "high", "low", "close", "has_next", "e_ts", "e_open",
         F.array(*[F.col(f"ema_{n}") for n in emas]).alias("emas"),

@@ -17,18 +17,23 @@ from barlab.plans.registry import register, rounded, sql_final
 from barlab.session import scratch_dir
 from barlab.streaming import live
 
-SPLIT_DAY = "2024-01-16"
+#: The day in the middle of the bars: earlier days are the first arrival.
+SPLIT_SQL = "(SELECT min(dt) + CAST(floor((max(dt) - min(dt)) / 2) AS INTEGER) FROM bars)"
 BAR6 = ["symbol", "ts", "open", "high", "low", "close", "volume"]
 
 
-def _two_arrivals(spark, sf, build):
+def split_day(bars):
+    return bars.agg(F.expr("date_add(min(dt), cast(floor(datediff(max(dt), min(dt)) / 2) AS INT))")).first()[0]
+
+
+def _two_arrivals(spark, sf, build, max_files: int | None = None):
     bars = fixtures.bars(spark, sf)
     src, sink, ckpt = (scratch_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
-    split = F.lit(SPLIT_DAY).cast("date")
+    split = F.lit(split_day(bars))
     for part in (bars.filter(F.col("dt") < split), bars.filter(F.col("dt") >= split)):
         live.land(part, src)
-        live.run_available_now(build(live.read_bars(spark, src)), sink, ckpt)
-    return spark.read.parquet(sink)
+        live.run_available_now(build(live.read_bars(spark, src, watermark=None, max_files=max_files)), sink, ckpt)
+    return spark.read.parquet(sink).filter(~F.col("late"))
 
 
 # ---------------------------------------------------------------- T5 / S23
@@ -54,7 +59,7 @@ IND_D = ["close", "ema9", "ema21", "rsi", "atr"]
 
 
 def q_stream_indicators(spark, sf):
-    return rounded(_two_arrivals(spark, sf, live.stream_indicators))
+    return rounded(_two_arrivals(spark, sf, live.stream_indicators).select(*IND_COLS))
 
 
 def _unbroken_sql(src: str, where: str = "TRUE") -> str:
@@ -81,27 +86,28 @@ def q_stream_seeded(spark, sf, n: int = 300):
     rest stream live (T2, S24)."""
     from pyspark.sql import Window
     bars = fixtures.bars(spark, sf)
-    before = bars.filter(F.col("dt") < F.lit(SPLIT_DAY).cast("date"))
+    split = F.lit(split_day(bars))
+    before = bars.filter(F.col("dt") < split)
     w = Window.partitionBy("symbol").orderBy(F.col("ts").desc())
     seed = before.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= n).drop("_rk")
-    after = bars.filter(F.col("dt") >= F.lit(SPLIT_DAY).cast("date"))
+    after = bars.filter(F.col("dt") >= split)
     src, sink, ckpt = (scratch_dir(spark, x) for x in ("seed-src", "seed-sink", "seed-ckpt"))
     live.land(seed, src, seed=True)
-    live.run_available_now(live.stream_indicators(live.read_bars(spark, src)), sink, ckpt)
+    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None)), sink, ckpt)
     live.land(after, src)
-    live.run_available_now(live.stream_indicators(live.read_bars(spark, src)), sink, ckpt)
-    return rounded(spark.read.parquet(sink))
+    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None)), sink, ckpt)
+    return rounded(spark.read.parquet(sink).filter(~F.col("late")).select(*IND_COLS))
 
 
 register("stream_seeded", sql=_unbroken_sql(
     f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rk FROM bars "
-    f"WHERE dt < DATE '{SPLIT_DAY}') s WHERE rk <= 300 UNION ALL SELECT *, 0 FROM bars WHERE dt >= DATE '{SPLIT_DAY}')",
-    f"dt >= DATE '{SPLIT_DAY}'"))(q_stream_seeded)
+    f"WHERE dt < {SPLIT_SQL}) s WHERE rk <= 300 UNION ALL SELECT *, 0 FROM bars WHERE dt >= {SPLIT_SQL})",
+    f"dt >= {SPLIT_SQL}"))(q_stream_seeded)
 
 
 # ---------------------------------------------------------------- T3 / T4 / S22
 def q_stream_signals(spark, sf):
-    return rounded(_two_arrivals(spark, sf, live.stream_signals))
+    return rounded(_two_arrivals(spark, sf, live.stream_signals).select(*q_swings._LIVE_COLS))
 
 
 _LIVE_SQL = "WITH RECURSIVE " + ",\n".join(q_swings._LIVE_CTES)
@@ -113,8 +119,8 @@ LOG_COLS = ["symbol", "ts", "close", "ema9", "ema21", "rsi", "atr", "in_zone", "
 
 def q_stream_signal_log(spark, sf):
     """Append-only diagnostics log: bars with an up leg and no open position."""
-    return rounded(_two_arrivals(spark, sf, lambda b: live.stream_signals(b).filter(F.col("logged"))
-                                 .select(*LOG_COLS)))
+    return rounded(_two_arrivals(spark, sf, lambda b: live.stream_signals(b)
+                                 .filter(F.col("logged") | F.col("late"))).select(*LOG_COLS))
 
 
 register("stream_signal_log", sql=sql_final(_LIVE_SQL + " SELECT * FROM z WHERE logged", LOG_COLS,

@@ -72,8 +72,9 @@ register("backtest_rolling", sql=sim_sql.rolling_trades_sql(bt.RULE_D))(_trades(
 
 # ---------------------------------------------------------------- F5 last leg
 def q_zigzag_last_leg(spark, sf):
-    b = ind.atr(ind.with_index(fixtures.bars(spark, sf)), 14, "atr")
-    leg = swings.last_leg(b, swings.LIVE["zz_atr_mult"])
+    one = ("symbol",)
+    b = ind.atr(ind.with_index(fixtures.bars(spark, sf), one), 14, "atr", keys=one)
+    leg = swings.last_leg(b, swings.LIVE.zz_atr_mult, keys=one)
     return rounded(leg.select("symbol", "dt", "ts", "leg_dir", "leg_low", "leg_high"))
 
 
@@ -86,40 +87,46 @@ def _last_leg_ctes(mult: float, src: str) -> list[str]:
     swing = f"({first} OR {rev})"
     moved = f"({first} OR {ext} OR {rev})"
     return [
-        f"lg AS (SELECT symbol, dt, idx, close AS ref, CAST(NULL AS BOOLEAN) AS up, atr * {m!r} AS thr, "
+        f"lg AS (SELECT symbol, idx, close AS ref, CAST(NULL AS BOOLEAN) AS up, atr * {m!r} AS thr, "
         f"CAST(NULL AS INTEGER) AS s_prev, 0 AS s_last FROM {src} WHERE idx = 0 "
-        f"UNION ALL SELECT s.symbol, s.dt, p.idx, CASE WHEN {moved} THEN {c} ELSE s.ref END, "
+        f"UNION ALL SELECT s.symbol, p.idx, CASE WHEN {moved} THEN {c} ELSE s.ref END, "
         f"CASE WHEN {first} THEN ({c} - s.ref) > 0 WHEN {rev} THEN NOT s.up ELSE s.up END, "
         f"CASE WHEN {moved} THEN p.atr * {m!r} ELSE s.thr END, "
         f"CASE WHEN {swing} THEN s.s_last ELSE s.s_prev END, CASE WHEN {swing} THEN p.idx ELSE s.s_last END "
-        f"FROM lg s JOIN {src} p ON p.symbol = s.symbol AND p.dt = s.dt AND p.idx = s.idx + 1)",
-        f"lg2 AS (SELECT l.symbol, l.dt, l.idx, l.s_prev, l.s_last, min(q.low) AS lo, max(q.high) AS hi FROM lg l "
-        f"JOIN {src} q ON q.symbol = l.symbol AND q.dt = l.dt AND q.idx BETWEEN l.s_prev AND l.s_last "
+        f"FROM lg s JOIN {src} p ON p.symbol = s.symbol AND p.idx = s.idx + 1)",
+        f"lg2 AS (SELECT l.symbol, l.idx, l.s_prev, l.s_last, min(q.low) AS lo, max(q.high) AS hi FROM lg l "
+        f"JOIN {src} q ON q.symbol = l.symbol AND q.idx BETWEEN l.s_prev AND l.s_last "
         "WHERE l.idx + 1 >= 5 AND l.s_prev IS NOT NULL GROUP BY ALL)",
-        f"lg3 AS (SELECT g.symbol, g.dt, g.idx, CASE WHEN g.hi - g.lo > 0 THEN g.lo END AS leg_low, "
+        f"lg3 AS (SELECT g.symbol, g.idx, CASE WHEN g.hi - g.lo > 0 THEN g.lo END AS leg_low, "
         f"CASE WHEN g.hi - g.lo > 0 THEN g.hi END AS leg_high, CASE WHEN g.hi - g.lo > 0 THEN "
         f"(CASE WHEN b2.close >= a2.close THEN 'up' ELSE 'down' END) END AS leg_dir FROM lg2 g "
-        f"JOIN {src} a2 ON a2.symbol = g.symbol AND a2.dt = g.dt AND a2.idx = g.s_prev "
-        f"JOIN {src} b2 ON b2.symbol = g.symbol AND b2.dt = g.dt AND b2.idx = g.s_last)",
+        f"JOIN {src} a2 ON a2.symbol = g.symbol AND a2.idx = g.s_prev "
+        f"JOIN {src} b2 ON b2.symbol = g.symbol AND b2.idx = g.s_last)",
         f"legs AS (SELECT s.*, lg3.leg_dir, lg3.leg_low, lg3.leg_high FROM {src} s LEFT JOIN lg3 "
-        "ON lg3.symbol = s.symbol AND lg3.dt = s.dt AND lg3.idx = s.idx)",
+        "ON lg3.symbol = s.symbol AND lg3.idx = s.idx)",
     ]
 
 
-_LIVE_BASE = [
-    BARS_CTE.strip(),
-    f"b AS (SELECT *, CAST(row_number() OVER ({S}) - 1 AS INTEGER) AS idx FROM bars)",
-    f"e AS (SELECT *, close - lag(close) OVER ({S}) AS dlt, greatest(abs(high - low), "
-    f"abs(high - lag(close) OVER ({S})), abs(low - lag(close) OVER ({S}))) AS tr FROM b)",
-    f"i1 AS (SELECT *, {ema_sql('close', 9)} AS ema9, {ema_sql('close', 21)} AS ema21, "
-    "greatest(dlt, 0.0) AS up, greatest(-dlt, 0.0) AS dn FROM e)",
-    f"i2 AS (SELECT *, {wilder_sql('up', 14, start=1)} AS au, {wilder_sql('dn', 14, start=1)} AS ad, "
-    f"{wilder_sql('tr', 14)} AS atr FROM i1)",
-    "ind AS (SELECT *, coalesce(100.0 - 100.0 / (1.0 + au / nullif(ad, 0.0)), 50.0) AS rsi FROM i2)",
-]
+U = "PARTITION BY symbol ORDER BY ts"
+
+
+def _live_base(unit: str = "hour") -> list[str]:
+    """Indicators over the unbroken series of each symbol."""
+    return [
+        BARS_CTE.strip().replace("'hour'", f"'{unit}'"),
+        f"b AS (SELECT *, CAST(row_number() OVER ({U}) - 1 AS INTEGER) AS idx FROM bars)",
+        f"e AS (SELECT *, close - lag(close) OVER ({U}) AS dlt, greatest(abs(high - low), "
+        f"abs(high - lag(close) OVER ({U})), abs(low - lag(close) OVER ({U}))) AS tr FROM b)",
+        f"i1 AS (SELECT *, {ema_sql('close', 9, part=U)} AS ema9, {ema_sql('close', 21, part=U)} AS ema21, "
+        "greatest(dlt, 0.0) AS up, greatest(-dlt, 0.0) AS dn FROM e)",
+        f"i2 AS (SELECT *, {wilder_sql('up', 14, start=1, part=U)} AS au, {wilder_sql('dn', 14, start=1, part=U)} AS ad, "
+        f"{wilder_sql('tr', 14, part=U)} AS atr FROM i1)",
+        "ind AS MATERIALIZED (SELECT *, coalesce(100.0 - 100.0 / (1.0 + au / nullif(ad, 0.0)), 50.0) AS rsi FROM i2)",
+    ]
+
 
 register("zigzag_last_leg", sql=sql_final(
-    "WITH RECURSIVE " + ",\n".join(_LIVE_BASE + _last_leg_ctes(1.7, "ind"))
+    "WITH RECURSIVE " + ",\n".join(_live_base() + _last_leg_ctes(1.7, "ind"))
     + " SELECT symbol, dt, ts, leg_dir, leg_low, leg_high FROM legs",
     ["symbol", "dt", "ts", "leg_dir", "leg_low", "leg_high"], ["leg_low", "leg_high"]))(q_zigzag_last_leg)
 
@@ -135,21 +142,37 @@ def q_live_signals(spark, sf):
 
 
 _ET = "timezone('America/New_York', ts AT TIME ZONE 'UTC')"
-_LIVE_CTES = _LIVE_BASE + _last_leg_ctes(1.7, "ind") + [
-    "v AS (SELECT *, quantile_cont(atr, 0.6) OVER (PARTITION BY symbol, dt ORDER BY ts ROWS BETWEEN UNBOUNDED "
-    "PRECEDING AND CURRENT ROW) AS gate, leg_high - leg_low AS rng FROM legs)",
-    f"w AS (SELECT *, coalesce(hour({_ET}) = 15 AND minute({_ET}) >= 55, false) AS eod, "
-    "coalesce(leg_dir = 'up', false) AS leg_up, "
-    "coalesce(low <= greatest(leg_low + 0.5 * rng, leg_low + 0.618 * rng) + 0.012 * rng AND "
-    "high >= least(leg_low + 0.5 * rng, leg_low + 0.618 * rng) - 0.012 * rng, false) AS in_zone, "
-    "coalesce(ema9 > ema21, false) AS trend_up, coalesce(rsi >= 48, false) AS mom_ok, "
-    "coalesce(atr >= gate, false) AS vol_ok FROM v)",
-    "x AS (SELECT *, NOT eod AND leg_up AND in_zone AND trend_up AND mom_ok AND vol_ok AS setup, "
-    f"sum(CAST(eod AS INTEGER)) OVER ({S} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch FROM w)",
-    "y AS (SELECT *, min(CASE WHEN setup THEN idx END) OVER (PARTITION BY symbol, dt, epoch) AS entry_idx FROM x)",
-    "z AS (SELECT *, NOT eod AND leg_up AND (entry_idx IS NULL OR idx <= entry_idx) AS logged, "
-    "setup AND idx = entry_idx AS enter FROM y)",
-]
+
+
+def _live_ctes(unit: str = "hour") -> list[str]:
+    return _live_base(unit) + _last_leg_ctes(1.7, "ind") + [
+        "v AS (SELECT *, quantile_cont(atr, 0.6) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED "
+        "PRECEDING AND CURRENT ROW) AS gate, leg_high - leg_low AS rng FROM legs)",
+        f"w AS (SELECT *, coalesce(hour({_ET}) = 15 AND minute({_ET}) >= 55, false) AS eod, "
+        "coalesce(leg_dir = 'up', false) AS leg_up, "
+        "coalesce(low <= greatest(leg_low + 0.5 * rng, leg_low + 0.618 * rng) + 0.012 * rng AND "
+        "high >= least(leg_low + 0.5 * rng, leg_low + 0.618 * rng) - 0.012 * rng, false) AS in_zone, "
+        "coalesce(ema9 > ema21, false) AS trend_up, coalesce(rsi >= 48, false) AS mom_ok, "
+        "coalesce(atr >= gate, false) AS vol_ok FROM v)",
+        "x AS (SELECT *, NOT eod AND leg_up AND in_zone AND trend_up AND mom_ok AND vol_ok "
+        "AND close - (leg_low - 0.3 * atr) > 0 AS setup, "
+        f"sum(CAST(eod AS INTEGER)) OVER ({U} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch FROM w)",
+        "y AS (SELECT *, min(CASE WHEN setup THEN idx END) OVER (PARTITION BY symbol, epoch) AS entry_idx FROM x)",
+        "z AS (SELECT *, NOT eod AND leg_up AND (entry_idx IS NULL OR idx <= entry_idx) AS logged, "
+        "coalesce(setup AND idx = entry_idx, false) AS enter FROM y)",
+    ]
+
+
+_LIVE_CTES = _live_ctes()
+
+
+def q_live_signals_1m(spark, sf):
+    """Minute bars: the flatten bar clears the position within a day."""
+    return rounded(swings.live_signals(fixtures.bars(spark, sf, unit="minute")).select(*_LIVE_COLS))
+
+
+register("live_signals_1m", sql=sql_final("WITH RECURSIVE " + ",\n".join(_live_ctes("minute")) + " SELECT * FROM z",
+                                          _LIVE_COLS, _LIVE_D))(q_live_signals_1m)
 register("live_signals", sql=sql_final("WITH RECURSIVE " + ",\n".join(_LIVE_CTES) + " SELECT * FROM z",
                                        _LIVE_COLS, _LIVE_D))(q_live_signals)
 

@@ -1,15 +1,18 @@
 """Structured Streaming form of the live loop.
 
-Bars land as Parquet files; ``readStream`` picks them up, a watermark with
-``dropDuplicatesWithinWatermark`` removes replayed bars, and keyed state
-(``applyInPandasWithState``) carries the indicators:
+Bars land as Parquet files; ``readStream`` picks them up and keyed state
+(``applyInPandasWithState``) carries the rules of
+:mod:`barlab.operators.zigzag` on from one arrival to the next, so stream and
+batch are one piece of code:
 
-* ``indicators``: per symbol, O(1) accumulators (EMA9/EMA21, Wilder RSI with
-  NULL->50, ATR) over the unbroken series -- the live loop never resets them;
-* ``signals``: per symbol, the current session's bars (bounded by one
-  session), reset on the first bar of a new day; the batch step functions
-  of :mod:`barlab.operators.swings` compute the ZigZag leg, gates and the
-  one-position rule, so stream and batch give the same rows.
+* ``stream_indicators``: EMA9/EMA21, RSI, ATR over the unbroken series;
+* ``stream_signals``: these, the last ZigZag leg, gates and the one-position rule.
+
+Order.  What is there when a micro-batch starts is one arrival: it is admitted
+whole (no file cap by default), so results depend neither on the number of files
+nor on the order in which they were written.  With a cap, a series' files must
+come in time order, as ``land`` writes them.  A bar at or before a series' last
+one is never dropped in silence: it comes out with ``late`` set and no values.
 
 Sinks are checkpointed Parquet folders under the shared checkpoint folder,
 so a restarted query resumes where it stopped.
@@ -17,7 +20,6 @@ so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,39 +30,44 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barlab.operators import swings
+from barlab.operators import zigzag as zz
 from barlab.session import ship_package
 
+_D = T.DoubleType()
+#: Canonical names, and the vendor's short ones that fill in for them.
+SHORT_NAMES = {"ts": "t", "open": "o", "high": "h", "low": "l", "close": "c", "volume": "v"}
 BAR_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
-    T.StructField("open", T.DoubleType()), T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()), T.StructField("close", T.DoubleType()),
-    T.StructField("volume", T.DoubleType()), T.StructField("seed", T.BooleanType()),
-    T.StructField("dt", T.DateType()),
+    *[T.StructField(n, _D) for n in ("open", "high", "low", "close", "volume")],
+    T.StructField("t", T.TimestampType()), *[T.StructField(n, _D) for n in ("o", "h", "l", "c", "v")],
+    T.StructField("seed", T.BooleanType()), T.StructField("dt", T.DateType()),
 ])
 
 
 def land(bars: DataFrame, path: str, seed: bool = False) -> None:
-    """Append bars to the landing folder (one folder per day)."""
+    """Append bars, under canonical or short names, to the landing folder: a
+    folder per day, a symbol's days written one after the other."""
     cols = [F.col(f.name) if f.name in bars.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in BAR_SCHEMA.fields if f.name not in ("seed",)]
-    out = bars.select(*cols, F.lit(seed).alias("seed"))
-    out.select(*[f.name for f in BAR_SCHEMA.fields]).repartition("dt", "symbol").write.mode("append") \
-        .partitionBy("dt").parquet(path)
+            for f in BAR_SCHEMA.fields if f.name not in ("seed", "dt")]
+    out = bars.select(*cols, F.lit(seed).alias("seed")).withColumn("dt", F.to_date(F.coalesce("ts", "t")))
+    (out.repartition("symbol").sortWithinPartitions("dt", "symbol", "ts")
+        .write.mode("append").partitionBy("dt").parquet(path))
 
 
-def read_bars(spark: SparkSession, path: str, watermark: str = "2 hours",
-              dedup: bool = True) -> DataFrame:
-    """Streaming bars with late replays dropped.
+def read_bars(spark: SparkSession, path: str, watermark: str | None = "2 hours", max_files: int | None = None) -> DataFrame:
+    """Streaming bars; short vendor names fill in for missing ones.
 
-    Short vendor names are accepted as a fallback (``open`` else ``o``)."""
-    df = spark.readStream.schema(BAR_SCHEMA).option("maxFilesPerTrigger", 1000).parquet(path)
-    for long_, short in (("open", "o"), ("high", "h"), ("low", "l"), ("close", "c"), ("volume", "v")):
-        if short in df.columns:
-            df = df.withColumn(long_, F.coalesce(F.col(long_), F.col(short)))
-    df = df.withWatermark("ts", watermark)
-    if dedup:
-        df = df.dropDuplicatesWithinWatermark(["symbol", "ts"])
-    return df
+    With a ``watermark`` replayed bars are dropped (T5).  A watermark moves with
+    the newest bar of a micro-batch and drops what is older without a trace, so
+    it needs whole arrivals: it can't be combined with ``max_files``."""
+    if watermark and max_files:
+        raise ValueError("a file cap would let the watermark drop bars: cap files only with watermark=None")
+    reader = spark.readStream.schema(BAR_SCHEMA)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    df = reader.parquet(path)
+    df = df.withColumns({name: F.coalesce(name, short) for name, short in SHORT_NAMES.items()}).drop(*SHORT_NAMES.values())
+    return df.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["symbol", "ts"]) if watermark else df
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> None:
@@ -72,160 +79,71 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, mode: str = "ap
         raise RuntimeError(str(q.exception()))
 
 
-# --------------------------------------------------------------------------- T1/T2 indicators
-IND_OUT = T.StructType([
-    T.StructField("symbol", T.StringType()), T.StructField("ts", T.TimestampType()),
-    T.StructField("close", T.DoubleType()), T.StructField("ema9", T.DoubleType()),
-    T.StructField("ema21", T.DoubleType()), T.StructField("rsi", T.DoubleType()),
-    T.StructField("atr", T.DoubleType()),
-])
-IND_STATE = T.StructType([
-    T.StructField("n", T.LongType()), T.StructField("last_ts", T.TimestampType()),
-    T.StructField("prev_close", T.DoubleType()), T.StructField("ema9", T.DoubleType()),
-    T.StructField("ema21", T.DoubleType()), T.StructField("au", T.DoubleType()),
-    T.StructField("ad", T.DoubleType()), T.StructField("atr", T.DoubleType()),
+# --------------------------------------------------------------------------- keyed state
+STATE = T.StructType([
+    T.StructField("last_ts", T.TimestampType()), T.StructField("smoothed", T.ArrayType(_D)),
+    T.StructField("in_position", T.BooleanType()), T.StructField("leg", T.ArrayType(_D)),
+    T.StructField("atrs", T.ArrayType(_D)),
 ])
 
 
-def _ema_step(prev, x, alpha):
-    return x if prev is None else (1.0 - alpha) * prev + alpha * x
-
-
-def _nan_none(v):
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
-
-
-def indicator_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """O(1) per bar: EMA9/EMA21 seeded with the first close, Wilder RSI seeded
-    at the second bar (NULL -> 50), ATR seeded with the first true range.
-    Bars at or before the last processed one are ignored (arrival order is
-    time order, as in the live loop); seed rows update state only."""
-    if state.exists:
-        n, last_ts, pc, e9, e21, au, ad, atr = state.get
-        e9, e21, au, ad, atr, pc = (_nan_none(v) for v in (e9, e21, au, ad, atr, pc))
-    else:
-        n, last_ts, pc, e9, e21, au, ad, atr = 0, None, None, None, None, None, None, None
-    out = []
-    for pdf in pdfs:
-        for r in pdf.sort_values("ts", kind="stable").itertuples(index=False):
-            ts = r.ts.to_pydatetime() if hasattr(r.ts, "to_pydatetime") else r.ts
-            if last_ts is not None and ts <= last_ts:
-                continue
-            c, h, lo = float(r.close), float(r.high), float(r.low)
-            e9 = _ema_step(e9, c, 2.0 / 10.0)
-            e21 = _ema_step(e21, c, 2.0 / 22.0)
-            tr = abs(h - lo) if pc is None else max(abs(h - lo), abs(h - pc), abs(lo - pc))
-            atr = _ema_step(atr, tr, 1.0 / 14.0)
-            if pc is not None:
-                d = c - pc
-                au = _ema_step(au, max(d, 0.0), 1.0 / 14.0)
-                ad = _ema_step(ad, max(-d, 0.0), 1.0 / 14.0)
-            rsi = 50.0 if (ad is None or ad == 0.0) else 100.0 - 100.0 / (1.0 + au / ad)
-            pc, last_ts, n = c, ts, n + 1
-            if not bool(r.seed):
-                out.append((r.symbol, r.ts, c, e9, e21, rsi, atr))
-    state.update((n, last_ts, pc, e9, e21, au, ad, atr))
-    yield pd.DataFrame(out, columns=[f.name for f in IND_OUT.fields])
+def _arrived(pdfs: Iterator[pd.DataFrame], last) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Bars in time order, first come first kept, and the late ones."""
+    got = pd.concat(list(pdfs), ignore_index=True).sort_values("ts", kind="stable", ignore_index=True)
+    late = got["ts"].duplicated()
+    if last is not None:
+        late |= got["ts"] <= pd.Timestamp(last)
+    return got[~late].reset_index(drop=True), got[late].reset_index(drop=True)
 
 
-def stream_indicators(bars: DataFrame) -> DataFrame:
-    """Keyed streaming indicators over the unbroken per-symbol series."""
+def _stateful(columns: list[str], advance):
+    """State function that adds what ``advance(state, bars)`` gives to new bars;
+    seed rows move the state and give no row, late rows come out flagged."""
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, *kept = state.get if state.exists else (None,)
+        held = zz.LiveState.of(*kept) if kept else zz.LiveState()
+        bars, late = _arrived(pdfs, last)
+        if len(bars):
+            found = bars.assign(**advance(held, bars), late=False)
+            state.update((bars["ts"].iloc[-1].to_pydatetime(), *held.flat()))
+        else:
+            found = bars.assign(late=False)
+        out = pd.concat([found, late.assign(late=True)], ignore_index=True) if len(late) else found
+        out = out[~out["seed"].fillna(False).astype(bool)]
+        yield out.reindex(columns=columns)
+
+    return step
+
+
+def _keyed(bars: DataFrame, outputs: T.StructType, advance) -> DataFrame:
     ship_package(bars.sparkSession)
-    return bars.groupBy("symbol").applyInPandasWithState(
-        indicator_state_fn, IND_OUT, IND_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-# --------------------------------------------------------------------------- T3/T4 signals
-SIG_OUT = T.StructType([
-    T.StructField("symbol", T.StringType()), T.StructField("dt", T.DateType()),
-    T.StructField("ts", T.TimestampType()), T.StructField("close", T.DoubleType()),
-    T.StructField("ema9", T.DoubleType()), T.StructField("ema21", T.DoubleType()),
-    T.StructField("rsi", T.DoubleType()), T.StructField("atr", T.DoubleType()),
-    T.StructField("in_zone", T.BooleanType()), T.StructField("trend_up", T.BooleanType()),
-    T.StructField("mom_ok", T.BooleanType()), T.StructField("vol_ok", T.BooleanType()),
-    T.StructField("logged", T.BooleanType()), T.StructField("enter", T.BooleanType()),
-])
-SIG_STATE = T.StructType([
-    T.StructField("dt", T.DateType()),
-    T.StructField("ts", T.ArrayType(T.TimestampType())),
-    T.StructField("high", T.ArrayType(T.DoubleType())), T.StructField("low", T.ArrayType(T.DoubleType())),
-    T.StructField("close", T.ArrayType(T.DoubleType())), T.StructField("eod", T.ArrayType(T.BooleanType())),
-    T.StructField("in_position", T.BooleanType()),
-])
+    bars = swings.with_flatten(bars)
+    return bars.groupBy("symbol").applyInPandasWithState(_stateful(outputs.names, advance), outputs, STATE, "append",
+                                                         GroupStateTimeout.NoTimeout)
 
 
-def _session_indicators(close: np.ndarray, high: np.ndarray, low: np.ndarray):
-    s = pd.Series(close)
-    ema9 = s.ewm(span=9, adjust=False).mean().to_numpy()
-    ema21 = s.ewm(span=21, adjust=False).mean().to_numpy()
-    d = s.diff()
-    au = d.clip(lower=0.0).ewm(alpha=1 / 14, adjust=False).mean()
-    ad = (-d).clip(lower=0.0).ewm(alpha=1 / 14, adjust=False).mean()
-    rsi = (100 - 100 / (1 + au / ad.replace(0, np.nan))).fillna(50.0).to_numpy()
-    pc = s.shift(1)
-    tr = pd.concat([(pd.Series(high) - pd.Series(low)).abs(), (pd.Series(high) - pc).abs(),
-                    (pd.Series(low) - pc).abs()], axis=1).max(axis=1)
-    atr = tr.ewm(alpha=1 / 14, adjust=False).mean().to_numpy()
-    return ema9, ema21, rsi, atr
-
-
-def signal_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Live rules per symbol over the current session (reset on a new day)."""
-    new = pd.concat(list(pdfs), ignore_index=True).sort_values("ts", kind="stable")
-    if state.exists:
-        dt0, ts0, hi0, lo0, cl0, eod0, in_pos = state.get
-        hist = pd.DataFrame({"ts": list(ts0), "high": list(hi0), "low": list(lo0), "close": list(cl0),
-                             "eod": list(eod0)})
-    else:
-        dt0, hist, in_pos = None, pd.DataFrame(columns=["ts", "high", "low", "close", "eod"]), False
-    rows = []
-    for day, part in new.groupby("dt", sort=True):
-        if dt0 is None or day != dt0:
-            dt0, hist, in_pos = day, pd.DataFrame(columns=["ts", "high", "low", "close", "eod"]), False
-        if len(hist):
-            part = part[part["ts"] > hist["ts"].iloc[-1]]
-        if part.empty:
-            continue
-        et = part["ts"].dt.tz_localize("UTC").dt.tz_convert("America/New_York") if part["ts"].dt.tz is None \
-            else part["ts"].dt.tz_convert("America/New_York")
-        part = part.assign(eod=((et.dt.hour == 15) & (et.dt.minute >= 55)).to_numpy())
-        start = len(hist)
-        hist = pd.concat([hist, part[["ts", "high", "low", "close", "eod"]]], ignore_index=True)
-        c, h, lo = (hist[k].to_numpy(float) for k in ("close", "high", "low"))
-        ema9, ema21, rsi, atr = _session_indicators(c, h, lo)
-        d, leg_lo, leg_hi = swings.last_leg_states(c, h, lo, atr, swings.LIVE["zz_atr_mult"])
-        gates = swings.expanding_quantile_values(atr, swings.LIVE["atr_pct_q"])
-        for i in range(start, len(hist)):
-            eod = bool(hist["eod"].iloc[i])
-            if eod:
-                in_pos = False
-            gate = float(gates[i])
-            leg_up = d[i] == "up"
-            if d[i] is not None:
-                rng = leg_hi[i] - leg_lo[i]
-                l50, l618 = leg_lo[i] + 0.5 * rng, leg_lo[i] + 0.618 * rng
-                pad = swings.LIVE["zone_pad_frac"] * rng
-                zlo, zhi = min(l50, l618) - pad, max(l50, l618) + pad
-                in_zone = bool(lo[i] <= zhi and h[i] >= zlo)
-            else:
-                in_zone = False
-            trend = bool(ema9[i] > ema21[i])
-            mom = bool(rsi[i] >= swings.LIVE["rsi_long"])
-            vol = bool(atr[i] >= gate)
-            logged = (not eod) and leg_up and not in_pos
-            enter = logged and in_zone and trend and mom and vol
-            if enter:
-                in_pos = True
-            rows.append((key[0], day, hist["ts"].iloc[i], c[i], ema9[i], ema21[i], rsi[i], atr[i],
-                         in_zone, trend, mom, vol, logged, enter))
-    state.update((dt0, [pd.Timestamp(t).to_pydatetime() for t in hist["ts"]],
-                  [float(x) for x in hist["high"]], [float(x) for x in hist["low"]],
-                  [float(x) for x in hist["close"]], [bool(x) for x in hist["eod"]], bool(in_pos)))
-    yield pd.DataFrame(rows, columns=[f.name for f in SIG_OUT.fields])
+def _output(types: dict[str, str]) -> T.StructType:
+    return T.StructType([T.StructField("symbol", T.StringType()), T.StructField("dt", T.DateType()),
+                         T.StructField("ts", T.TimestampType()), T.StructField("close", _D),
+                         *[T.StructField(n, swings.TYPES[t]) for n, t in types.items()],
+                         T.StructField("late", T.BooleanType())])
+
+
+def _indicators(held: zz.LiveState, bars: pd.DataFrame) -> dict:
+    values = zz.advance_indicators(held, *(bars[c].to_numpy(float) for c in ("close", "high", "low")))
+    return dict(zip(("ema9", "ema21", "rsi", "atr"), values))
+
+
+def _signals(held: zz.LiveState, bars: pd.DataFrame) -> dict:
+    return zz.advance_live(held, bars["close"], bars["high"], bars["low"], np.asarray(bars["eod"], bool))
+
+
+def stream_indicators(bars: DataFrame) -> DataFrame:
+    """Keyed streaming indicators over the unbroken per-symbol series."""
+    return _keyed(bars, _output({n: "double" for n in ("ema9", "ema21", "rsi", "atr")}), _indicators)
 
 
 def stream_signals(bars: DataFrame) -> DataFrame:
-    """Keyed streaming live signals (T3); ``logged`` rows form the log (T4)."""
-    ship_package(bars.sparkSession)
-    return bars.groupBy("symbol").applyInPandasWithState(
-        signal_state_fn, SIG_OUT, SIG_STATE, "append", GroupStateTimeout.NoTimeout)
+    """Keyed streaming live signals (T3); ``logged`` rows form the log (T4).  The
+    exact volatility gate needs every ATR value so far: 8 bytes a bar of state."""
+    return _keyed(bars, _output(swings.LIVE_TYPES), _signals)

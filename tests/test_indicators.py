@@ -1,7 +1,9 @@
 """Window-expression indicators against pandas (an independent expectation)."""
 
 import numpy as np
+import pytest
 import pandas as pd
+from pyspark.sql import functions as F
 
 from barlab import fixtures
 from barlab.functions import indicators as ind
@@ -59,18 +61,35 @@ def test_ema_rsi_atr_bollinger_match_pandas(spark):
             assert np.allclose(a, e, rtol=1e-9, atol=1e-9, equal_nan=True), col
 
 
-def test_max_smooth_rows_bound():
-    assert ind.max_smooth_rows(2 / 10) > 2800
-    assert ind.max_smooth_rows(1 / 14) > 8000
+def _series(spark, values):
+    rows = [("x", 1, i, None if v is None else float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "symbol string, dt int, ts int, close double").withColumn("idx", F.col("ts"))
 
 
-def test_overlong_series_fails_loudly(spark):
-    import pytest
-    from pyspark.sql import functions as F
-    df = spark.range(4000).select(F.lit("x").alias("symbol"), F.lit(1).alias("dt"),
-                                  F.col("id").cast("int").alias("idx"), (F.col("id") % 7).cast("double").alias("close"),
-                                  F.col("id").alias("ts"))
-    ok = ind.ema(df.filter(F.col("idx") < 2000), "close", 9)
-    assert ok.filter(F.col("ema_9").isNull()).count() == 0
-    with pytest.raises(Exception, match="closed-form"):
-        ind.ema(df, "close", 9).collect()
+@pytest.mark.parametrize("span", [1, 2, 3, 9, 34, 200])
+def test_smoothing_with_gaps_equals_pandas(spark, span):
+    rng = np.random.default_rng(span)
+    x = (100 + rng.normal(size=3_000).cumsum()).tolist()
+    for lo, hi in ((0, 3), (5, 6), (50, 260), (1_000, 1_001), (1_500, 2_400), (2_990, 3_000)):
+        x[lo:hi] = [None] * (hi - lo)
+    got = ind.ema(_series(spark, x), "close", span, "y").orderBy("ts").toPandas()["y"].to_numpy(float)
+    want = pd.Series(x, dtype=float).ewm(span=span, adjust=False).mean().to_numpy()
+    assert np.allclose(got, want, rtol=1e-10, equal_nan=True)
+
+
+def test_smoothing_of_a_long_series(spark):
+    df = spark.range(100_000).select(F.lit("x").alias("symbol"), F.lit(1).alias("dt"), F.col("id").cast("int").alias("idx"),
+                                     F.when(F.col("id") % 1_000 != 7, (F.col("id") % 77).cast("double")).alias("close"),
+                                     F.col("id").alias("ts"))
+    got = ind.emas(df, "close", [2, 9, 200]).orderBy("ts").toPandas()
+    x = pd.Series([float(i % 77) if i % 1_000 != 7 else None for i in range(100_000)], dtype=float)
+    for span in (2, 9, 200):
+        assert np.allclose(got[f"ema_{span}"], x.ewm(span=span, adjust=False).mean(), rtol=1e-9)
+
+
+def test_rsi_with_gaps_equals_pandas(spark):
+    x = [10.0, 11, None, 12, 13, 12.5, 12.5, None, None, 11, 14]
+    got = ind.rsi(_series(spark, x), "close", 14, "r").orderBy("ts").toPandas()["r"].to_numpy(float)
+    d = pd.Series(x, dtype=float).diff()
+    up, dn = (s.ewm(alpha=1 / 14, adjust=False).mean() for s in (d.clip(lower=0), (-d).clip(lower=0)))
+    assert np.allclose(got, 100 - 100 / (1 + up / dn.replace(0, np.nan)), equal_nan=True)

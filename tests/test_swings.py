@@ -5,12 +5,13 @@ import datetime as dt
 import numpy as np
 
 from barlab.operators import swings
+from barlab.operators import zigzag as zz
 
 
 def test_rolling_zigzag_two_reversals():
     close = np.array([100, 101, 103, 106, 104, 101, 99, 100, 103, 106], float)
     atr = np.full(len(close), 1.0)
-    d, lo, hi = swings.rolling_zigzag_states(close, atr, 2.0)
+    d, lo, hi = zz.rolling_zigzag_states(close, atr, 2.0)
     assert d[:3] == [None, None, "up"]          # +3 >= 2 at bar 2
     assert (lo[2], hi[2]) == (100.0, 103.0)
     assert hi[3] == 106.0                        # extension
@@ -21,15 +22,15 @@ def test_rolling_zigzag_two_reversals():
 
 def test_last_leg_needs_five_bars_and_two_swings():
     close = np.array([100, 103, 101], float)
-    d, lo, hi = swings.last_leg_states(close, close + 0.5, close - 0.5, np.ones(3), 1.7)
+    d, lo, hi = zz.last_leg_states(close, close + 0.5, close - 0.5, np.ones(3), 1.7)
     assert d == [None, None, None]
     close = np.array([100, 100.5, 103, 104, 104.5], float)
-    d, lo, hi = swings.last_leg_states(close, close + 0.5, close - 0.5, np.ones(5), 1.7)
+    d, lo, hi = zz.last_leg_states(close, close + 0.5, close - 0.5, np.ones(5), 1.7)
     assert d[3] is None                  # only four bars so far
     assert d[4] == "up"                  # swings 0 -> 2 (+3 >= 1.7): leg spans bars 0..2
     assert lo[4] == 99.5 and hi[4] == 103.5
     close = np.array([100, 100.5, 103, 104, 101, 100], float)
-    d, lo, hi = swings.last_leg_states(close, close + 0.5, close - 0.5, np.ones(6), 1.7)
+    d, lo, hi = zz.last_leg_states(close, close + 0.5, close - 0.5, np.ones(6), 1.7)
     assert d[4] == "down"                # reversal at bar 4 (104 -> 101): leg spans bars 2..4
     assert lo[4] == 100.5 and hi[4] == 104.5
     assert d[5] == "down" and lo[5] == 100.5   # 100 extends the swing, the leg is unchanged
@@ -40,7 +41,7 @@ def test_rolling_zigzag_in_spark_matches_step(spark):
             for i, c in enumerate([100, 101, 103, 106, 104, 101, 99, 100, 103, 106])]
     df = spark.createDataFrame(rows, "symbol string, dt date, idx int, close double, atr_filled double")
     out = swings.rolling_zigzag(df, 2.0).orderBy("idx").toPandas()
-    d, lo, hi = swings.rolling_zigzag_states(out["close"].to_numpy(), out["atr_filled"].to_numpy(), 2.0)
+    d, lo, hi = zz.rolling_zigzag_states(out["close"].to_numpy(), out["atr_filled"].to_numpy(), 2.0)
     assert list(out["zz_dir"]) == d
     assert np.allclose(out["imp_lo"], lo) and np.allclose(out["imp_hi"], hi)
 
@@ -50,6 +51,6 @@ def test_expanding_quantile_matches_pandas():
     rng = np.random.default_rng(3)
     x = rng.normal(size=200)
     x[[5, 50]] = np.nan
-    got = swings.expanding_quantile_values(x, 0.6)
+    got = zz.quantiles_so_far([], x, 0.6)
     exp = pd.Series(x).expanding().quantile(0.6).to_numpy()
     assert np.allclose(got, exp, equal_nan=True)
