@@ -100,8 +100,9 @@ def frequent_pretokens(docs: DataFrame, path: str, text_col: str = "text", *, en
                        fan_in: int = 16) -> dict[str, int]:
     """The (approximately) most frequent pre-tokens of all documents with their
     token counts: at most ``entries``, about 1 MB.  Every partition counts whole
-    texts, pruning its counter to 4 x ``entries`` whenever it grows beyond 16 x,
-    and gives one summary row; summaries merge ``fan_in`` at a time."""
+    texts by their pieces between spaces, pruning the counter to 4 x ``entries``
+    whenever it grows beyond 16 x, cuts the pieces into pre-tokens and gives one
+    summary row; summaries merge ``fan_in`` at a time."""
     text = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
     def summary(part: int, counter: Counter) -> pa.RecordBatch:
@@ -111,15 +112,20 @@ def frequent_pretokens(docs: DataFrame, path: str, text_col: str = "text", *, en
              pa.array([list(top.values())], pa.list_(pa.int64()))], names=["part", "tokens", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, counter = pre_tokens()[0], Counter()
+        pieces_seen: Counter = Counter()
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 for value in batch.column(0).slice(start, 64).to_pylist():
-                    counter.update(split(value))
-                if len(counter) > 16 * entries:
-                    counter = _heavy(counter, 4 * entries)
-        yield summary(TaskContext.get().partitionId(),
-                      Counter({k: v for k, v in counter.items() if len(k) <= MAX_KEY}))
+                    pieces_seen.update(value.split(" "))
+                if len(pieces_seen) > 16 * entries:
+                    pieces_seen = _heavy(pieces_seen, 4 * entries)
+        # a pre-token never goes on over a space, so each distinct piece is cut only once
+        split, counter = pre_tokens()[0], Counter()
+        for piece, n in pieces_seen.items():
+            for token in split(" " + piece) if len(piece) <= 16 * MAX_KEY else ():
+                if len(token) <= MAX_KEY:
+                    counter[token] += n
+        yield summary(TaskContext.get().partitionId(), counter)
 
     def merge(key: tuple, got: pa.Table) -> pa.Table:
         counter: Counter = Counter()
