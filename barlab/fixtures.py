@@ -28,12 +28,13 @@ def bars_from_events(events: DataFrame, unit: str = "hour") -> DataFrame:
         "event_id", "value",
         F.get_json_object("props", "$.k").cast("double").alias("k"),
     )
-    first_last = F.struct("ets", "event_id", "value")
+    # one number that orders by (time, event): min_by/max_by on it aggregate by hash, without sorting the events
+    order = F.unix_micros("ets").cast("decimal(20,0)") * F.lit(10 ** 12).cast("decimal(13,0)") + F.col("event_id")
     bars = (ev.groupBy("symbol", F.date_trunc(unit, "ets").alias("ts"))
-              .agg(F.min(first_last)["value"].alias("open"),
+              .agg(F.min_by("value", order).alias("open"),
                    F.max("value").alias("high"),
                    F.min("value").alias("low"),
-                   F.max(first_last)["value"].alias("close"),
+                   F.max_by("value", order).alias("close"),
                    F.sum("k").alias("volume"),
                    F.count(F.lit(1)).alias("num_trades"),
                    (F.sum(F.col("value") * F.col("k"))

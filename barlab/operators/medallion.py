@@ -58,12 +58,20 @@ def canonical_bars(df: DataFrame, extra: Sequence[str] = ("symbol", "dt")) -> Da
     return keep_present(out, CANONICAL, extra)
 
 
+def series_keys(df: DataFrame) -> tuple[str, ...]:
+    """``symbol, dt`` and, where the bars carry it, ``resolution``: bars of two
+    resolutions are never one series."""
+    return ("symbol", "resolution", "dt") if "resolution" in df.columns else SESSION_KEYS
+
+
 def dedup_keep_first(df: DataFrame, keys: Sequence[str] = ("symbol", "dt", "ts"),
                      order: str = "ingest_seq") -> DataFrame:
-    """One row per key: the earliest in ``order``.
+    """One row per key, and per ``resolution`` if there is one: the earliest in
+    ``order`` (P6).
 
     ``min(struct(order, *rest))`` is a partial aggregate, so duplicates are
     collapsed map-side before the shuffle (a hot key is pre-combined)."""
+    keys = [*keys, *(["resolution"] if "resolution" in df.columns and "resolution" not in keys else [])]
     rest = [c for c in df.columns if c not in keys and c != order]
     first = F.min(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_f")
     return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_f.{c}").alias(c) for c in rest])
@@ -71,20 +79,21 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str] = ("symbol", "dt", "ts")
 
 def bronze_to_silver(bronze: DataFrame, resolution: str = "1h") -> DataFrame:
     """Parse ``t``, keep the first-ingested row per timestamp, drop rows with
-    any NULL, rename to long names (P19: X6, O1, P6, P4, P1 in that order)."""
+    any NULL, rename to long names (P19: X6, O1, P6, P4, P1 in that order).
+    Bronze rows that carry a ``resolution`` keep theirs."""
     df = bronze.withColumn("ts", to_ts(F.col("t"), bronze.schema["t"].dataType)).drop("t")
     df = dedup_keep_first(df, ("symbol", "dt", "ts"), "ingest_seq")
     df = df.dropna(how="any")
     df = df.withColumnsRenamed({k: v for k, v in SILVER_RENAMES.items() if k in df.columns})
     return df.select("ts", "open", "high", "low", "close", "volume", "num_trades", "vwap", "symbol",
-                     F.lit(resolution).alias("resolution"), "dt")
+                     F.col("resolution") if "resolution" in df.columns else F.lit(resolution).alias("resolution"), "dt")
 
 
-def silver_to_gold(silver: DataFrame, keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
+def silver_to_gold(silver: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """``utc_timestamp, et, session, open..vwap, return_1m`` (+ partition
     columns): New York wall time, RTH/AH label, one-bar return restarting
-    each day (P20: X8, P10, W12, P3)."""
-    df = ind.pct_return(silver, "close", "return_1m", keys=keys)
+    each day, for each resolution (P20: X8, P10, W12, P3)."""
+    df = ind.pct_return(silver, "close", "return_1m", keys=keys or series_keys(silver))
     df = (df.withColumnRenamed("ts", "utc_timestamp")
             .withColumn("et", scalar.eastern(F.col("utc_timestamp"))))
     df = df.withColumn("session", scalar.session_label(F.col("et")))
@@ -92,16 +101,19 @@ def silver_to_gold(silver: DataFrame, keys: Sequence[str] = SESSION_KEYS) -> Dat
     return df.select(*GOLD_COLUMNS, *part)
 
 
-def load_session(df: DataFrame, symbol: str | None = None, day: str | None = None) -> DataFrame:
+def load_session(df: DataFrame, symbol: str | None = None, day: str | None = None,
+                 resolution: str | None = None) -> DataFrame:
     """One session as the signal code wants it: optional symbol/day filter
     (partition pruning on a lake scan), normalised ``ts``, the six canonical
     columns, NULL ts dropped, ts rounded to the millisecond (S10, P5, X7)."""
+    if resolution is not None:
+        df = df.filter(F.col("resolution") == resolution)
     if symbol is not None:
         df = df.filter(F.col("symbol") == symbol)
     if day is not None:
         df = df.filter(F.col("dt") == F.lit(day).cast("date"))
     df = normalize_ts(df)
-    df = keep_present(df, CANONICAL, ("symbol", "dt"))
+    df = keep_present(df, CANONICAL, series_keys(df) if resolution is None else ("symbol", "dt"))
     df = df.dropna(subset=["ts"])
     return df.withColumn("ts", scalar.round_ms(F.col("ts")))
 

@@ -47,21 +47,25 @@ register("open_close_tags", sql=with_bars() + f" SELECT symbol, dt, ts, row_numb
 
 # ---------------------------------------------------------------- G4
 def q_sma_cross(spark, sf, fast: int = 10, slow: int = 30):
-    """SMA10/SMA30 crossings: entry when the fast mean crosses above, exit
-    when it crosses below (G4)."""
-    b = ind.sma(ind.sma(fixtures.bars(spark, sf), "close", fast, "sma_f"), "close", slow, "sma_s")
-    w = ind.series_window()
-    diff = F.col("sma_f") - F.col("sma_s")
-    b = b.withColumn("d", diff).withColumn("pd", F.lag("d").over(w))
+    """SMA10/SMA30 crossings of full means over a symbol's unbroken series: entry
+    when the fast mean crosses above, exit when it crosses below (G4)."""
+    keys = ("symbol",)
+    b = fixtures.bars(spark, sf)
+    b = ind.sma(b, "close", fast, "sma_f", keys=keys, min_periods=fast)
+    b = ind.sma(b, "close", slow, "sma_s", keys=keys, min_periods=slow)
+    b = b.withColumn("d", F.col("sma_f") - F.col("sma_s"))
+    b = b.withColumn("pd", F.lag("d").over(ind.series_window(keys)))
     sig = F.when((F.col("pd") <= 0) & (F.col("d") > 0), "entry").when((F.col("pd") >= 0) & (F.col("d") < 0), "exit")
     return rounded(b.withColumn("signal", sig).filter(F.col("signal").isNotNull())
                     .select("symbol", "ts", "sma_f", "sma_s", "signal"))
 
 
+_U = "PARTITION BY symbol ORDER BY ts"
 register("sma_cross", sql=sql_final(with_bars(
-    f"s AS (SELECT *, avg(close) OVER ({SESSION} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS sma_f, "
-    f"avg(close) OVER ({SESSION} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS sma_s FROM bars)",
-    f"d AS (SELECT *, sma_f - sma_s AS d, lag(sma_f - sma_s) OVER ({SESSION}) AS pd FROM s)",
+    f"n AS (SELECT *, row_number() OVER ({_U}) AS rn FROM bars)",
+    f"s AS (SELECT *, CASE WHEN rn >= 10 THEN avg(close) OVER ({_U} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) END AS sma_f, "
+    f"CASE WHEN rn >= 30 THEN avg(close) OVER ({_U} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) END AS sma_s FROM n)",
+    f"d AS (SELECT *, sma_f - sma_s AS d, lag(sma_f - sma_s) OVER ({_U}) AS pd FROM s)",
     "g AS (SELECT *, CASE WHEN pd <= 0 AND d > 0 THEN 'entry' WHEN pd >= 0 AND d < 0 THEN 'exit' END AS signal FROM d)")
     + " SELECT symbol, ts, sma_f, sma_s, signal FROM g WHERE signal IS NOT NULL",
     ["symbol", "ts", "sma_f", "sma_s", "signal"], ["sma_f", "sma_s"]))(q_sma_cross)
@@ -97,14 +101,37 @@ register("top_symbols", sql=sql_final(with_bars() + " SELECT symbol, sum(volume)
          ["symbol", "volume", "bars", "avg_close"], ["volume", "avg_close"]))(q_top_symbols)
 
 
+def q_time_frames(spark, sf):
+    """Each symbol's return spread and volume on hour, day and week bars.
+
+    Coarser bars are folded from the hour bars (first open, last close), so the
+    events are aggregated once; one shuffle carries all frames."""
+    b = fixtures.bars(spark, sf)
+    frames = F.array(*[F.struct(F.lit(u).alias("frame"), F.date_trunc(u, "ts").alias("start")) for u in ("hour", "day", "week")])
+    f = b.withColumn("f", F.explode(frames)).groupBy("symbol", "f.frame", "f.start").agg(
+        F.min_by("open", "ts").alias("open"), F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume"))
+    ret = F.try_divide(F.col("close"), F.col("open")) - 1
+    return rounded(f.groupBy("symbol", "frame").agg(F.count(F.lit(1)).alias("bars"), F.avg(ret).alias("mean_ret"),
+                                                    F.stddev_samp(ret).alias("std_ret"), F.avg("volume").alias("mean_volume")))
+
+
+register("time_frames", sql=sql_final(with_bars(
+    "u AS (SELECT unnest(['hour', 'day', 'week']) AS frame)",
+    "f AS (SELECT symbol, frame, date_trunc(frame, ts) AS start, arg_min(open, ts) AS open, arg_max(close, ts) AS close, "
+    "sum(volume) AS volume FROM bars, u GROUP BY ALL)")
+    + " SELECT symbol, frame, count(*) AS bars, avg(close / nullif(open, 0.0) - 1) AS mean_ret, "
+    "stddev_samp(close / nullif(open, 0.0) - 1) AS std_ret, avg(volume) AS mean_volume FROM f GROUP BY symbol, frame",
+    ["symbol", "frame", "bars", "mean_ret", "std_ret", "mean_volume"], ["mean_ret", "std_ret", "mean_volume"]))(q_time_frames)
+
+
 # ---------------------------------------------------------------- G8
 def q_bar_gaps(spark, sf):
     """Missing bars: every hour between a session's first and last bar that
-    has no bar (data-quality report, G8)."""
-    b = fixtures.bars(spark, sf)
-    span = b.groupBy("symbol", "dt").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
-    expected = span.select("symbol", "dt", F.explode(F.sequence("t0", "t1", F.expr("INTERVAL 1 HOUR"))).alias("ts"))
-    return expected.join(b.select("symbol", "dt", "ts"), ["symbol", "dt", "ts"], "left_anti")
+    has no bar (data-quality report, G8): the hours between a bar and its next."""
+    b = fixtures.bars(spark, sf).select("symbol", "dt", "ts")
+    hour = F.expr("INTERVAL 1 HOUR")
+    b = b.withColumn("next", F.lead("ts").over(ind.series_window())).filter(F.col("next") > F.col("ts") + hour)
+    return b.select("symbol", "dt", F.explode(F.sequence(F.col("ts") + hour, F.col("next") - hour, hour)).alias("ts"))
 
 
 register("bar_gaps", sql=with_bars(

@@ -265,3 +265,38 @@ def q_fill_median(spark, sf):
 register("fill_median", sql=sql_final(with_bars(_NULLED)
          + " SELECT symbol, ts, c, coalesce(c, quantile_cont(c, 0.5) OVER (PARTITION BY symbol, dt)) AS c_filled FROM n",
          ["symbol", "ts", "c", "c_filled"], ["c", "c_filled"]))(q_fill_median)
+
+
+# ---------------------------------------------------------------- smoothing over gaps
+def q_ema_gaps(spark, sf):
+    """EMA 9 and RSI 14 over bars whose close is NULL every 17th hour (W2, W3, W6):
+    a gap carries the value on and weighs on the next step."""
+    keys = ("symbol",)
+    b = fixtures.bars(spark, sf).withColumn(
+        "close", F.when(F.floor(F.unix_seconds("ts") / 3600) % 17 != 0, F.col("close")))
+    b = ind.ema(ind.with_index(b, keys), "close", 9, "ema9", keys=keys)
+    b = ind.rsi(b, "close", 14, "rsi", variant="fill50", keys=keys)
+    return rounded(b.select("symbol", "ts", "close", "ema9", "rsi"))
+
+
+def _recursive(src: str, alpha: float, name: str) -> str:
+    """The recurrence itself, row by row: value and rows since the last input."""
+    q = 1.0 - alpha
+    step = f"(pow({q!r}, r.gap + 1) * r.y + {alpha!r} * p.x) / (pow({q!r}, r.gap + 1) + {alpha!r})"
+    return (f"{name} AS (SELECT symbol, idx, {src} AS y, 0 AS gap FROM d WHERE idx = 0 UNION ALL "
+            f"SELECT p.symbol, p.idx, CASE WHEN p.x IS NULL THEN r.y WHEN r.y IS NULL THEN p.x ELSE {step} END, "
+            f"CASE WHEN p.x IS NULL THEN r.gap + 1 ELSE 0 END FROM {name} r JOIN (SELECT symbol, idx, {src} AS x FROM d) p "
+            "ON p.symbol = r.symbol AND p.idx = r.idx + 1)")
+
+
+register("ema_gaps", sql=sql_final(
+    "WITH RECURSIVE " + with_bars()[len("WITH "):] + ", "
+    "n AS (SELECT symbol, ts, CASE WHEN floor(epoch(ts) / 3600) % 17 <> 0 THEN close END AS close, "
+    "CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts) - 1 AS INTEGER) AS idx FROM bars), "
+    "d AS MATERIALIZED (SELECT *, CASE WHEN dl IS NOT NULL THEN greatest(dl, 0.0) END AS up, "
+    "CASE WHEN dl IS NOT NULL THEN greatest(-dl, 0.0) END AS dn FROM (SELECT *, close - lag(close) "
+    "OVER (PARTITION BY symbol ORDER BY ts) AS dl FROM n) z), "
+    + ", ".join([_recursive("close", 0.2, "ye"), _recursive("up", 1 / 14, "yu"), _recursive("dn", 1 / 14, "yd")])
+    + " SELECT d.symbol, d.ts, d.close, ye.y AS ema9, coalesce(100.0 - 100.0 / (1.0 + yu.y / nullif(yd.y, 0.0)), 50.0) AS rsi "
+    "FROM d JOIN ye USING (symbol, idx) JOIN yu USING (symbol, idx) JOIN yd USING (symbol, idx)",
+    ["symbol", "ts", "close", "ema9", "rsi"], ["close", "ema9", "rsi"]))(q_ema_gaps)

@@ -276,4 +276,4 @@ register("best_combo_equity", sql=_sweep_sql(
     + ") SELECT symbol, dt, ts_in, side, exit_reason, round(pnl_R, 6) AS pnl_R, round(sum(pnl_R) OVER (PARTITION BY "
     "symbol ORDER BY dt, ts_in ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cum_R FROM bt"))(
     q_best_combo_equity)
-register("sweep_csv")(q_sweep_csv)
+register("sweep_csv", sql=_sweep_sql(_RANK + f" SELECT {_sel(_RES_COLS, _RES_D)}, rank FROM rk"))(q_sweep_csv)

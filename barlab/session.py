@@ -56,14 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3) folder and
-    is used unchanged.  Only local test sessions get a fresh temp folder.
+    is used unchanged.  Only local test sessions get a fresh temp folder; on a
+    cluster without the setting this fails, as executors don't share ``/tmp``.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
-        # Local test session only: no shared folder was named.
-        cur = tempfile.mkdtemp(prefix="barlab-ckpt-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        cur = tempfile.mkdtemp(prefix="barlab-ckpt-", dir="/tmp")  # one machine: tests and the bench
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(cur)
     return spark.sparkContext.getCheckpointDir() or cur

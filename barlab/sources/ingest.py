@@ -17,20 +17,29 @@ from barlab.operators.medallion import canonical_bars
 from barlab.schemas import BARS_JSON_PAGE
 
 
+def parse_pages(pages: DataFrame, body: str = "body", keep: Sequence[str] = ("symbol",),
+                schema: T.StructType = BARS_JSON_PAGE) -> DataFrame:
+    """``keep``, the parsed page ``p``, and ``_corrupt``: the text of a page that
+    does not parse (NULL otherwise).  A NULL body is no page and is corrupt with
+    an empty text."""
+    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(body), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    out = pages.select(*keep, F.col(body).alias("_body"), parsed.alias("p"))
+    return out.select(*keep, "p", F.when(F.col("_body").isNull(), F.lit("")).otherwise(F.col("p._corrupt")).alias("_corrupt"))
+
+
 def flatten_pages(pages: DataFrame, body: str = "body", keep: Sequence[str] = ("symbol",),
                   schema: T.StructType = BARS_JSON_PAGE) -> DataFrame:
-    """One row per bar of every page; a page with ``bars: null`` contributes
-    nothing; unparsable pages are kept aside in ``_corrupt`` (S1, X16)."""
-    parsed = pages.select(*keep, F.from_json(F.col(body), schema).alias("p"), F.col(body).alias("_raw"))
-    rows = parsed.select(*keep, F.explode_outer(F.coalesce(F.col("p.bars"),
-                                                           F.array().cast(schema["bars"].dataType))).alias("b"))
-    rows = rows.filter(F.col("b").isNotNull())
-    return rows.select(*keep, "b.*")
+    """One row per bar of every page that parses; a page with ``bars: null``
+    contributes nothing (S1, X16).  :func:`corrupt_pages` has the others."""
+    parsed = parse_pages(pages, body, keep, schema).filter(F.col("_corrupt").isNull())
+    return parsed.select(*keep, F.explode("p.bars").alias("b")).select(*keep, "b.*")
 
 
-def corrupt_pages(pages: DataFrame, body: str = "body", schema: T.StructType = BARS_JSON_PAGE) -> DataFrame:
-    """Pages whose body does not parse (the side output of a PERMISSIVE read)."""
-    return pages.filter(F.from_json(F.col(body), schema).isNull())
+def corrupt_pages(pages: DataFrame, body: str = "body", keep: Sequence[str] = ("symbol",),
+                  schema: T.StructType = BARS_JSON_PAGE) -> DataFrame:
+    """Pages whose body does not parse, with their text in ``_corrupt``."""
+    return parse_pages(pages, body, keep, schema).filter(F.col("_corrupt").isNotNull()).select(*keep, "_corrupt")
 
 
 def ingest_bars_json(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -48,19 +57,20 @@ def day_range(bounds: DataFrame, start: str = "start", end: str = "end", out: st
                                                      F.expr("INTERVAL 1 DAY"))).alias(out))
 
 
-def ingest_day_range(bars: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+def ingest_day_range(bars: DataFrame, start: str | None = None, end: str | None = None, widen: int = 0) -> DataFrame:
     """Per symbol and requested day: bars landed and a status, days without
-    data included (S2).  The range defaults to each symbol's first..last day."""
-    b = bars.groupBy("symbol").agg(F.min("dt").alias("start"), F.max("dt").alias("end"))
-    if start is not None:
-        b = b.withColumn("start", F.lit(start).cast("date"))
-    if end is not None:
-        b = b.withColumn("end", F.lit(end).cast("date"))
-    days = day_range(b)
-    counts = bars.groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("n_bars"))
-    out = days.join(counts, ["symbol", "dt"], "left")
-    return (out.withColumn("n_bars", F.coalesce(F.col("n_bars"), F.lit(0)))
-               .withColumn("status", F.when(F.col("n_bars") > 0, F.lit("ok")).otherwise(F.lit("empty"))))
+    data included (S2).  The range defaults to each symbol's first..last day,
+    ``widen`` days more on each side.  Bars are read once: days are counted,
+    collected per symbol (one entry a day) and looked up for each day."""
+    counts = bars.groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("n"))
+    per_symbol = counts.groupBy("symbol").agg(F.min("dt").alias("first"), F.max("dt").alias("last"),
+                                              F.map_from_entries(F.collect_list(F.struct("dt", "n"))).alias("n_by_day"))
+    lo = F.lit(start).cast("date") if start is not None else F.date_sub("first", widen)
+    hi = F.lit(end).cast("date") if end is not None else F.date_add("last", widen)
+    days = day_range(per_symbol.withColumns({"start": lo, "end": hi}))
+    n = F.coalesce(F.try_element_at("n_by_day", F.col("dt")), F.lit(0))
+    return days.select("symbol", "dt", n.alias("n_bars"),
+                       F.when(n > 0, F.lit("ok")).otherwise(F.lit("empty")).alias("status"))
 
 
 def explode_option_chain(chains: DataFrame, body: str = "body", k: int = 3,

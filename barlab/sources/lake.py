@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlab.functions import scalar
+from barlab.schemas import TS_ALIASES
 
 PARTITIONS = ["symbol", "resolution", "dt"]
 
@@ -29,10 +31,14 @@ def write_lake(df: DataFrame, path: str, partitions: Sequence[str] = PARTITIONS,
 
 
 def scan(spark: SparkSession, path: str, merge_schema: bool = False,
-         with_filename: bool = False) -> DataFrame:
+         with_filename: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """Partition-discovering scan; ``merge_schema`` unions file schemas by name
-    (S4-S7).  ``filename`` comes from the hidden ``_metadata`` column."""
+    (S4-S7) and opens every footer for it; a ``schema`` given instead opens none,
+    and columns a file lacks are NULL.  ``filename`` comes from the hidden
+    ``_metadata`` column."""
     r = spark.read.option("basePath", path)
+    if schema is not None:
+        r = r.schema(schema)
     if merge_schema:
         r = r.option("mergeSchema", "true")
     df = r.parquet(path)
@@ -68,15 +74,21 @@ def inventory(df: DataFrame, group: Sequence[str] = ("symbol",)) -> DataFrame:
         F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))
 
 
-def register_bar_view(spark: SparkSession, path: str, name: str = "bars_1h") -> str:
-    """Canonical SQL view over the lake (S18, S19): ts coalesced from the
-    aliases present, symbol and dt taken from the file path.  Ordering is left
-    to the consumer."""
-    df = scan(spark, path, merge_schema=True, with_filename=True)
-    present = [c for c in ("ts", "utc_timestamp", "timestamp", "datetime") if c in df.columns]
-    df = df.select(
-        F.coalesce(*[F.col(c) for c in present]).alias("ts"), "open", "high", "low", "close", "volume",
-        scalar.path_symbol(F.col("filename")).alias("symbol"),
-        scalar.path_dt(F.col("filename")).alias("dt"))
+#: Every time alias and the bar columns, with the partition columns.
+DRIFT_SCHEMA = T.StructType([
+    *[T.StructField(c, T.TimestampType()) for c in TS_ALIASES],
+    *[T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close", "volume")],
+    T.StructField("symbol", T.StringType()), T.StructField("resolution", T.StringType()), T.StructField("dt", T.DateType())])
+
+
+def register_bar_view(spark: SparkSession, path: str, name: str = "bars_1h", resolution: str | None = None) -> str:
+    """Canonical SQL view over the lake (S18, S19): ts coalesced from the time
+    aliases; symbol and dt are the partition columns, so filters on them prune
+    folders; ``resolution`` picks one of several.  Ordering is left to the
+    consumer."""
+    df = scan(spark, path, schema=DRIFT_SCHEMA)
+    if resolution is not None:
+        df = df.filter(F.col("resolution") == resolution)
+    df = df.select(F.coalesce(*TS_ALIASES).alias("ts"), "open", "high", "low", "close", "volume", "symbol", "dt")
     df.createOrReplaceTempView(name)
     return name

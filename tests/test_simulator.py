@@ -157,3 +157,19 @@ def test_matches_plain_loop_on_random_sessions(spark):
     for name, exp in expected.items():
         g = [(x["idx_in"], x["exit_idx"], x["exit_reason"], round(x["pnl_R"], 9)) for x in got.get(name, [])]
         assert g == exp, name
+
+
+def test_long_session_matches_plain_loop(spark):
+    """10,000 bars in one session: the search index follows the session's size."""
+    rnd = random.Random(11)
+    px, bars = 1000.0, []
+    for _ in range(10_000):
+        o = px
+        c = round(o + rnd.gauss(0, 1.5), 2)
+        bars.append((o, round(max(o, c) + abs(rnd.gauss(0, 1.0)), 2), round(min(o, c) - abs(rnd.gauss(0, 1.0)), 2), c,
+                     1 if rnd.random() < 0.01 else 0))
+        px = c
+    lo, hi = min(b[2] for b in bars), max(b[1] for b in bars)
+    got = _trades(spark, {"long": bars}, {"long": (lo, hi)})["long"]
+    want = _loop(bars, lo, hi, ("161", "127"))
+    assert [(x["idx_in"], x["exit_idx"], x["exit_reason"], round(x["pnl_R"], 9)) for x in got] == want and want
