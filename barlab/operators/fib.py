@@ -41,6 +41,21 @@ def session_extremes(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, idx: str
         "direction": d}).drop("_mn", "_mx")
 
 
+def session_swings(bars: DataFrame, keys: Sequence[str] = SESSION_KEYS, positions: bool = False) -> DataFrame:
+    """One row per session: ``lo, hi, ts_low, ts_high, direction`` as in
+    :func:`session_extremes` (and ``idx_low, idx_high`` with ``positions``), by
+    one partially aggregated ``groupBy`` instead of a window over every bar."""
+    aggs = [F.min(F.struct("low", "ts")).alias("_mn"), F.min(F.struct((-F.col("high")).alias("nh"), "ts")).alias("_mx")]
+    if positions:
+        aggs.append(F.sort_array(F.collect_list("ts")).alias("_ts"))
+    s = bars.groupBy(*keys).agg(*aggs)
+    at = lambda c: (F.array_position("_ts", F.col(c)) - 1).cast("int")
+    return s.select(*keys, F.col("_mn.low").alias("lo"), (-F.col("_mx.nh")).alias("hi"), F.col("_mn.ts").alias("ts_low"),
+                    F.col("_mx.ts").alias("ts_high"),
+                    *([at("_mn.ts").alias("idx_low"), at("_mx.ts").alias("idx_high")] if positions else []),
+                    F.when(F.col("_mn.ts") < F.col("_mx.ts"), F.lit("up")).otherwise(F.lit("down")).alias("direction"))
+
+
 def level(lo, hi, direction, ratio):
     """Retracement level: from ``lo`` upward for ``up``, from ``hi`` downward for ``down``."""
     rng = hi - lo

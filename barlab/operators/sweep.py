@@ -176,51 +176,139 @@ def _signal(x: Column, sc: Column) -> Column:
     return F.coalesce(long_ok | short_ok, F.lit(False))
 
 
-def sweep_trades(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] | None = SWEEP_WINDOWS,
-                 keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
-    """Trades of every combination on every session."""
+def _evaluated(bars: DataFrame, grid: dict, windows: Sequence[str] | None, keys: Sequence[str]):
+    """One row per session: ``lists``, the distinct lists of signal bars over all
+    signal combinations; ``pick``, each combination's list number; ``trades``,
+    per list and outcome combination the trades taken.
+
+    In an up session the short threshold plays no part (and the reverse), so many
+    combinations share a list; each list is evaluated once, and outcomes are
+    searched only for bars that are in some list."""
     emas, rsis, atrs = _lengths(grid)
-    ocs = _outcome_combos(grid)
+    ocs, scs = _outcome_combos(grid), _signal_combos(grid)
     for o in ocs:
         o["ai"] = atrs.index(o["atr_len"]) + 1
-    scs = _signal_combos(grid)
     for s in scs:
         s["fi"] = emas.index(s["ema_fast"]) + 1
         s["si"] = emas.index(s["ema_slow"]) + 1
         s["ri"] = rsis.index(s["rsi_len"]) + 1
-    sessions = bt.add_search_arrays(sweep_bars(bars, grid, windows, keys=keys))
-    # (a) outcome of an entry on every bar, per outcome combination: outs[oc][bar]
     oc_lit, sc_lit = _lit_structs(ocs), _lit_structs(scs)
+    sessions = sweep_bars(bars, grid, windows, keys=keys)
+    cands = F.transform(sc_lit, lambda sc: F.transform(F.filter("bars", lambda x: _signal(x, sc)), lambda x: x["idx"]))
+    sessions = sessions.withColumn("cands", cands)
+    sessions = sessions.withColumn("lists", F.array_distinct(F.filter("cands", lambda c: F.size(c) > 0)))
+    sessions = sessions.filter(F.size("lists") > 0)
+    sessions = sessions.withColumns({
+        "pick": F.transform("cands", lambda c: F.array_position("lists", c)),
+        "needed": F.array_distinct(F.flatten("lists"))}).drop("cands")
+    sessions = bt.add_search_arrays(sessions)
+    planned = F.transform("needed", lambda i: F.element_at("bars", i + 1))
     outs = F.transform(oc_lit, lambda oc: bt.outcomes(
-        F.transform("bars", lambda x: _entry_plan(x, oc, oc["ai"])), F.col("bars")))
-    sessions = sessions.withColumn("outs", outs).drop("mn", "mx")
-    # (b) candidate signal bars per signal combination: cands[sc] = [bar, ...]
-    cands = F.transform(sc_lit, lambda sc: F.transform(F.filter("bars", lambda x: _signal(x, sc)),
-                                                       lambda x: x["idx"]))
-    sessions = sessions.withColumn("cands", cands).drop("bars")
-    # (c) greedy non-overlapping choice for every (signal, outcome) pair, inside
-    # the session row; only trades become rows
-    res = F.transform("cands", lambda c, si: F.struct(
-        si.alias("si"),
-        F.transform("outs", lambda o, oi: F.struct(
-            oi.alias("oi"),
-            F.when(F.size(c) > 0, bt.take_non_overlapping(c, lambda i: F.element_at(o, i + 1)))
-             .alias("trades"))).alias("per_oc")))
-    out = sessions.select(*keys, F.explode(res).alias("r"))
-    out = out.select(*keys, F.col("r.si").alias("si"), F.explode("r.per_oc").alias("p"))
-    out = out.select(*keys, "si", F.col("p.oi").alias("oi"), F.explode("p.trades").alias("t"))
-    # each grid literal is referenced once; its fields are read from the column
-    out = out.select(*keys, F.element_at(sc_lit, F.col("si") + 1).alias("sc"),
-                     F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "t")
-    sc, oc = F.col("sc"), F.col("oc")
-    return out.select(*keys, *[sc[c].alias(c) for c in ("ema_fast", "ema_slow", "rsi_len", "rsi_long", "rsi_short")],
-                      oc["atr_len"].alias("atr_len"), oc["atr_mult_stop"].alias("atr_mult_stop"),
-                      sc["retr_low"].alias("retr_low"), sc["retr_high"].alias("retr_high"),
-                      oc["ext_first"].alias("ext_first"), oc["ext_second"].alias("ext_second"), "t.*")
+        F.transform(planned, lambda x: _entry_plan(x, oc, oc["ai"])), F.col("bars")))
+    sessions = sessions.withColumn("outs", outs).drop("mn", "mx", "bars")
+    trades = F.transform("lists", lambda c: F.transform("outs", lambda o: bt.take_non_overlapping(
+        c, lambda i: F.element_at(o, F.array_position("needed", i).cast("int")))))
+    return sessions.select(*keys, "pick", trades.alias("trades")), sc_lit, oc_lit
+
+
+def _params(sc: Column, oc: Column) -> list[Column]:
+    return [*[sc[c].alias(c) for c in ("ema_fast", "ema_slow", "rsi_len", "rsi_long", "rsi_short")],
+            oc["atr_len"].alias("atr_len"), oc["atr_mult_stop"].alias("atr_mult_stop"), sc["retr_low"].alias("retr_low"),
+            sc["retr_high"].alias("retr_high"), oc["ext_first"].alias("ext_first"), oc["ext_second"].alias("ext_second")]
+
+
+def _by_combination(sessions: DataFrame, keys: Sequence[str], value, name: str) -> DataFrame:
+    """One row per session, signal and outcome combination with trades:
+    ``si, oi`` (numbers in the grid) and ``value`` of the trades as ``name``."""
+    found = sessions.withColumn("_v", F.transform("trades", lambda l: F.transform(l, value)))
+    per = F.filter(F.transform("pick", lambda p, si: F.struct(si.alias("si"), p.alias("p"))), lambda x: x["p"] > 0)
+    rows = found.select(*keys, F.explode(F.transform(per, lambda x: F.struct(
+        x["si"].alias("si"), F.element_at(F.col("_v"), x["p"].cast("int")).alias("v")))).alias("r"))
+    return rows.select(*keys, F.col("r.si").alias("si"), F.posexplode("r.v").alias("oi", name))
+
+
+def sweep_trades(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] | None = SWEEP_WINDOWS,
+                 keys: Sequence[str] = SESSION_KEYS) -> DataFrame:
+    """Trades of every combination on every session."""
+    sessions, sc_lit, oc_lit = _evaluated(bars, grid, windows, keys)
+    rows = _by_combination(sessions, keys, lambda t: t, "ts_").select(*keys, "si", "oi", F.explode("ts_").alias("t"))
+    rows = rows.select(*keys, F.element_at(sc_lit, F.col("si") + 1).alias("sc"),
+                       F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "t")
+    return rows.select(*keys, *_params(F.col("sc"), F.col("oc")), "t.*")
+
+
+def _day_metrics(trades: Column) -> Column:
+    """Of one session's trades, in order: what merges to the whole's metrics.
+    ``top`` and ``bottom`` are the extremes of the running sum, ``dd`` its worst
+    fall from an earlier trade."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("wins"), F.lit(0.0).alias("net"),
+                     F.lit(0.0).alias("won"), F.lit(0.0).alias("lost"), F.lit(float("-inf")).alias("top"),
+                     F.lit(float("inf")).alias("bottom"), F.lit(0.0).alias("dd"))
+
+    def step(a, t):
+        p = t["pnl_R"]
+        net = a["net"] + p
+        top = F.greatest(a["top"], net)
+        return F.struct((a["n"] + 1).alias("n"), (a["wins"] + F.when(p > 0, 1).otherwise(0)).alias("wins"), net.alias("net"),
+                        (a["won"] + F.when(p > 0, p).otherwise(0.0)).alias("won"),
+                        (a["lost"] - F.when(p > 0, 0.0).otherwise(p)).alias("lost"), top.alias("top"),
+                        F.least(a["bottom"], net).alias("bottom"), F.least(a["dd"], net - top).alias("dd"))
+
+    return F.aggregate(trades, start, step)
+
+
+def _summarised(rows: DataFrame, sc_lit: Column, oc_lit: Column, instrument: Sequence[str]) -> DataFrame:
+    """Metrics per instrument and combination from day metrics ``m``; keeps ``si, oi``."""
+    days = rows.groupBy(*instrument, "si", "oi").agg(F.sort_array(F.collect_list(F.struct("dt", "m"))).alias("days"))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("wins"), F.lit(0.0).alias("net"),
+                     F.lit(0.0).alias("won"), F.lit(0.0).alias("lost"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("dd"))
+
+    def merge(a, d):
+        m = d["m"]
+        return F.struct((a["n"] + m["n"]).alias("n"), (a["wins"] + m["wins"]).alias("wins"), (a["net"] + m["net"]).alias("net"),
+                        (a["won"] + m["won"]).alias("won"), (a["lost"] + m["lost"]).alias("lost"),
+                        F.greatest(a["top"], a["net"] + m["top"]).alias("top"),
+                        F.least(a["dd"], m["dd"], a["net"] + m["bottom"] - a["top"]).alias("dd"))
+
+    total = days.select(*instrument, "si", "oi", F.aggregate("days", start, merge).alias("a"))
+    total = total.select(*instrument, "si", "oi", F.element_at(sc_lit, F.col("si") + 1).alias("sc"),
+                         F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "a.*")
+    n = F.col("n")
+    return total.select(
+        *instrument, "si", "oi", *_params(F.col("sc"), F.col("oc")), "n", "wins", (n - F.col("wins")).alias("losses"),
+        F.col("net").alias("netR"),
+        F.when(F.col("lost") > 0, F.col("won") / F.col("lost")).otherwise(F.lit(metrics.INF)).alias("pf"),
+        (F.col("net") / n).alias("expectancy"), (F.col("wins") / n * 100.0).alias("win_pct"), F.col("dd").alias("maxDD"))
+
+
+def sweep_summary(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] | None = SWEEP_WINDOWS,
+                  instrument: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Metrics per instrument and combination (``sweep_results`` schema) straight
+    from the bars: a session's trades are reduced inside its row, so one narrow
+    row per session and combination is shuffled, under two integers; days merge
+    in order, and the parameters are looked up at the end."""
+    keys = (*instrument, "dt")
+    sessions, sc_lit, oc_lit = _evaluated(bars, grid, windows, keys)
+    rows = _by_combination(sessions, keys, _day_metrics, "m").filter("m.n > 0")
+    return _summarised(rows, sc_lit, oc_lit, instrument).drop("si", "oi")
+
+
+def best_trades(bars: DataFrame, path: str, grid: dict = GRID_A, windows: Sequence[str] | None = SWEEP_WINDOWS) -> DataFrame:
+    """Trades of each symbol's best combination, from one evaluation: sessions
+    with their lists' trades are written to ``path`` and read twice."""
+    keys = SESSION_KEYS
+    sessions, sc_lit, oc_lit = _evaluated(bars, grid, windows, keys)
+    sessions.write.mode("overwrite").parquet(path)
+    sessions = bars.sparkSession.read.schema(sessions.schema).parquet(path)
+    rows = _by_combination(sessions, keys, _day_metrics, "m").filter("m.n > 0")
+    best = rank_results(_summarised(rows, sc_lit, oc_lit, ("symbol",))).filter(F.col("rank") == 1)
+    chosen = sessions.join(best.select("symbol", "si", "oi"), "symbol")  # one row per symbol: no row is multiplied
+    of_list = F.try_element_at("trades", F.nullif(F.element_at("pick", F.col("si") + 1), F.lit(0)).cast("int"))
+    return chosen.select(*keys, F.explode(F.element_at(of_list, F.col("oi") + 1)).alias("t")).select(*keys, "t.*")
 
 
 def sweep_results(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Metrics per instrument and combination (``sweep_results`` schema)."""
+    """Metrics per instrument and combination of given trades."""
     return metrics.trade_summary(trades, [*instrument, *PARAM_COLS])
 
 

@@ -25,9 +25,7 @@ _X = (f"x1 AS (SELECT *, CAST(row_number() OVER ({P} ORDER BY ts) - 1 AS INTEGER
 
 # ---------------------------------------------------------------- A5/A6 session extremes
 def q_session_extremes(spark, sf):
-    b = fib.session_extremes(ind.with_index(fixtures.bars(spark, sf)))
-    return rounded(b.select("symbol", "dt", "lo", "hi", "idx_low", "idx_high", "ts_low", "ts_high",
-                            "direction").distinct())
+    return rounded(fib.session_swings(fixtures.bars(spark, sf), positions=True))
 
 
 register("session_extremes", sql=sql_final(with_bars(*_X) +
@@ -41,8 +39,7 @@ register("session_extremes", sql=sql_final(with_bars(*_X) +
 # ---------------------------------------------------------------- F1/F2 Fibonacci levels
 def q_fib_levels(spark, sf):
     """Seven retracement levels and two extensions of each session swing."""
-    b = fib.session_extremes(ind.with_index(fixtures.bars(spark, sf)))
-    s = b.select("symbol", "dt", "direction", "lo", "hi").distinct()
+    s = fib.session_swings(fixtures.bars(spark, sf))
     e127, e161 = fib.extensions(F.col("lo"), F.col("hi"), F.col("direction") == "up")
     s = s.select("symbol", "dt", "direction", F.col("lo").alias("low"), F.col("hi").alias("high"),
                  e127.alias("ext127"), e161.alias("ext161"),
@@ -66,8 +63,7 @@ register("fib_levels", sql=sql_final(with_bars(
 
 # ---------------------------------------------------------------- F3/F4 zones
 def q_fib_zone(spark, sf):
-    b = fib.session_extremes(ind.with_index(fixtures.bars(spark, sf)))
-    s = b.select("symbol", "dt", "direction", "lo", "hi").distinct()
+    s = fib.session_swings(fixtures.bars(spark, sf))
     lo, hi, d = F.col("lo"), F.col("hi"), F.col("direction")
     dz = fib.directional_zone(lo, hi, d, 0.5, 0.618)
     pz = fib.plain_zone(lo, hi, 0.382, 0.618)

@@ -486,8 +486,7 @@ register("round_ms", sql="SELECT event_id, ts, make_timestamp(CAST(round_even(ep
 
 def q_fib_level_lookup(spark, sf):
     """Named levels looked up from the (name, level) pairs."""
-    b = fib.session_extremes(ind.with_index(fixtures.bars(spark, sf)))
-    s = b.select("symbol", "dt", "direction", "lo", "hi").distinct()
+    s = fib.session_swings(fixtures.bars(spark, sf))
     m = F.map_from_entries(fib.level_array(F.col("lo"), F.col("hi"), F.col("direction")))
     return rounded(s.select("symbol", "dt", F.element_at(m, F.lit("50%")).alias("l50"),
                             F.element_at(m, F.lit("61.8%")).alias("l618"),

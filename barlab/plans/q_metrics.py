@@ -160,7 +160,7 @@ register("perf_metrics", sql=sim_sql.trades_sql(
 
 # ---------------------------------------------------------------- J1/4.4 sweep
 def _sweep_results(spark, sf):
-    return sweep.sweep_results(sweep.sweep_trades(fixtures.bars(spark, sf)))
+    return sweep.sweep_summary(fixtures.bars(spark, sf))
 
 
 def q_param_sweep(spark, sf):
@@ -178,12 +178,11 @@ def q_sweep_top(spark, sf):
 
 
 def q_best_combo_equity(spark, sf):
-    """Equity curve by trade of each symbol's best combination (O6): the
-    winning parameter row is semi-joined to the sweep's own trades (no rerun)."""
-    trades = sweep.sweep_trades(fixtures.bars(spark, sf))
-    best = sweep.rank_results(sweep.sweep_results(trades)).filter(F.col("rank") == 1)
-    keep = trades.join(best.select("symbol", *sweep.PARAM_COLS), ["symbol", *sweep.PARAM_COLS], "left_semi")
-    e = metrics.equity_trades(keep, ["symbol"])
+    """Equity curve by trade of each symbol's best combination (O6).  The sweep
+    is evaluated once: its trades, one array per session and combination, are
+    written, and both the ranking and the winners' trades are read from there."""
+    bars = fixtures.bars(spark, sf)
+    e = metrics.equity_trades(sweep.best_trades(bars, scratch_dir(spark, "sweep")), ["symbol"])
     return rounded(e.select("symbol", "dt", "ts_in", "side", "exit_reason", "pnl_R", "cum_R"))
 
 
