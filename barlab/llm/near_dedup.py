@@ -13,10 +13,14 @@
    confirmed on full shingle sets; links give components.
 4. Rounds two and three: within a region, classes of *different* components are
    compared by signature, and all pairs that may be links are confirmed -- first
-   the likeliest few per class and component, then all that are left.  Pairs
-   inside one component are never made, so a group of n near copies costs about
-   n links, not n squared pairs, and yet no link between different components
-   that share a region is passed over.
+   the likeliest few per class and component, then all that are left.  In a
+   region of more than ``FEW_CLASSES`` classes the comparing task holds the
+   lowest ``SKETCH`` hashes of each set, which is the whole set of most texts:
+   it confirms there and then, joins components as it goes and gives out only
+   links that join two of them, and pairs of longer texts that need the full sets.
+   Pairs inside one component are never made, so a group of n near copies costs
+   about n links, not n squared pairs, and yet no link between different
+   components that share a region is passed over.
 
 Two texts with similarity 0.8 miss all 24 regions with probability 7e-5.
 """
@@ -40,6 +44,8 @@ TREES, BAND = 24, 5
 HASHES = TREES * BAND
 #: Classes of a region that are compared with each other.
 REGION = 2_048
+#: Beyond so many classes a region's pairs are confirmed where they are compared, on the lowest hashes of each set.
+FEW_CLASSES, SKETCH = 24, 1_024
 #: Prefix lengths tried in turn for crowded regions.
 DEPTHS = (8, 12, 20, 40, HASHES)
 
@@ -174,25 +180,44 @@ def _neighbours(batches: Iterator[pa.RecordBatch], percent: int, alike: float, r
                     yield _pairs(cls, i[likely], j[likely])
 
 
+_JUDGED = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("link", pa.bool_())])
+
+
+def _judged(x: np.ndarray, y: np.ndarray, n_x: int, n_y: int, percent: int) -> bool | None:
+    """Whether two sets are linked, from their lowest hashes: known if these are
+    the whole sets; else None unless the estimate is five deviations too low."""
+    if n_x <= SKETCH and n_y <= SKETCH:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (n_x + n_y - both)
+    lowest = np.union1d(x, y)[:SKETCH]
+    share = np.isin(lowest, x, assume_unique=True) & np.isin(lowest, y, assume_unique=True)
+    return None if share.mean() >= percent / 100 - 5 * 0.5 / len(lowest) ** 0.5 else False
+
+
 def _across(batches: Iterator[pa.RecordBatch], percent: int, alike: float, few: int | None) -> Iterator[pa.RecordBatch]:
     """Pairs of a region whose classes are in different components: of each class
     of the component with fewer members here, the ``few`` likeliest in each
-    other component, or all that may be links.
+    other component, or all that may be links.  ``link`` is known (true) where
+    sketches are at hand and decide, else null.
 
     A pair that meets in several uncrowded regions is made in the first alone."""
     for table in whole_groups(batches, "grp"):
         grp, cls, n, tree, sig = _members(table)
         _, root = np.unique(np.array(table["root"].to_pylist(), dtype=object), return_inverse=True)
         whole, mask = np.asarray(table["whole"]), np.asarray(table["mask"])
+        sketch = table["sketch"].to_pylist()
         starts = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1]]))
+        out: list[tuple[int, int, bool | None]] = []
         for first, last in zip(starts, np.append(starts[1:], len(grp))):
             here, count = np.unique(root[first:last], return_inverse=True, return_counts=True)[1:]
             if len(count) < 2:
                 continue
             weight = count[here] * (len(count) + 1) + here  # order of components: by members, ties by number
-            left, right = [], []
+            joined = np.arange(len(count))  # components that links found here have made one
+            lowest = [np.frombuffer(x, np.uint64) if x is not None else None for x in sketch[first:last]]
             for i in range(last - first):
-                other = np.flatnonzero((weight > weight[i]) & _near(n, first + i, np.arange(first, last), percent))
+                other = np.flatnonzero((weight > weight[i]) & (joined[here] != joined[here[i]])
+                                       & _near(n, first + i, np.arange(first, last), percent))
                 if not len(other):
                     continue
                 equal = sig[first + other] == sig[first + i]
@@ -203,16 +228,23 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int, alike: float, few:
                     bands &= (int(mask[first + i]) >> np.arange(TREES) & 1).astype(bool)
                     keep &= ~bands[:, :tree[first]].any(1)
                 other, score = other[keep], score[keep]
-                if few is not None and len(other) > few:
-                    ranked = np.lexsort((other, -score, here[other]))
-                    sorted_root = here[other][ranked]
-                    begins = np.flatnonzero(np.concatenate([[True], sorted_root[1:] != sorted_root[:-1]]))
-                    place = np.arange(len(ranked)) - np.repeat(begins, np.diff(np.append(begins, len(ranked))))
-                    other = other[ranked[place < few]]
-                left += [first + i] * len(other)
-                right += (first + other).tolist()
-            for start in range(0, len(left), 8_192):
-                yield _pairs(cls, np.array(left[start:start + 8_192]), np.array(right[start:start + 8_192]))
+                ranked = other[np.lexsort((other, -score))]
+                made = np.zeros(len(count), np.int64)
+                for j in ranked.tolist():
+                    if joined[here[j]] == joined[here[i]] or few is not None and made[here[j]] >= few:
+                        continue
+                    made[here[j]] += 1
+                    link = None
+                    if lowest[i] is not None and lowest[j] is not None:
+                        link = _judged(lowest[i], lowest[j], int(n[first + i]), int(n[first + j]), percent)
+                    if link:
+                        joined[joined == joined[here[j]]] = joined[here[i]]
+                    if link is not False:
+                        out.append((first + i, first + j, link))
+        for start in range(0, len(out), 8_192):
+            part = out[start:start + 8_192]
+            pairs = _pairs(cls, np.array([p[0] for p in part]), np.array([p[1] for p in part]))
+            yield batch_of(_JUDGED, [pairs.column(0), pairs.column(1), [p[2] for p in part]])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -306,11 +338,17 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for limit in (few, None):
         rooted = groups.join(live, "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
             "root", F.coalesce("root", "cls"))
-        mixed = rooted.groupBy("grp").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-        open_groups = grouped(rooted.join(mixed.select("grp"), "grp").select("grp", "tree", "cls", "n", "sig", "root",
-                                                                             "whole", "mask"))
-        more = open_groups.mapInArrow(lambda b, k=limit: _across(b, percent, alike, k), "a binary, b binary").distinct()
-        found = written(confirmed(more.join(tested.select("a", "b"), ["a", "b"], "left_anti")), "near-tested")
+        mixed = rooted.groupBy("grp").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                          F.count("*").alias("members")).filter("r0 <> r1")
+        open_rows = rooted.join(mixed.select("grp", "members"), "grp").select(
+            "grp", "tree", "cls", "n", "sig", "root", "whole", "mask", "members")
+        lowest = sets.select("cls", F.substring("shingles", 1, 8 * SKETCH).alias("sketch"))
+        open_rows = open_rows.filter(F.col("members") > FEW_CLASSES).join(lowest, "cls", "left").unionByName(
+            open_rows.filter(F.col("members") <= FEW_CLASSES).withColumn("sketch", F.lit(None).cast("binary")))
+        judged = written(grouped(open_rows).mapInArrow(lambda b, k=limit: _across(b, percent, alike, k),
+                                                       "a binary, b binary, link boolean"), "near-judged")
+        unsure = judged.filter("link IS NULL").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        found = written(confirmed(unsure).unionByName(judged.filter("link").distinct()), "near-tested")
         tested = tested.unionByName(found)
         fresh = found.filter("link").select("a", "b")
         if fresh.limit(1).count():
