@@ -7,10 +7,10 @@ with the non-negative risk estimator: with losses l+(z) = s(-z) and l-(z) = s(z)
     risk = prior * E_P[l+] + max(0, E_U[l-] - prior * E_P[l-])
 
 so that unlabelled text counts as negative only beyond what its toxic share
-explains; when the bracket turns negative, its gradient is reversed instead of
-followed, which is what keeps a flexible scorer from over-fitting it.  The losses
-are sigmoid losses: as they are bounded, a few far-out positives cannot make the
-bracket negative on their own.
+explains: where the bracket would be negative it is 0, and only the positive
+part is followed, which is what keeps a flexible scorer from over-fitting.  The
+losses are sigmoid losses: as they are bounded, a few far-out positives cannot
+make the bracket negative on their own.
 
 Features of a text are its distinct words and their beginnings (4 to 6 letters),
 hashed.  Spark counts in how many positive and unlabelled texts each occurs, and
@@ -98,7 +98,7 @@ def nn_pu_train(doc_of: np.ndarray, feature_of: np.ndarray, p: np.ndarray, u: np
         slope = prob * (1.0 - prob)
         negative = prob @ share_u - prior * (prob @ share_p)
         g_negative = slope * (share_u - prior * share_p)
-        g = g_negative - prior * slope * share_p if negative >= 0 else -g_negative
+        g = (g_negative if negative >= 0 else 0.0) - prior * slope * share_p
         grad = np.concatenate([np.bincount(feature_of, weights=g[doc_of], minlength=n_features), [g.sum()]])
         grad[:-1] += penalty * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
