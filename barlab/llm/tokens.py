@@ -164,7 +164,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (path, shared.value is table, len(shared.value), hash(tuple(shared.value.items())[:64]))
+        key = (path, len(shared.value), hash(tuple(shared.value.items())[:64]))
         if key not in _LENGTHS:
             _LENGTHS.clear()
             _LENGTHS[key] = Lengths(path, shared.value)
