@@ -294,9 +294,11 @@ def expanding_quantile(df: DataFrame, src: str, q: float, out: str, *,
 
 
 def drawdown_cols(df: DataFrame, src: str, *, keys: Sequence[str], order: Sequence[str] | str,
-                  prefix: str = "") -> DataFrame:
-    """Running sum (equity), running peak and drawdown ``eq - peak``."""
+                  prefix: str = "", from_zero: bool = False) -> DataFrame:
+    """Running sum (equity), running peak and drawdown ``eq - peak`` (W13/W14);
+    the peak starts at the first row's equity, or at 0 with ``from_zero``."""
     w = running(Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order)))
     df = df.withColumn(f"{prefix}equity", F.sum(src).over(w))
     peak = F.max(f"{prefix}equity").over(w)
+    peak = F.greatest(peak, F.lit(0.0)) if from_zero else peak
     return df.withColumns({f"{prefix}peak": peak, f"{prefix}dd": F.col(f"{prefix}equity") - peak})

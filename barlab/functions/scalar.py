@@ -69,8 +69,9 @@ def round_half_away(c: Column, places: int) -> Column:
     floor(|x| * 10^p + 0.5) / 10^p``.  Deterministic for a given double, so
     two engines that compute the same double round it the same way
     (``round`` on a double rounds its shortest decimal text instead, which
-    splits exact decimal ties differently).  Magnitudes beyond 9e18 / 10^p
-    are returned unchanged."""
+    splits exact decimal ties differently).  A double beyond 9e18 / 10^p has no
+    digits after place ``p`` (doubles hold 53 bits), so rounding would change
+    nothing, while ``floor`` would leave the range of a long: it stays as it is."""
     scale = float(10 ** places)
     return F.when(F.abs(c) < F.lit(9.0e18 / scale),
                   F.signum(c) * F.floor(F.abs(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(c)

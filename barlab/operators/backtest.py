@@ -1,7 +1,7 @@
-"""Entry signals, entry plan and bracket-trade simulation.
+"""Entry signals, entry plan and bracket-trade outcomes.
 
 A rule set turns session bars into per-bar signals and, for each signal bar,
-the plan of a trade entered at the next bar's open (F15).  The simulator
+the plan of a trade entered at the next bar's open (F15).  The outcome step
 works on each session's ts-sorted bar array, in the JVM:
 
 * outcome (F16): for a planned entry, first-hit searches after the entry
@@ -35,7 +35,7 @@ from barlab.schemas import TRADE
 class RuleSet:
     """Parameters of one rule set.
 
-    kind: ``A`` sweep simulator (direction gate, clamped directional zone),
+    kind: ``A`` sweep rules (direction gate, clamped directional zone),
     ``B`` bidirectional (plain zone, no gate, 161 tried first),
     ``C`` direction-following with zone padding and EMA-slope trend,
     ``D`` rolling ATR-ZigZag impulse with fresh touch.
@@ -59,7 +59,7 @@ class RuleSet:
     keys: tuple[str, ...] = field(default=SESSION_KEYS)
 
 
-# Defaults of the reference's four simulators (fixed values).
+# Defaults of the reference's four rule sets (fixed values).
 RULE_A = RuleSet()
 RULE_B = RuleSet(kind="B", rsi_long=48, rsi_short=48, retr_low=0.382, retr_high=0.618,
                  session_filter=("09:35", "12:00", "13:00", "15:55"))
@@ -160,7 +160,7 @@ def add_entry_plan(df: DataFrame, rs: RuleSet, lo: str = "lo", hi: str = "hi",
                            "n1": F.lit(pref[0]), "n2": F.lit(pref[1])})
 
 
-# --------------------------------------------------------------------------- simulate
+# --------------------------------------------------------------------------- outcomes
 _BAR_FIELDS = ["idx", "ts", "high", "low", "close", "sig", "has_next", "valid", "e_ts", "e_open",
                "R", "stop", "tp1", "ext1", "ext2", "n1", "n2"]
 
@@ -304,7 +304,7 @@ def take_non_overlapping(cands: Column, trade_of=lambda c: c) -> Column:
     return F.aggregate(cands, init, step, lambda acc: acc["trades"])
 
 
-def simulate(plan: DataFrame, keys: Sequence[str] = SESSION_KEYS, be_label: bool = False,
+def bracket_trades(plan: DataFrame, keys: Sequence[str] = SESSION_KEYS, be_label: bool = False,
              extra_keys: Sequence[str] = ()) -> DataFrame:
     """Trades of each session: one row per trade (F16 + F17).
 
@@ -329,7 +329,7 @@ def run(bars: DataFrame, rs: RuleSet) -> DataFrame:
         plan = swings.rolling_plan(session_bars(bars, rs), rs)
     else:
         plan = add_entry_plan(add_signals(session_bars(bars, rs), rs), rs)
-    return simulate(plan, rs.keys, be_label=rs.kind in ("C", "D"))
+    return bracket_trades(plan, rs.keys, be_label=rs.kind in ("C", "D"))
 
 
 def trade_columns(trades: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from barlab import fixtures
 from barlab.functions import indicators as ind
 from barlab.operators import backtest as bt
 from barlab.operators import fib
-from barlab.plans import sim_sql
+from barlab.plans import oracle_walk
 from barlab.plans.oracle import with_bars
 from barlab.plans.registry import register, rounded, sql_final
 
@@ -100,7 +100,7 @@ _DASH = bt.RuleSet(kind="A", retr_low=0.5, retr_high=0.618)
 
 
 def _dash_ctes():
-    ctes = sim_sql.prepared_ctes(_DASH)
+    ctes = oracle_walk.prepared_ctes(_DASH)
     # prepared_ctes ends with zone + signals of rule A (clamped 0.5/0.618 zone,
     # rsi>=50); the dashboard uses the same zone with rsi > 45 / < 55.
     ctes = ctes[:-1]
@@ -140,7 +140,7 @@ def _signals_query(rs):
 
 
 def _signals_sql(rs):
-    return "WITH " + ",\n".join(sim_sql.prepared_ctes(rs)) + " SELECT symbol, dt, ts, idx, sig FROM sg"
+    return "WITH " + ",\n".join(oracle_walk.prepared_ctes(rs)) + " SELECT symbol, dt, ts, idx, sig FROM sg"
 
 
 # Whole-day variants keep every bar of the session (no time-of-day filter).
@@ -162,7 +162,7 @@ def q_entry_plan(spark, sf):
 
 
 register("entry_plan", sql=sql_final(
-    "WITH " + ",\n".join(sim_sql.prepared_ctes(RULE_A_DAY) + sim_sql.plan_ctes(RULE_A_DAY))
+    "WITH " + ",\n".join(oracle_walk.prepared_ctes(RULE_A_DAY) + oracle_walk.plan_ctes(RULE_A_DAY))
     + " SELECT symbol, dt, ts, sig, e_ts, e_open, stop, R, tp1, ext1, ext2 FROM pl "
     "WHERE sig <> 0 AND has_next AND valid",
     ["symbol", "dt", "ts", "sig", "e_ts", "e_open", "stop", "R", "tp1", "ext1", "ext2"],
@@ -182,4 +182,4 @@ for _k, _rs, _head in (("bracket_outcome", RULE_A_DAY, True),
                        ("backtest_bidir", bt.RULE_B, False),
                        ("backtest_trades", RULE_C_DAY, True),
                        ("backtest_padded", bt.RULE_C, False)):
-    register(_k, sql=sim_sql.trades_sql(_rs), headline=_head)(_backtest_query(_rs))
+    register(_k, sql=oracle_walk.trades_sql(_rs), headline=_head)(_backtest_query(_rs))

@@ -514,3 +514,13 @@ register("date_range", sql=with_bars(
     "r AS (SELECT symbol, min(dt) AS s, max(dt) AS e FROM bars GROUP BY symbol)")
     + " SELECT symbol, CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) "
     "AS DATE) AS dt FROM r")(q_date_range)
+
+
+def q_write_lake_clustered(spark, sf):
+    """Lake with folders by resolution and day, clustered by symbol, read back."""
+    path = lake.write_lake_clustered(_silver(spark, sf), scratch_dir(spark, "lake-clustered"))
+    return rounded(lake.scan(spark, path).select(*SILVER_COLS))
+
+
+register("write_lake_clustered", sql=sql_final(with_bars(_SILVER_CTE) + " SELECT * FROM silver",
+                                               SILVER_COLS, SILVER_D))(q_write_lake_clustered)

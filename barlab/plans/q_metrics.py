@@ -10,7 +10,7 @@ from barlab import fixtures
 from barlab.functions import indicators as ind
 from barlab.operators import backtest as bt
 from barlab.operators import metrics, sweep
-from barlab.plans import sim_sql
+from barlab.plans import oracle_walk
 from barlab.plans.q_backtest import RULE_A_DAY
 from barlab.plans.registry import register, rounded
 from barlab.session import scratch_dir
@@ -50,7 +50,7 @@ def q_trade_summary(spark, sf):
     return rounded(metrics.trade_summary(_trades(spark, sf), ["symbol"]))
 
 
-register("trade_summary", sql=sim_sql.trades_sql(
+register("trade_summary", sql=oracle_walk.trades_sql(
     RULE_A_DAY, _dd_cte("symbol")
     + f", s AS (SELECT symbol, {_SUMMARY_SQL}, min(dd) AS maxDD FROM dd GROUP BY symbol) "
     f"SELECT symbol, {_sel(_SUMMARY_OUT, _SUMMARY_D)} FROM s"))(q_trade_summary)
@@ -64,7 +64,7 @@ def q_summary_by_day_total(spark, sf):
 
 _W_DAY = "OVER (PARTITION BY symbol, dt ORDER BY ts_in ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 _W_ALL = "OVER (PARTITION BY symbol ORDER BY dt, ts_in ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-register("summary_by_day_total", sql=sim_sql.trades_sql(
+register("summary_by_day_total", sql=oracle_walk.trades_sql(
     RULE_A_DAY,
     f", d AS (SELECT *, sum(pnl_R) {_W_DAY} AS d_eq, sum(pnl_R) {_W_ALL} AS a_eq FROM trades), "
     f"d2 AS (SELECT *, d_eq - max(d_eq) {_W_DAY} AS d_dd, a_eq - max(a_eq) {_W_ALL} AS a_dd FROM d), "
@@ -81,7 +81,7 @@ def q_equity_daily(spark, sf):
 _EQ_DAILY = (", dl AS (SELECT symbol, dt, sum(pnl_R) AS day_R FROM trades GROUP BY symbol, dt), "
              "eq AS (SELECT *, sum(day_R) OVER (PARTITION BY symbol ORDER BY dt ROWS BETWEEN UNBOUNDED "
              "PRECEDING AND CURRENT ROW) AS cum_R FROM dl)")
-register("equity_daily", sql=sim_sql.trades_sql(
+register("equity_daily", sql=oracle_walk.trades_sql(
     RULE_A_DAY, _EQ_DAILY + " SELECT symbol, dt, round(day_R, 6) AS day_R, round(cum_R, 6) AS cum_R FROM eq"))(
     q_equity_daily)
 
@@ -91,7 +91,7 @@ def q_equity_trades(spark, sf):
     return rounded(e.select("symbol", "dt", "ts_in", "pnl_R", "cum_R"))
 
 
-register("equity_trades", sql=sim_sql.trades_sql(
+register("equity_trades", sql=oracle_walk.trades_sql(
     RULE_A_DAY, " SELECT symbol, dt, ts_in, round(pnl_R, 6) AS pnl_R, round(sum(pnl_R) OVER (PARTITION BY symbol "
     "ORDER BY dt, ts_in ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cum_R FROM trades"))(q_equity_trades)
 
@@ -101,7 +101,7 @@ def q_equity_tail(spark, sf):
     return rounded(metrics.tail_rows(metrics.equity_daily(_trades(spark, sf)), 5, ["symbol"], "dt"))
 
 
-register("equity_tail", sql=sim_sql.trades_sql(
+register("equity_tail", sql=oracle_walk.trades_sql(
     RULE_A_DAY, _EQ_DAILY + ", t AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY dt DESC) AS rk "
     "FROM eq) SELECT symbol, dt, round(day_R, 6) AS day_R, round(cum_R, 6) AS cum_R FROM t WHERE rk <= 5"))(
     q_equity_tail)
@@ -112,7 +112,7 @@ def q_run_summary(spark, sf):
     return rounded(metrics.run_summary(_trades(spark, sf)))
 
 
-register("run_summary", sql=sim_sql.trades_sql(
+register("run_summary", sql=oracle_walk.trades_sql(
     RULE_A_DAY, _dd_cte("symbol") + " SELECT symbol, count(DISTINCT dt) AS days_tested, count(*) AS trades, "
     "round(sum(pnl_R), 6) AS netR_total, round(avg(pnl_R), 6) AS avg_R_per_trade, "
     "round(min(dd), 6) AS max_drawdown_R FROM dd GROUP BY symbol"))(q_run_summary)
@@ -145,7 +145,7 @@ def q_perf_metrics(spark, sf):
     return rounded(metrics.perf_metrics(metrics.equity_daily(_trades(spark, sf)), ["symbol"]))
 
 
-register("perf_metrics", sql=sim_sql.trades_sql(
+register("perf_metrics", sql=oracle_walk.trades_sql(
     RULE_A_DAY, ", dl AS (SELECT symbol, dt, sum(pnl_R) AS day_R FROM trades GROUP BY symbol, dt), "
     "pe AS (SELECT *, sum(day_R) OVER (PARTITION BY symbol ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND "
     "CURRENT ROW) AS equity FROM dl), pp AS (SELECT *, equity - max(equity) OVER (PARTITION BY symbol ORDER BY dt "
@@ -209,7 +209,7 @@ def _grid_values() -> str:
 def _sweep_sql(tail: str) -> str:
     from barlab.plans.oracle import BARS_CTE, ema_sql, wilder_sql
     emas, rsis, atrs = sweep._lengths(sweep.GRID_A)
-    S, P, PI = sim_sql.S, sim_sql.P, sim_sql.PI
+    S, P, PI = oracle_walk.S, oracle_walk.P, oracle_walk.PI
     keys = ("symbol", "dt", *sweep.PARAM_COLS)
     pick = lambda col, names: "CASE " + col + " " + " ".join(f"WHEN {n} THEN {pre}_{n}" for pre, n in names) + " END"
     ctes = [
@@ -224,7 +224,7 @@ def _sweep_sql(tail: str) -> str:
             + [f"{wilder_sql('tr', n)} AS atr_{n}" for n in atrs]) + " FROM i1)",
         "i3 AS (SELECT *, " + ", ".join(f"100.0 - 100.0 / (1.0 + au_{n} / nullif(ad_{n}, 0.0)) AS rsi_{n}"
                                          for n in rsis) + " FROM i2)",
-        f"f0 AS (SELECT * EXCLUDE (idx) FROM i3 WHERE {sim_sql.tod_sql(sweep.SWEEP_WINDOWS)})",
+        f"f0 AS (SELECT * EXCLUDE (idx) FROM i3 WHERE {oracle_walk.tod_sql(sweep.SWEEP_WINDOWS)})",
         f"f AS (SELECT *, CAST(row_number() OVER ({S}) - 1 AS INTEGER) AS idx FROM f0)",
         f"x1 AS (SELECT *, min(low) OVER ({P}) AS lo, max(high) OVER ({P}) AS hi FROM f)",
         f"x2 AS (SELECT *, min(CASE WHEN low = lo THEN idx END) OVER ({P}) AS idx_low, "
@@ -253,7 +253,7 @@ def _sweep_sql(tail: str) -> str:
         "CASE WHEN ext_second = '127' THEN (CASE WHEN direction = 'up' THEN hi + 0.272 * (hi - lo) ELSE lo - 0.272 * (hi - lo) END) "
         "ELSE (CASE WHEN direction = 'up' THEN hi + 0.618 * (hi - lo) ELSE lo - 0.618 * (hi - lo) END) END AS ext2, "
         "ext_first AS n1, ext_second AS n2 FROM c3)",
-        *sim_sql.trades_cte(False, keys),
+        *oracle_walk.trades_cte(False, keys),
     ]
     grp = "symbol, " + ", ".join(sweep.PARAM_COLS)
     res = (_dd_cte(grp) + f", res AS (SELECT {grp}, {_SUMMARY_SQL}, min(dd) AS maxDD FROM dd GROUP BY {grp})")

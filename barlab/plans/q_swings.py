@@ -11,13 +11,13 @@ from barlab import fixtures
 from barlab.functions import indicators as ind
 from barlab.operators import backtest as bt
 from barlab.operators import swings
-from barlab.plans import sim_sql
+from barlab.plans import oracle_walk
 from barlab.plans.oracle import BARS_CTE, ema_sql, wilder_sql
 from barlab.plans.registry import register, rounded, sql_final
 
 RULE_D_DAY = replace(bt.RULE_D, session_filter=None)
-PI = sim_sql.PI
-S = sim_sql.S
+PI = oracle_walk.PI
+S = oracle_walk.S
 
 
 def _rolling(spark, sf, rs=RULE_D_DAY):
@@ -30,7 +30,7 @@ def q_zigzag_rolling(spark, sf):
     return rounded(r.select("symbol", "dt", "ts", "close", "atr_filled", "zz_dir", "imp_lo", "imp_hi"))
 
 
-_ZZ = sim_sql.rolling_ctes(RULE_D_DAY)
+_ZZ = oracle_walk.rolling_ctes(RULE_D_DAY)
 _ZZ_HEAD = "WITH RECURSIVE " + ",\n".join(_ZZ)
 register("zigzag_rolling", sql=sql_final(
     _ZZ_HEAD + " SELECT symbol, dt, ts, close, atr_filled, zz_dir, imp_lo, imp_hi FROM r0",
@@ -66,8 +66,8 @@ def _trades(rs):
     return fn
 
 
-register("rolling_fib_trades", sql=sim_sql.rolling_trades_sql(RULE_D_DAY))(_trades(RULE_D_DAY))
-register("backtest_rolling", sql=sim_sql.rolling_trades_sql(bt.RULE_D))(_trades(bt.RULE_D))
+register("rolling_fib_trades", sql=oracle_walk.rolling_trades_sql(RULE_D_DAY))(_trades(RULE_D_DAY))
+register("backtest_rolling", sql=oracle_walk.rolling_trades_sql(bt.RULE_D))(_trades(bt.RULE_D))
 
 
 # ---------------------------------------------------------------- F5 last leg

@@ -71,10 +71,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or cur
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/barlab/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/barlab/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written with :func:`scratch_dir`; call
+    it when no result that reads from there is needed any more."""
+    jvm, path = spark.sparkContext._jvm, _scratch_root(spark)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def object_store_settings(endpoint: str, access_key: str, secret_key: str, *, path_style: bool = True,

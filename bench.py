@@ -75,7 +75,7 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from barlab.plans import catalog
-    from barlab.session import get_spark
+    from barlab.session import clean_scratch, get_spark
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2, app_name="barlab-bench")
     reg = catalog.all_queries()
     qs = {k: reg[k].fn for k in HEADLINE}
@@ -102,6 +102,7 @@ def main() -> None:
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
+    clean_scratch(spark)
     spark.stop()
 
 

@@ -11,7 +11,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from barlab.session import get_spark
+    from barlab.session import clean_scratch, get_spark
     s = get_spark("local[4]", 4, app_name="barlab-tests")
     yield s
+    clean_scratch(s)
     s.stop()

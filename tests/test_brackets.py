@@ -1,4 +1,4 @@
-"""Bracket simulator: hand-made sessions with known outcomes, and a property
+"""Bracket outcomes: hand-made sessions with known outcomes, and a property
 test against a plain bar-by-bar loop on random sessions."""
 
 import datetime as dt
@@ -41,7 +41,7 @@ def _plan(spark, sessions, lo_hi, ext_pref=("161", "127"), mult=0.0, be_label=Fa
 
 def _trades(spark, sessions, lo_hi, **kw):
     be = kw.pop("be_label", False)
-    out = bt.simulate(_plan(spark, sessions, lo_hi, **kw), be_label=be).toPandas()
+    out = bt.bracket_trades(_plan(spark, sessions, lo_hi, **kw), be_label=be).toPandas()
     return {k: g.sort_values("idx_in").to_dict("records") for k, g in out.groupby("symbol")}
 
 

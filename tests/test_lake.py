@@ -70,3 +70,38 @@ def test_bars_aggregate_by_hash(spark):
     from tests.conftest import SF_SMOKE
     plan = fixtures.bars(spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_clustered_lake_has_few_files(spark):
+    rows = [(dt.datetime(2024, 1, 1 + d, 10), 1.0, f"s{k:03d}", "1h", dt.date(2024, 1, 1 + d)) for d in range(3) for k in range(200)]
+    df = spark.createDataFrame(rows, "ts timestamp, close double, symbol string, resolution string, dt date")
+    path = lake.write_lake_clustered(df, scratch_dir(spark, "clustered"))
+    back = lake.scan(spark, path)
+    assert back.count() == 600
+    assert back.select(F.input_file_name()).distinct().count() <= 12
+
+
+def test_new_york_session_window(spark):
+    from barlab.functions import scalar
+    rows = [(dt.datetime(2024, 1, 15, 14, 30),), (dt.datetime(2024, 7, 15, 14, 30),), (dt.datetime(2024, 7, 15, 13, 35),)]
+    df = spark.createDataFrame(rows, "ts timestamp")
+    got = df.select(scalar.in_time_windows(F.col("ts"), ("09:30", "09:40"), "America/New_York").alias("x")).collect()
+    assert [r["x"] for r in got] == [True, False, True]  # 14:30 UTC is 09:30 in winter; 13:35 is 09:35 in summer
+
+
+def test_drawdown_from_zero(spark):
+    from barlab.functions import indicators as ind
+    df = spark.createDataFrame([("s", k, x) for k, x in enumerate([-2.0, 1.0, 3.0, -4.0])], "symbol string, ts int, pnl double")
+    dd = {z: [r["dd"] for r in ind.drawdown_cols(df, "pnl", keys=["symbol"], order="ts", from_zero=z).orderBy("ts").collect()]
+          for z in (False, True)}
+    assert dd == {False: [0.0, 0.0, 0.0, -4.0], True: [-2.0, -1.0, 0.0, -4.0]}
+
+
+def test_no_shared_folder_fails_off_one_machine():
+    from types import SimpleNamespace
+
+    from barlab.session import ensure_checkpoint_dir
+    away = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        ensure_checkpoint_dir(away)
