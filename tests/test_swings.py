@@ -54,3 +54,20 @@ def test_expanding_quantile_matches_pandas():
     got = zz.quantiles_so_far([], x, 0.6)
     exp = pd.Series(x).expanding().quantile(0.6).to_numpy()
     assert np.allclose(got, exp, equal_nan=True)
+
+
+def test_folded_turns_equal_the_array_search(spark):
+    """Native turning points and runs against the array search, ties and unknown ATR included."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(60):
+        n = int(rng.integers(1, 120))
+        close = np.round(100 + rng.normal(size=n).cumsum(), int(rng.integers(0, 3)))
+        atr = np.where(rng.random(n) < 0.1, None, np.round(rng.random(n) * (k % 3), 2))
+        rows += [(f"s{k}", dt.date(2024, 1, 2), i, float(close[i]), None if atr[i] is None else float(atr[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, dt date, idx int, close double, atr_filled double")
+    out = swings.rolling_zigzag(df, 1.5).toPandas().sort_values(["symbol", "idx"])
+    for _, g in out.groupby("symbol"):
+        d, lo, hi = zz.rolling_zigzag_states(g["close"].to_numpy(), g["atr_filled"].to_numpy(float), 1.5)
+        assert [x if isinstance(x, str) else None for x in g["zz_dir"]] == d
+        assert np.allclose(g["imp_lo"], lo) and np.allclose(g["imp_hi"], hi)
