@@ -2,10 +2,9 @@
 
 Drawdown follows the reference: equity is the running sum of ``pnl_R`` in
 ``(dt, ts_in)`` order, the peak starts at the first trade (not at 0), and
-maxDD is ``min(equity - running max)``.  Windows are partitioned by the
-group key (instrument and/or parameter combination), whose size is the
-number of trades of that group -- days x trades per day, bounded by the
-calendar rather than by the bar volume.
+maxDD is ``min(equity - running max)``.  Summaries reduce a day's trades to a
+few numbers first and merge the days in order, so that a group's rows are days,
+not trades.
 """
 
 from __future__ import annotations
@@ -20,11 +19,6 @@ from barlab.functions import indicators as ind
 INF = float("inf")
 
 
-def with_drawdown(trades: DataFrame, group: Sequence[str], order: Sequence[str] = ("dt", "ts_in"),
-                  src: str = "pnl_R") -> DataFrame:
-    return ind.drawdown_cols(trades, src, keys=list(group), order=list(order))
-
-
 def summary_aggs(src: str = "pnl_R", with_dd: bool = True) -> list[Column]:
     p = F.col(src)
     gross_win = F.coalesce(F.sum(F.when(p > 0, p)), F.lit(0.0))
@@ -43,11 +37,63 @@ def summary_aggs(src: str = "pnl_R", with_dd: bool = True) -> list[Column]:
     return aggs
 
 
+def day_metrics(trades: Column, src: str = "pnl_R") -> Column:
+    """Of one day's trades, in order: what merges to the whole's metrics.
+    ``top`` and ``bottom`` are the extremes of the running sum, ``dd`` its worst
+    fall from an earlier trade."""
+    zero, none = F.lit(0.0), F.lit(0).cast("long")
+    start = F.struct(none.alias("n"), none.alias("wins"), zero.alias("net"), zero.alias("won"), zero.alias("lost"),
+                     F.lit(-INF).alias("top"), F.lit(INF).alias("bottom"), zero.alias("dd"))
+
+    def step(a, t):
+        p = t[src]
+        net = a["net"] + p
+        top = F.greatest(a["top"], net)
+        return F.struct((a["n"] + 1).alias("n"), (a["wins"] + F.when(p > 0, 1).otherwise(0)).alias("wins"), net.alias("net"),
+                        (a["won"] + F.when(p > 0, p).otherwise(0.0)).alias("won"),
+                        (a["lost"] - F.when(p > 0, 0.0).otherwise(p)).alias("lost"), top.alias("top"),
+                        F.least(a["bottom"], net).alias("bottom"), F.least(a["dd"], net - top).alias("dd"))
+
+    return F.aggregate(trades, start, step)
+
+
+def merged_days(days: Column) -> Column:
+    """Day metrics ``m`` of sorted ``array<struct<dt, m>>`` merged in order: a
+    fall may start at an earlier day's peak."""
+    zero, none = F.lit(0.0), F.lit(0).cast("long")
+    start = F.struct(none.alias("n"), none.alias("wins"), zero.alias("net"), zero.alias("won"), zero.alias("lost"),
+                     F.lit(-INF).alias("top"), zero.alias("dd"), none.alias("days"))
+
+    def merge(a, d):
+        m = d["m"]
+        return F.struct((a["n"] + m["n"]).alias("n"), (a["wins"] + m["wins"]).alias("wins"), (a["net"] + m["net"]).alias("net"),
+                        (a["won"] + m["won"]).alias("won"), (a["lost"] + m["lost"]).alias("lost"),
+                        F.greatest(a["top"], a["net"] + m["top"]).alias("top"),
+                        F.least(a["dd"], m["dd"], a["net"] + m["bottom"] - a["top"]).alias("dd"),
+                        (a["days"] + 1).alias("days"))
+
+    return F.aggregate(days, start, merge)
+
+
+def summary_of(a: Column) -> list[Column]:
+    """The summary columns of merged metrics."""
+    return [a["n"].alias("n"), a["wins"].alias("wins"), (a["n"] - a["wins"]).alias("losses"), a["net"].alias("netR"),
+            F.when(a["lost"] > 0, a["won"] / a["lost"]).otherwise(F.lit(INF)).alias("pf"),
+            (a["net"] / a["n"]).alias("expectancy"), (a["wins"] / a["n"] * 100.0).alias("win_pct"), a["dd"].alias("maxDD")]
+
+
+def _merged(trades: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``group`` and the merged metrics ``a`` of its trades."""
+    day = trades.groupBy(*group, "dt").agg(F.sort_array(F.collect_list(F.struct("ts_in", "pnl_R"))).alias("t"))
+    days = day.select(*group, "dt", day_metrics(F.col("t")).alias("m")).groupBy(*group).agg(
+        F.sort_array(F.collect_list(F.struct("dt", "m"))).alias("days"))
+    return days.select(*group, merged_days(F.col("days")).alias("a"))
+
+
 def trade_summary(trades: DataFrame, group: Sequence[str]) -> DataFrame:
     """n, wins, losses, netR, profit factor (inf without losses), maxDD,
     expectancy and win % per group (A9, A10)."""
-    t = with_drawdown(trades, group)
-    return t.groupBy(*group).agg(*summary_aggs())
+    return _merged(trades, group).select(*group, *summary_of(F.col("a")))
 
 
 def summary_by_day_total(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -82,13 +128,10 @@ def equity_trades(trades: DataFrame, group: Sequence[str]) -> DataFrame:
 def run_summary(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
     """days_tested (days with trades), trades, netR_total, avg_R_per_trade,
     max_drawdown_R per instrument (A13)."""
-    t = with_drawdown(trades, instrument)
-    return t.groupBy(*instrument).agg(
-        F.count_distinct("dt").alias("days_tested"),
-        F.count(F.lit(1)).alias("trades"),
-        F.sum("pnl_R").alias("netR_total"),
-        F.avg("pnl_R").alias("avg_R_per_trade"),
-        F.min("dd").alias("max_drawdown_R"))
+    a = F.col("a")
+    return _merged(trades, instrument).select(
+        *instrument, a["days"].alias("days_tested"), a["n"].alias("trades"), a["net"].alias("netR_total"),
+        (a["net"] / a["n"]).alias("avg_R_per_trade"), a["dd"].alias("max_drawdown_R"))
 
 
 def tail_rows(df: DataFrame, k: int, group: Sequence[str], order: str) -> DataFrame:

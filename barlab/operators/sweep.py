@@ -237,48 +237,13 @@ def sweep_trades(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] |
     return rows.select(*keys, *_params(F.col("sc"), F.col("oc")), "t.*")
 
 
-def _day_metrics(trades: Column) -> Column:
-    """Of one session's trades, in order: what merges to the whole's metrics.
-    ``top`` and ``bottom`` are the extremes of the running sum, ``dd`` its worst
-    fall from an earlier trade."""
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("wins"), F.lit(0.0).alias("net"),
-                     F.lit(0.0).alias("won"), F.lit(0.0).alias("lost"), F.lit(float("-inf")).alias("top"),
-                     F.lit(float("inf")).alias("bottom"), F.lit(0.0).alias("dd"))
-
-    def step(a, t):
-        p = t["pnl_R"]
-        net = a["net"] + p
-        top = F.greatest(a["top"], net)
-        return F.struct((a["n"] + 1).alias("n"), (a["wins"] + F.when(p > 0, 1).otherwise(0)).alias("wins"), net.alias("net"),
-                        (a["won"] + F.when(p > 0, p).otherwise(0.0)).alias("won"),
-                        (a["lost"] - F.when(p > 0, 0.0).otherwise(p)).alias("lost"), top.alias("top"),
-                        F.least(a["bottom"], net).alias("bottom"), F.least(a["dd"], net - top).alias("dd"))
-
-    return F.aggregate(trades, start, step)
-
-
 def _summarised(rows: DataFrame, sc_lit: Column, oc_lit: Column, instrument: Sequence[str]) -> DataFrame:
     """Metrics per instrument and combination from day metrics ``m``; keeps ``si, oi``."""
     days = rows.groupBy(*instrument, "si", "oi").agg(F.sort_array(F.collect_list(F.struct("dt", "m"))).alias("days"))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("wins"), F.lit(0.0).alias("net"),
-                     F.lit(0.0).alias("won"), F.lit(0.0).alias("lost"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("dd"))
-
-    def merge(a, d):
-        m = d["m"]
-        return F.struct((a["n"] + m["n"]).alias("n"), (a["wins"] + m["wins"]).alias("wins"), (a["net"] + m["net"]).alias("net"),
-                        (a["won"] + m["won"]).alias("won"), (a["lost"] + m["lost"]).alias("lost"),
-                        F.greatest(a["top"], a["net"] + m["top"]).alias("top"),
-                        F.least(a["dd"], m["dd"], a["net"] + m["bottom"] - a["top"]).alias("dd"))
-
-    total = days.select(*instrument, "si", "oi", F.aggregate("days", start, merge).alias("a"))
+    total = days.select(*instrument, "si", "oi", metrics.merged_days(F.col("days")).alias("a"))
     total = total.select(*instrument, "si", "oi", F.element_at(sc_lit, F.col("si") + 1).alias("sc"),
-                         F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "a.*")
-    n = F.col("n")
-    return total.select(
-        *instrument, "si", "oi", *_params(F.col("sc"), F.col("oc")), "n", "wins", (n - F.col("wins")).alias("losses"),
-        F.col("net").alias("netR"),
-        F.when(F.col("lost") > 0, F.col("won") / F.col("lost")).otherwise(F.lit(metrics.INF)).alias("pf"),
-        (F.col("net") / n).alias("expectancy"), (F.col("wins") / n * 100.0).alias("win_pct"), F.col("dd").alias("maxDD"))
+                         F.element_at(oc_lit, F.col("oi") + 1).alias("oc"), "a")
+    return total.select(*instrument, "si", "oi", *_params(F.col("sc"), F.col("oc")), *metrics.summary_of(F.col("a")))
 
 
 def sweep_summary(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] | None = SWEEP_WINDOWS,
@@ -289,7 +254,7 @@ def sweep_summary(bars: DataFrame, grid: dict = GRID_A, windows: Sequence[str] |
     in order, and the parameters are looked up at the end."""
     keys = (*instrument, "dt")
     sessions, sc_lit, oc_lit = _evaluated(bars, grid, windows, keys)
-    rows = _by_combination(sessions, keys, _day_metrics, "m").filter("m.n > 0")
+    rows = _by_combination(sessions, keys, lambda t: metrics.day_metrics(t), "m").filter("m.n > 0")
     return _summarised(rows, sc_lit, oc_lit, instrument).drop("si", "oi")
 
 
@@ -300,7 +265,7 @@ def best_trades(bars: DataFrame, path: str, grid: dict = GRID_A, windows: Sequen
     sessions, sc_lit, oc_lit = _evaluated(bars, grid, windows, keys)
     sessions.write.mode("overwrite").parquet(path)
     sessions = bars.sparkSession.read.schema(sessions.schema).parquet(path)
-    rows = _by_combination(sessions, keys, _day_metrics, "m").filter("m.n > 0")
+    rows = _by_combination(sessions, keys, lambda t: metrics.day_metrics(t), "m").filter("m.n > 0")
     best = rank_results(_summarised(rows, sc_lit, oc_lit, ("symbol",))).filter(F.col("rank") == 1)
     chosen = sessions.join(best.select("symbol", "si", "oi"), "symbol")  # one row per symbol: no row is multiplied
     of_list = F.try_element_at("trades", F.nullif(F.element_at("pick", F.col("si") + 1), F.lit(0)).cast("int"))
