@@ -74,48 +74,40 @@ def smooth_all(df: DataFrame, specs: Sequence[Smoothing], *, keys: Sequence[str]
     more columns), so no stage shuffles again."""
     w = series_window(keys, order)
     known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
-    gap_of = {s.gaps or s.src: f"__gap{k}" for k, s in enumerate(specs)}
-    df = df.withColumns({name: F.col(idx) - F.last(F.when(known(c), F.col(idx)), ignorenulls=True)
-                         .over(w.rowsBetween(UNB, -1)) for c, name in gap_of.items()})
-    decay = {}  # (gaps, alpha) -> name of the running -ln a
-    step, terms = {}, {}
+    gap_of = {c: f"__gap{k}" for k, c in enumerate(dict.fromkeys(s.gaps or s.src for s in specs))}
+    decay: dict[tuple[str, float], str] = {}  # (gaps, alpha) -> name of the running -ln a
+    totals, terms, scaled, sums, out = {}, {}, {}, {}, {}
     for k, s in enumerate(specs):
-        gap = F.col(gap_of[s.gaps or s.src])
+        source = s.gaps or s.src
+        gap = F.col(gap_of[source])
         if s.alpha >= 1.0:
+            out[s.out] = F.last(F.when(known(s.src), F.col(s.src)), ignorenulls=True).over(running(w))
             continue
         log_q = math.log(1.0 - s.alpha)
         mass = F.exp(gap * F.lit(log_q)) + F.lit(s.alpha)  # q**g + alpha
-        pair = (s.gaps or s.src, s.alpha)
-        if pair not in decay:
-            decay[pair] = f"__dec{k}"
-            step[decay[pair]] = F.when(known(pair[0]) & gap.isNotNull(),
-                                       F.least(F.log(mass) - gap * F.lit(log_q), F.lit(BLOCK))).otherwise(F.lit(0.0))
+        total = decay.get((source, s.alpha))
+        if total is None:
+            total = decay[source, s.alpha] = f"__dec{k}"
+            step = F.when(known(source) & gap.isNotNull(), F.least(F.log(mass) - gap * F.lit(log_q), F.lit(BLOCK)))
+            totals[total] = F.coalesce(F.sum(step).over(running(w)), F.lit(0.0))
+            scaled[f"{total}_blk"] = F.floor(F.col(total) / F.lit(BLOCK))
         terms[f"__b{k}"] = F.when(known(s.src), F.when(gap.isNull(), F.col(s.src))
                                   .otherwise(F.lit(s.alpha) * F.col(s.src) / mass))
-    df = df.withColumns({**step, **terms}) if step else df
-    df = df.withColumns({c: F.sum(c).over(running(w)) for c in step}) if step else df
-    block = {c: f"{c}_blk" for c in step}
-    df = df.withColumns({b: F.floor(F.col(c) / F.lit(BLOCK)) for c, b in block.items()}) if step else df
-    within = lambda c: F.col(c) - F.lit(BLOCK) * F.col(block[c])
-    df = df.withColumns({f"__b{k}": F.col(f"__b{k}") * F.exp(within(decay[s.gaps or s.src, s.alpha]))
-                         for k, s in enumerate(specs) if f"__b{k}" in terms}) if step else df
-    for c, b in block.items():
-        own = [k for k, s in enumerate(specs) if decay.get((s.gaps or s.src, s.alpha)) == c]
-        by_block = Window.partitionBy(*keys, b).orderBy(order)
-        before = Window.partitionBy(*keys).orderBy(b).rangeBetween(-1, -1)
-        df = df.withColumns({f"__s{k}": F.sum(f"__b{k}").over(running(by_block)) for k in own})
-        df = df.withColumns({f"__p{k}": F.sum(f"__b{k}").over(before) for k in own})
-    out = {}
-    for k, s in enumerate(specs):
-        seen = known(s.src) | F.col(gap_of[s.gaps or s.src]).isNotNull()
-        if s.alpha >= 1.0:
-            out[s.out] = F.last(F.when(known(s.src), F.col(s.src)), ignorenulls=True).over(running(w))
-        else:
-            total = F.coalesce(f"__s{k}", F.lit(0.0)) + F.lit(math.exp(-BLOCK)) * F.coalesce(f"__p{k}", F.lit(0.0))
-            out[s.out] = F.when(seen, F.exp(-within(decay[s.gaps or s.src, s.alpha])) * total)
-    made = [*gap_of.values(), *step, *block.values(), *terms,
-            *(f"__{x}{k}" for x in "sp" for k in range(len(specs)) if f"__b{k}" in terms)]
-    return df.withColumns(out).drop(*made)
+        block = f"{total}_blk"
+        scaled[f"__b{k}"] = F.col(f"__b{k}") * F.exp(F.col(total) - F.lit(BLOCK) * F.floor(F.col(total) / F.lit(BLOCK)))
+        sums[f"__s{k}"] = F.sum(f"__b{k}").over(running(Window.partitionBy(*keys, block).orderBy(order)))
+        sums[f"__p{k}"] = F.sum(f"__b{k}").over(Window.partitionBy(*keys).orderBy(block).rangeBetween(-1, -1))
+        value = F.coalesce(f"__s{k}", F.lit(0.0)) + F.lit(math.exp(-BLOCK)) * F.coalesce(f"__p{k}", F.lit(0.0))
+        out[s.out] = F.when(known(s.src) | gap.isNotNull(),
+                            F.exp(F.lit(BLOCK) * F.col(block) - F.col(total)) * value)
+    # one projection per stage: each re-analyses the plan
+    df = df.withColumns({name: F.col(idx) - F.last(F.when(known(c), F.col(idx)), ignorenulls=True)
+                         .over(w.rowsBetween(UNB, -1)) for c, name in gap_of.items()})
+    for stage in (totals | terms, scaled, sums):
+        df = df.withColumns(stage) if stage else df
+    made = {*gap_of.values(), *totals, *terms, *scaled, *sums}
+    kept = [c for c in df.columns if c not in made and c not in out]
+    return df.select(*kept, *[c.alias(name) for name, c in out.items()])
 
 
 def smooth(df: DataFrame, src: str, out: str, alpha: float, **kw) -> DataFrame:

@@ -19,7 +19,7 @@ def _bars(spark, sf):
 # ---------------------------------------------------------------- EMA trend
 def ema_trend(spark, sf):
     """Which bars have EMA9 > EMA21 (session-reset EMAs over hourly bars)."""
-    b = ind.ema(ind.ema(_bars(spark, sf), "close", 9), "close", 21)
+    b = ind.emas(_bars(spark, sf), "close", [9, 21])
     return rounded(b.select("symbol", "ts", "dt", "close", "ema_9", "ema_21",
                             (F.col("ema_9") > F.col("ema_21")).alias("trend_up")))
 
@@ -177,7 +177,7 @@ register("return_1m", sql=sql_final(with_bars()
 # ---------------------------------------------------------------- lag / slope, index, fresh touch
 def q_slope_trend(spark, sf):
     """Trend = EMA9 > EMA21 OR 3-bar slope of EMA9 > 0."""
-    b = ind.ema(ind.ema(_bars(spark, sf), "close", 9), "close", 21)
+    b = ind.emas(_bars(spark, sf), "close", [9, 21])
     w = ind.series_window()
     b = b.withColumn("slope_3", F.col("ema_9") - F.lag("ema_9", 3).over(w))
     b = b.withColumn("trend_up", F.coalesce((F.col("ema_9") > F.col("ema_21")) | (F.col("slope_3") > 0), F.lit(False)))

@@ -38,7 +38,7 @@ def _minute_queries():
 
     def indicators_1m(spark, sf):
         b = ind.with_index(bars_1m(spark, sf))
-        b = ind.ema(ind.ema(b, "close", 9), "close", 21)
+        b = ind.emas(b, "close", [9, 21])
         b = ind.rsi(b, "close", 14, "rsi")
         b = ind.atr(b, 14)
         return ind.bollinger(ind.macd(b))
