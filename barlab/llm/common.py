@@ -91,10 +91,10 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
 
 
 class WordHash(dict):
-    """word bytes -> 64-bit hash, cached per worker; cleared when full so that
+    """word bytes -> 64-bit hash, cached for one task; cleared when full so that
     memory stays bounded whatever the vocabulary."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -144,7 +144,7 @@ class _WordRows:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.limit = max(1_000, min(300_000, 8_000_000 // max(1, len(model.languages))))
+        self.limit = max(1_000, min(200_000, 8_000_000 // max(1, len(model.languages))))
         self.matrix = np.zeros((len(model.words) + self.limit, len(model.languages)), np.float32)
         self.matrix[:len(model.words)] = model.word_rows
         self.reset()
@@ -187,17 +187,13 @@ class _WordRows:
         return total + more, n + count
 
 
-_ROWS: dict[int, _WordRows] = {}
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                         ("score", pa.float64())])
 
 
-def _judge(model: LanguageModel, texts: pa.Array) -> tuple[list[str], list[float]]:
+def _judge(cache: _WordRows, texts: pa.Array) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
-    cache = _ROWS.get(id(model))
-    if cache is None or cache.model is not model:
-        _ROWS.clear()
-        cache = _ROWS[id(model)] = _WordRows(model)
+    model = cache.model
     names, shares = [], []
     for start in range(0, len(texts), 64):
         for text in texts.slice(start, 64).to_pylist():
@@ -227,8 +223,9 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordRows(shared.value)
         for batch in batches:
-            names, shares = _judge(shared.value, batch.column(2))
+            names, shares = _judge(cache, batch.column(2))
             yield batch_of(_PREDICTED, [batch.column(0), batch.column(1), names, shares])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col, modulus, remainder).alias("held_out"),
@@ -243,8 +240,9 @@ def with_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "
     place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordRows(shared.value)
         for batch in batches:
-            names, shares = _judge(shared.value, batch.column(place))
+            names, shares = _judge(cache, batch.column(place))
             yield batch.filter(pa.array([n != UNDETERMINED and s >= min_score for n, s in zip(names, shares)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

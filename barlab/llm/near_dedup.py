@@ -93,16 +93,16 @@ def region_keys(signature: np.ndarray) -> np.ndarray:
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("keys", pa.list_(pa.int64())),
                      ("sig", pa.binary())])
-_WORDS = WordHash()
 
 
 def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    words_of = WordHash()
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
             out: list[list] = [[] for _ in range(4)]
             for text in text_bytes(part.column(2)):
-                found = shingle_set(text, _WORDS, width)
+                found = shingle_set(text, words_of, width)
                 row = [0, None, None, None]
                 if len(found):
                     signature = minhash(found)
@@ -115,9 +115,10 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    words_of = WordHash()
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
-            sets = [shingle_set(t, _WORDS, width).tobytes() for t in text_bytes(batch.column(0).slice(start, 256))]
+            sets = [shingle_set(t, words_of, width).tobytes() for t in text_bytes(batch.column(0).slice(start, 256))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()),
                  pa.array(sets, pa.binary())], names=["cls", "shingles"])

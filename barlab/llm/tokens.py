@@ -3,7 +3,7 @@
 A byte-level BPE cuts a text into pre-tokens and encodes each on its own, so a
 text's count is the sum of its pre-tokens' counts.  Tier one is a compact table
 of frequent pre-tokens and their lengths, broadcast to every task; tier two is a
-cache in each Python worker that encodes what tier one misses.  Both are bounded
+cache of each task's worker that encodes what tier one misses.  Both are bounded
 (entries and entry length), and what they hold decides speed only, never counts.
 No pre-token is shuffled: the frequent table comes from bounded heavy-hitter
 summaries, one row per partition, merged in a tree.
@@ -73,9 +73,6 @@ class Lengths(dict):
         return n
 
 
-_LENGTHS: dict[tuple, Lengths] = {}
-
-
 def _specials(path: str) -> list[str]:
     return [t.content for t in load_tokenizer(path).get_added_tokens_decoder().values()]
 
@@ -164,11 +161,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (path, len(shared.value), hash(tuple(shared.value.items())[:64]))
-        if key not in _LENGTHS:
-            _LENGTHS.clear()
-            _LENGTHS[key] = Lengths(path, shared.value)
-        length, specials, (split, newer) = _LENGTHS[key].__getitem__, _specials(path), pre_tokens()
+        length, specials, (split, newer) = Lengths(path, shared.value).__getitem__, _specials(path), pre_tokens()
         encode = load_tokenizer(path).encode
         for batch in batches:
             n = np.zeros(batch.num_rows, np.int64)
