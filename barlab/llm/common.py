@@ -23,6 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python a thousand rows at a time, unless the session
+    asks for another number than Spark's default of ten thousand: that many long
+    texts would be held at once, in Spark's buffers and in the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, "1000")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back: cuts
     lineage, and a lost executor re-reads files instead of recomputing."""
@@ -94,7 +103,7 @@ class WordHash(dict):
     """word bytes -> 64-bit hash, cached for one task; cleared when full so that
     memory stays bounded whatever the vocabulary."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import anti_rows, batch_of, text_bytes, text_key, written
+from barlab.llm.common import anti_rows, batch_of, short_batches, text_bytes, text_key, written
 
 #: ASCII letters to lower case, other ASCII but digits to a space, the rest (UTF-8 beyond ASCII) as it is.
 _PLAIN = bytes(c if c >= 0x80 or chr(c).isdigit() else ord(chr(c).lower()) if chr(c).isalpha() else 0x20
@@ -256,6 +256,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     An empty benchmark leaves all clean; an empty table gives an empty result;
     other columns are ignored.
     """
+    short_batches(docs.sparkSession)
     spark = docs.sparkSession
     blocks = _blocks(benchmark, item_col, item_text_col, block_words)
     named = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),

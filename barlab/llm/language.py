@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, held_out, small_join
+from barlab.llm.common import batch_of, held_out, short_batches, small_join
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Evidence of an n-gram counts this much less for each character it is shorter than the longest (log scale).
@@ -107,6 +107,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Fit on a bounded sample: about ``docs_per_language`` labelled rows of each
     language that are not held out.  Keeps the ``words`` most frequent words and
     the ``grams`` most frequent n-grams of each size, per language."""
+    short_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col, modulus, remainder))
     rows = rows.select(F.col(id_col).cast("string").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
@@ -144,7 +145,7 @@ class _WordRows:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.limit = max(1_000, min(200_000, 8_000_000 // max(1, len(model.languages))))
+        self.limit = max(1_000, min(100_000, 8_000_000 // max(1, len(model.languages))))
         self.matrix = np.zeros((len(model.words) + self.limit, len(model.languages)), np.float32)
         self.matrix[:len(model.words)] = model.word_rows
         self.reset()
@@ -220,6 +221,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     pass through; other columns are ignored; an empty table gives an empty
     result.
     """
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,6 +238,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
 def with_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", *, min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text has a learned
     language with at least ``min_score``: rows without any letter go."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

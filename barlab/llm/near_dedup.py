@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import (WordHash, answers_to_rows, anti_rows, batch_of, small_join, text_bytes, text_key,
+from barlab.llm.common import (WordHash, answers_to_rows, anti_rows, batch_of, short_batches, small_join, text_bytes, text_key,
                                written)
 from barlab.llm.components import components
 from barlab.llm.decontaminate import word_chunks
@@ -307,6 +307,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``alike`` is the share of equal signature values from which a candidate is
     confirmed (0.66 is 3.8 standard deviations below a similarity of 0.8).
     """
+    short_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = written(texts.mapInArrow(

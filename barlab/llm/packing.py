@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of
+from barlab.llm.common import batch_of, short_batches
 
 
 @lru_cache(maxsize=4)
@@ -114,6 +114,7 @@ def pack_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     repeated identifier are packed each on their own; other columns are ignored;
     an empty table gives an empty result.
     """
+    short_batches(docs.sparkSession)
     end = [] if end_id is None else [end_id]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

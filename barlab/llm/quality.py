@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, held_out, small_join, text_bytes
+from barlab.llm.common import batch_of, held_out, short_batches, small_join, text_bytes
 
 STEP = 8
 LAGS = 24
@@ -187,6 +187,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     ``per_label`` of each label, chosen by hash, with up to ``chunks`` pieces of
     1,024 bytes spread evenly over each text.  The labels' true shares weigh the
     sample.  Without labelled rows every text scores 1/2."""
+    short_batches(docs.sparkSession)
     open_row = ~held_out(id_col, modulus, remainder) & F.col(id_col).isNotNull()
     marked = (labels.filter(open_row & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("doc_id"))
               .agg(F.max(label_col).cast("int").alias("label")))
@@ -233,6 +234,7 @@ def score_quality(docs: DataFrame, net: ByteCnn, id_col: str = "doc_id", text_co
     alone; a null text scores as the empty one.  Null identifiers and repeated
     rows pass through; other columns are ignored; an empty table gives an empty
     result."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of
+from barlab.llm.common import batch_of, short_batches
 
 # Fixed value: the published pre-token pattern of this vocabulary.  Its alternatives are mutually exclusive by first
 # character except that contractions come before other marks, so the common ones stand first here; \s is spelt as the
@@ -100,6 +100,7 @@ def frequent_pretokens(docs: DataFrame, path: str, text_col: str = "text", *, en
     texts by their pieces between spaces, pruning the counter to 4 x ``entries``
     whenever it grows beyond 16 x, cuts the pieces into pre-tokens and gives one
     summary row; summaries merge ``fan_in`` at a time."""
+    short_batches(docs.sparkSession)
     text = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
 
     def summary(part: int, counter: Counter) -> pa.RecordBatch:
@@ -157,6 +158,7 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     it is built here.  Null identifiers and repeated rows pass through; other
     columns are ignored; an empty table gives an empty result.
     """
+    short_batches(docs.sparkSession)
     table = frequent_pretokens(docs, path, text_col) if frequent is None else frequent
     shared = docs.sparkSession.sparkContext.broadcast(table)
 

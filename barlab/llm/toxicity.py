@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, held_out, small_join, written
+from barlab.llm.common import batch_of, held_out, short_batches, small_join, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -118,6 +118,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     among the labelled rows that are not held out.  A feature is kept if it is in
     ``min_docs`` sampled positives, ``min_lift`` times as frequent there as in the
     unlabelled sample and ``min_z`` standard deviations above what that gives.  Without positives every text scores the prior."""
+    short_batches(docs.sparkSession)
     open_rows = docs.filter(~held_out(id_col, modulus, remainder) & F.col(id_col).isNotNull())
     rows = open_rows.select(F.col(id_col).cast("long").alias("doc_id"),
                             F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -167,6 +168,7 @@ def score_toxicity(docs: DataFrame, model: PuModel, id_col: str = "doc_id", text
     The score looks at the whole text alone.  A null or empty text scores as one
     without features.  Null identifiers and repeated rows pass through; other
     columns are ignored; an empty table gives an empty result."""
+    short_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
