@@ -4,10 +4,10 @@
    one *class*; only classes are compared.  A class has ``TREES * BAND`` minhash
    values; tree t sorts classes by the values from place ``t * BAND`` on, round
    the end.  Classes that share a tree's first ``BAND`` values are a *region*.
-2. Regions of one class end here (a count by key, no signatures moved).  A
-   region with more than ``REGION`` classes is cut by longer prefixes of its own
-   order, as deep as it takes; classes that agree to the last depth are dealt
-   into blocks, other ones in each tree.
+2. Regions of one class end here (a count by key, no signatures moved).  For
+   round one alone, a region with more than ``REGION`` classes is cut by longer
+   prefixes of its own order, as deep as it takes; classes that agree to the last
+   depth are dealt into blocks, other ones in each tree.
 3. Round one: neighbours in each region's order, whose common prefix is the
    longest, are candidates.  Candidates whose signatures are alike enough are
    confirmed on full shingle sets; links give components.
@@ -18,6 +18,9 @@
    lowest ``SKETCH`` hashes of each set, which is the whole set of most texts:
    it confirms there and then, joins components as it goes and gives out only
    links that join two of them, and pairs of longer texts that need the full sets.
+   A region of more than ``REGION`` classes is first compared within the groups
+   of round one, then whole: its classes are dealt into blocks, and every two
+   blocks meet in a task, but for blocks of the region's largest component.
    Pairs inside one component are never made, so a group of n near copies costs
    about n links, not n squared pairs, and yet no link between different
    components that share a region is passed over.
@@ -27,12 +30,13 @@ Two texts with similarity 0.8 miss all 24 regions with probability 7e-5.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.common import (WordHash, answers_to_rows, anti_rows, batch_of, short_batches, small_join, text_bytes, text_key,
@@ -42,7 +46,7 @@ from barlab.llm.decontaminate import word_chunks
 
 TREES, BAND = 24, 5
 HASHES = TREES * BAND
-#: Classes of a region that are compared with each other.
+#: Classes of a region that one task compares; larger regions are compared by pairs of blocks of about so many.
 REGION = 2_048
 #: Beyond so many classes a region's pairs are confirmed where they are compared, on the lowest hashes of each set.
 FEW_CLASSES, SKETCH = 24, 1_024
@@ -199,13 +203,14 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int, alike: float, few:
     """Pairs of a region whose classes are in different components: of each class
     of the component with fewer members here, the ``few`` likeliest in each
     other component, or all that may be links.  ``link`` is known (true) where
-    sketches are at hand and decide, else null.
+    sketches are at hand and decide, else null.  Where two blocks meet, ``side``
+    is 1 or 2 and only pairs across are made; elsewhere it is 0.
 
     A pair that meets in several uncrowded regions is made in the first alone."""
     for table in whole_groups(batches, "grp"):
         grp, cls, n, tree, sig = _members(table)
         _, root = np.unique(np.array(table["root"].to_pylist(), dtype=object), return_inverse=True)
-        whole, mask = np.asarray(table["whole"]), np.asarray(table["mask"])
+        whole, mask, side = np.asarray(table["whole"]), np.asarray(table["mask"]), np.asarray(table["side"])
         sketch = table["sketch"].to_pylist()
         starts = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1]]))
         out: list[tuple[int, int, bool | None]] = []
@@ -218,6 +223,7 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int, alike: float, few:
             lowest = [np.frombuffer(x, np.uint64) if x is not None else None for x in sketch[first:last]]
             for i in range(last - first):
                 other = np.flatnonzero((weight > weight[i]) & (joined[here] != joined[here[i]])
+                                       & ((side[first:last] != side[first + i]) | (side[first + i] == 0))
                                        & _near(n, first + i, np.arange(first, last), percent))
                 if not len(other):
                     continue
@@ -260,16 +266,18 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                                          names=["a", "b", "link"])
 
 
-def _forest(classes: DataFrame) -> DataFrame:
+def _forest(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """``grp, tree, cls, whole``: the regions of at least two classes, crowded
-    ones cut deeper.  ``whole`` marks groups that are a whole region."""
+    ones cut deeper.  ``whole`` marks groups that are a whole region.  Then
+    ``grp, tree, cls`` of the crowded regions, uncut, if there are any."""
     regions = classes.select("cls", F.posexplode("keys").alias("tree", "grp"))
     sizes = regions.groupBy("grp").agg(F.count("*").alias("size")).filter("size > 1")
     live = written(regions.join(sizes, "grp"), "forest-live")
     groups = live.filter(F.col("size") <= REGION).select("grp", "tree", "cls", F.lit(True).alias("whole"))
     crowded = live.filter(F.col("size") > REGION).drop("size")
     if not crowded.limit(1).count():
-        return groups
+        return groups, None
+    uncut = crowded
     rolled = F.concat(F.expr(f"substring(sig, tree * {BAND} + 1, {HASHES})"), F.expr(f"substring(sig, 1, tree * {BAND})"))
     crowded = crowded.join(classes.select("cls", "sig"), "cls").withColumn("order", rolled).drop("sig")
     for depth in DEPTHS:
@@ -281,10 +289,40 @@ def _forest(classes: DataFrame) -> DataFrame:
                                     .select("grp", "tree", "cls", F.lit(False).alias("whole")))
         crowded = deeper.filter(F.col("size") > REGION)
         if not crowded.limit(1).count():
-            return groups
+            return groups, uncut
         last, crowded = crowded, crowded.drop("size")
     block = F.pmod(F.xxhash64("cls", "tree"), F.ceil(F.col("size") / REGION))  # equal signatures: other blocks in each tree
-    return groups.unionByName(last.select(F.xxhash64("grp", block).alias("grp"), "tree", "cls", F.lit(False).alias("whole")))
+    cut = last.select(F.xxhash64("grp", block).alias("grp"), "tree", "cls", F.lit(False).alias("whole"))
+    return groups.unionByName(cut), uncut
+
+
+def _block_pairs(rooted: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of crowded regions dealt to pairs of blocks, ``grp`` and ``side`` new:
+    any two classes of different components of a region meet in exactly one pair.
+
+    The largest component of a region, whose classes need not meet, has blocks of
+    its own; these meet the blocks of the rest alone, so n near copies and a few
+    other classes are about n rows.  ``roots``: ``grp, root`` of the same rows."""
+    counts = roots.groupBy("grp", "root").agg(F.count("*").alias("here"))
+    regions = counts.groupBy("grp").agg(F.sum("here").alias("members"), F.max(F.struct("here", "root")).alias("top"))
+    regions = regions.filter("members > top.here").select(
+        "grp", "members", F.col("top.root").alias("home"), F.ceil(F.col("top.here") / REGION).cast("int").alias("homes"),
+        F.ceil((F.col("members") - F.col("top.here")) / REGION).cast("int").alias("rests"))
+    own, at = F.col("root") == F.col("home"), F.col("at")
+
+    def met(count: str, kind: str, pair, side) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda b: F.struct(
+            F.xxhash64("grp", F.lit(kind), *pair(b)).alias("grp"), side(b).cast("int").alias("side")))
+
+    of_home = met("rests", "home", lambda b: (b, at), lambda b: F.lit(2))
+    of_rest = F.concat(
+        met("homes", "home", lambda b: (at, b), lambda b: F.lit(1)),
+        met("rests", "rest", lambda b: (F.least(at, b), F.greatest(at, b)),
+            lambda b: F.when(at == b, 0).when(at < b, 1).otherwise(2)))
+    dealt = small_join(rooted, regions, "grp").withColumn(
+        "at", F.pmod(F.xxhash64("cls", "tree"), F.when(own, F.col("homes")).otherwise(F.col("rests"))).cast("int"))
+    dealt = dealt.withColumn("met", F.explode(F.when(own, of_home).otherwise(of_rest)))
+    return dealt.withColumns({"grp": F.col("met.grp"), "side": F.col("met.side")}).drop("met", "at", "home", "homes", "rests")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = 5,
@@ -317,7 +355,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("doc_id").alias("min_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("keys").alias("keys"), F.first("sig").alias("sig")), "near-classes")
     named = classes.filter("min_id IS NOT NULL")
-    groups = written(_forest(named), "near-groups")
+    groups, crowded = _forest(named)
+    groups = written(groups, "near-groups")
     masks = groups.groupBy("cls").agg(F.bit_or(F.when(F.col("whole"), F.expr("shiftleft(1, tree)")).otherwise(0)).alias("mask"))
     live = written(named.join(masks, "cls").select("cls", "min_id", "n", "sig", "mask"), "near-live")
     sets = written(small_join(texts, live.select(F.col("min_id").alias("doc_id")), "doc_id", "left_semi", limit=1_000_000)
@@ -337,16 +376,31 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tested = written(confirmed(first.distinct()), "near-tested")
     links = tested.filter("link").select("a", "b")
     labels = components(links)
-    for limit in (few, None):
-        rooted = groups.join(live, "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-            "root", F.coalesce("root", "cls"))
-        mixed = rooted.groupBy("grp").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                          F.count("*").alias("members")).filter("r0 <> r1")
-        open_rows = rooted.join(mixed.select("grp", "members"), "grp").select(
-            "grp", "tree", "cls", "n", "sig", "root", "whole", "mask", "members")
-        lowest = sets.select("cls", F.substring("shingles", 1, 8 * SKETCH).alias("sketch"))
-        open_rows = open_rows.filter(F.col("members") > FEW_CLASSES).join(lowest, "cls", "left").unionByName(
+    lowest = sets.select("cls", F.substring("shingles", 1, 8 * SKETCH).alias("sketch"))
+
+    def rooted(rows_: DataFrame) -> DataFrame:
+        return rows_.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+    def in_groups(rows_: DataFrame) -> DataFrame:
+        named_rows = rooted(rows_.join(live, "cls"))
+        mixed = named_rows.groupBy("grp").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                              F.count("*").alias("members")).filter("r0 <> r1")
+        open_rows = named_rows.join(mixed.select("grp", "members"), "grp").select(
+            "grp", "tree", "cls", "n", "sig", "root", "whole", "mask", F.lit(0).alias("side"), "members")
+        return open_rows.filter(F.col("members") > FEW_CLASSES).join(lowest, "cls", "left").unionByName(
             open_rows.filter(F.col("members") <= FEW_CLASSES).withColumn("sketch", F.lit(None).cast("binary")))
+
+    def in_blocks(rows_: DataFrame) -> DataFrame:
+        named_rows = rooted(rows_.join(live, "cls")).join(lowest, "cls", "left").select(
+            "grp", "tree", "cls", "n", "sig", "root", F.lit(False).alias("whole"), "mask", "sketch")
+        return _block_pairs(named_rows, rooted(rows_).select("grp", "root"))
+
+    rounds = [(few, groups, None), (None, groups, None)]
+    if crowded is not None:
+        rounds = [(few, groups, None), (few, None, crowded), (None, groups.filter("whole"), crowded)]
+    for limit, uncrowded, uncut in rounds:
+        parts = ([in_groups(uncrowded)] if uncrowded is not None else []) + ([in_blocks(uncut)] if uncut is not None else [])
+        open_rows = functools.reduce(DataFrame.unionByName, parts)
         judged = written(grouped(open_rows).mapInArrow(lambda b, k=limit: _across(b, percent, alike, k),
                                                        "a binary, b binary, link boolean"), "near-judged")
         unsure = judged.filter("link IS NULL").select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")

@@ -109,3 +109,10 @@ def test_stage_keeps_one_of_each(spark, edge):
     assert ids == [1, 4, 5, 6, 7, 9, 11, 12, 13]
     assert kept.filter("doc_id IS NULL AND text = 'only without a name'").count() == 1
     assert one_of_each(edge.filter(F.lit(False)), near_dedup(edge.filter(F.lit(False)))).count() == 0
+
+
+def test_crowded_regions_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(nd, "REGION", 4)
+    rows = varied(150, 5, edits=16)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup(spark.createDataFrame(rows, SCHEMA), shingle_words=2).collect()}
+    assert got == {r[0]: r[2] for r in brute(rows, 2)}
