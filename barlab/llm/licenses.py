@@ -59,6 +59,36 @@ SENTENCES = (
     "this source code form is subject to the terms of the mozilla public license v 2 0",
     "if a copy of the mpl was not distributed with this file you can obtain one at",
     "all rights reserved",
+    # pieces of official notices, cut where they have a mark inside
+    "this program is free software",
+    "this library is free software",
+    "this program is distributed in the hope that it will be useful but without any warranty",
+    "this library is distributed in the hope that it will be useful but without any warranty",
+    "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+    "the free software foundation",
+    "you can redistribute it and or modify it under the terms of the gnu library general public license as published by "
+    "the free software foundation",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+    "the free software foundation",
+    "either version 2 of the license or at your option any later version",
+    "either version 2 1 of the license or at your option any later version",
+    "either version 3 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation either version 2 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation either version 3 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+    "the free software foundation either version 2 1 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+    "the free software foundation either version 3 of the license or at your option any later version",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+    "the free software foundation either version 3 of the license or at your option any later version",
+    "this source code form is subject to the terms of the mozilla public license v",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
 )
 
 # Fixed values: (licence, kind, run of sentence identifiers), tried in this order.
@@ -92,6 +122,19 @@ RULES = (
     ("CC-BY-4.0", "permissive", (18,)),
     ("CC-BY-4.0", "permissive", (22,)),
     ("Proprietary", "restricted", (29,)),
+    ("GPL-2.0-or-later", "copyleft", (35, 39)),
+    ("GPL-2.0-or-later", "copyleft", (42,)),
+    ("GPL-3.0-or-later", "copyleft", (35, 41)),
+    ("GPL-3.0-or-later", "copyleft", (43,)),
+    ("LGPL-2.0-or-later", "copyleft", (37, 39)),
+    ("LGPL-2.1-or-later", "copyleft", (36, 40)),
+    ("LGPL-2.1-or-later", "copyleft", (44,)),
+    ("LGPL-3.0-or-later", "copyleft", (36, 41)),
+    ("LGPL-3.0-or-later", "copyleft", (45,)),
+    ("AGPL-3.0-or-later", "copyleft", (38, 41)),
+    ("AGPL-3.0-or-later", "copyleft", (46,)),
+    ("MPL-2.0", "copyleft", (47, 48)),
+    ("MPL-2.0", "copyleft", (47, 49)),
 )
 
 #: Ends of sentences: closing marks before white space, blank lines.

@@ -44,3 +44,50 @@ def test_rules_name_known_sentences():
 def test_no_python_in_plan(edge):
     plan = scan_licenses(edge)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+GNU = """    This {0} is free software{1} you can redistribute it and/or modify
+    it under the terms of the GNU {2}General Public License as published by
+    the Free Software Foundation{3} either version {4} of the License, or
+    (at your option) any later version.
+
+    This {0} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU {2}General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at {}://mozilla.org/MPL/2.0/."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+CC0 = """To the extent possible under law, the author has waived all copyright
+and related or neighboring rights to this work."""
+CC = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+NOTICES = [
+    ("GPL-2.0-or-later", GNU.format("program", ";", "", ";", "2")), ("GPL-2.0-or-later", GNU.format("program", ";", "", ",", "2")),
+    ("GPL-3.0-or-later", GNU.format("program", ":", "", ",", "3")), ("GPL-3.0-or-later", GNU.format("program", ";", "", ";", "3")),
+    ("LGPL-2.0-or-later", GNU.format("library", ";", "Library ", ";", "2")),
+    ("LGPL-2.1-or-later", GNU.format("library", ";", "Lesser ", ";", "2.1")),
+    ("LGPL-2.1-or-later", GNU.format("library", ";", "Lesser ", ",", "2.1")),
+    ("LGPL-3.0-or-later", GNU.format("program", ":", "Lesser ", ",", "3")),
+    ("LGPL-3.0-or-later", GNU.format("library", ";", "Lesser ", ";", "3")),
+    ("AGPL-3.0-or-later", GNU.format("program", ":", "Affero ", ",", "3")),
+    ("AGPL-3.0-or-later", GNU.format("program", ";", "Affero ", ";", "3")),
+    ("MPL-2.0", MPL.format("https")), ("MPL-2.0", MPL.format("http")), ("Apache-2.0", APACHE), ("ISC", ISC), ("CC0-1.0", CC0),
+    ("CC-BY-4.0", CC.format("")), ("CC-BY-SA-4.0", CC.format(" ShareAlike")),
+    ("CC-BY-NC-4.0", CC.format(" NonCommercial")), ("MIT", MIT), ("BSD-2-Clause", BSD), ("BSD-3-Clause", BSD + THIRD),
+]
+
+
+def test_official_notices(spark):
+    commented = ["".join(f" * {line.strip()}\n" for line in text.splitlines()) for _, text in NOTICES[:13]]
+    got = [r["licenses"] for r in scanned(spark, *[text for _, text in NOTICES], *commented)]
+    assert got == [name for name, _ in NOTICES] + [name for name, _ in NOTICES[:13]]
