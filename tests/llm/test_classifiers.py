@@ -153,3 +153,50 @@ def test_gradients_match_differences():
         down = loss()
         p[at] = before
         assert abs((up - down) / (2 * step) - g[at]) < 0.1 * abs(g[at]) + 1e-3
+
+
+def test_quality_is_a_function_of_the_text_alone(spark, docs, labels):
+    """Equal to the last bit at 1, 4 and 16 partitions and for copies."""
+    net = fit_quality(docs, labels)
+    both = docs.unionByName(docs.withColumn("doc_id", docs["doc_id"] + 1_000_000))
+    got = [{r["doc_id"]: r["score"] for r in score_quality(both.repartition(n), net).collect()} for n in (1, 4, 16)]
+    assert got[0] == got[1] == got[2]
+    assert all(got[0][k] == got[0][k + 1_000_000] for k in got[0] if k < 1_000_000)
+
+
+def plain_score(net, text):
+    """The network window by window in whole numbers, no batches."""
+    s = q.Scorer.of(net)
+    whole = lambda a: a.astype(np.int64)
+    n = max(1, -(-len(text) // q.STEP))
+    padded = np.frombuffer(bytes(q.BEFORE) + text + bytes((n + 1) * q.STEP - len(text)), np.uint8).astype(np.int64)
+    values = []
+    for w in range(n):
+        at = q.BEFORE + w * q.STEP
+        window = padded[at:at + 2 * q.STEP]
+        embedded = whole(s.net.embed)[window]
+        equal = [int(((window == padded[at - lag:at + 2 * q.STEP - lag]) & (window != 0)).sum()) for lag in range(1, q.LAGS + 1)]
+        h = (embedded[:q.STEP].reshape(-1) @ whole(s.net.first) + embedded[q.STEP:].reshape(-1) @ whole(s.net.second)
+             + np.array(equal) @ whole(s.net.repeat) + whole(s.net.bias))
+        values.append(np.maximum(h, 0))
+    values = np.array(values)
+    means = np.array([values[a:a + q.CHUNK].sum(0) / len(values[a:a + q.CHUNK]) for a in range(0, n, q.CHUNK)])
+    return s.score(np.concatenate([values.max(0), means.max(0)]))
+
+
+def test_quality_equals_a_plain_scorer(spark, docs, labels):
+    net = fit_quality(docs, labels)
+    texts = [r["text"] for r in docs.limit(40).collect()] + ["", "x", "é" * 5_000, LONG[:300_000]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in score_quality(df, net).collect()}
+    assert all(got[k] == plain_score(net, t.encode()) for k, t in enumerate(texts))
+
+
+def test_training_looks_at_whole_texts():
+    """What decides is in the middle of texts of many chunks."""
+    rng = random.Random(11)
+    plain = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    texts = [(plain(30_000) + (b"0123456789" * 30 if k % 2 else b"") + plain(30_000), k % 2) for k in range(60)]
+    net = q.train_cnn([(q.chunks_of(t), y) for t, y in texts], epochs=6)
+    scores = [q.Scorer.of(net).score(q.Scorer.of(net).features(q.cut(t)).max(0)) for t, _ in texts]
+    assert all((s >= 0.5) == bool(y) for s, (_, y) in zip(scores, texts))
