@@ -2,27 +2,31 @@
 
 A series is the ts-ordered rows of one partition key (default one session,
 ``symbol, dt``).  All windows here share one ``partitionBy/orderBy``, so a
-chain of indicators costs one exchange and one sort.
+chain of indicators costs one exchange and one sort, and smoothing one sort more.
 
 Exponential smoothing (recursive, seeded with the first value) has no built-in
-window function.  It is the linear recurrence ``y = a*y_prev + b`` with
+window function.  A row takes the value ``y`` before it to ``a*y + b`` with
 ``a = q**g / (q**g + alpha)`` and ``b = alpha*x / (q**g + alpha)`` after a gap of
-``g`` rows (``q = 1 - alpha``); a NULL row carries the value on.  With ``L`` the
-running sum of ``-ln a`` it has the closed form
-
-    y_i = sum_{k<=i} b_k * exp(L_k - L_i)
-
-which is evaluated in blocks of ``L`` (``BLOCK`` wide): inside a block exponents
-stay within double range, the block before counts as one sum scaled by
-``exp(-BLOCK)``, and what is further back weighs less than ``exp(-BLOCK)`` and
-is below double precision.  Series of any length and any gaps are fine.
+``g`` rows (``q = 1 - alpha``); a NULL row leaves it as it is.  Such maps are
+composed to maps of the same kind, so
+
+* inside a block of up to ``BLOCK_ROWS`` rows the composition is a running sum,
+  ``y_i = sum_{k<=i} b_k * exp(L_k - L_i)`` with ``L`` the sum of ``-ln a`` from the
+  block's start: few enough rows that exponents stay in double range;
+* the maps of the blocks before, one each, are folded to the value that a block
+  starts from;
+* in a series of many chunks (:func:`smooth_unbroken`) each chunk is smoothed on
+  its own, its one map goes to a table of a row per chunk, and the value carried
+  into a chunk is added with the weight that the chunk's maps leave it.
+
+Series of any length and any gaps are fine.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -46,7 +50,10 @@ def whole(keys: Sequence[str] = SESSION_KEYS) -> WindowSpec:
     return Window.partitionBy(*keys)
 
 
-BLOCK = 300.0
+#: Rows of a block at most; fewer where a block's decay could leave double range.
+BLOCK_ROWS = 512
+_RANGE = 350.0  # of -ln a over the rows of a block
+_FORGOTTEN = 300.0  # a gap from before the block counts at most so much: exp(-300) is below double precision
 
 
 def with_index(df: DataFrame, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
@@ -66,48 +73,148 @@ class Smoothing:
     gaps: str | None = None
 
 
+def _block_rows(specs: Sequence[Smoothing]) -> int:
+    """A power of two; a row's ``-ln a`` is at most ``-ln q + ln 2`` per row of its gap."""
+    most = max([-math.log(1.0 - s.alpha) for s in specs if s.alpha < 1.0], default=0.0) + math.log(2.0)
+    return 1 << max(0, min(BLOCK_ROWS.bit_length() - 1, int(math.log2(_RANGE / most))))
+
+
+def _known(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.isnan(c)
+
+
+@dataclass(frozen=True)
+class _Smoothed:
+    """What one call has added: ``gap`` and ``weight`` columns by source and by
+    (source, alpha); ``weight`` is what the value before the series' first input
+    would still weigh."""
+
+    df: DataFrame
+    gap: dict[str, str]
+    weight: dict[tuple[str, float], str]
+    added: list[str]
+
+
+def _smoothed(df: DataFrame, specs: Sequence[Smoothing], keys: Sequence[str], order: str, idx: str) -> _Smoothed:
+    rows = _block_rows(specs)
+    block = f"__block{rows}"
+    if block not in df.columns:  # kept for a second call, which then needs no further sort
+        df = df.withColumn(block, F.floor(F.col(idx) / rows))
+    w = Window.partitionBy(*keys).orderBy(block, order)
+    inside = running(Window.partitionBy(*keys, block).orderBy(order))  # the same order: no sort of its own
+    curved = [s for s in specs if s.alpha < 1.0]
+    source = {s: s.gaps or s.src for s in specs}
+    gap = {c: f"__gap{k}" for k, c in enumerate(dict.fromkeys(source.values()))}
+    decay = {d: f"__dec{k}" for k, d in enumerate(dict.fromkeys((source[s], s.alpha) for s in curved))}
+    term = {s: f"__b{k}" for k, s in enumerate(curved)}
+    after = {s: F.col(gap[source[s]]) for s in curved}
+    mass = {s: F.exp(after[s] * F.lit(math.log(1.0 - s.alpha))) + F.lit(s.alpha) for s in curved}  # q**g + alpha
+    by_decay = {(source[s], s.alpha): s for s in reversed(curved)}
+
+    # one projection per stage: each re-analyses the plan
+    df = df.withColumns({name: F.col(idx) - F.last(F.when(_known(c), F.col(idx)), ignorenulls=True).over(w.rowsBetween(UNB, -1))
+                         for c, name in gap.items()})
+    steps = {d: F.when(_known(d[0]) & after[s].isNotNull(), F.least(
+        F.log(mass[s]) - after[s] * F.lit(math.log(1.0 - s.alpha)), F.lit(_FORGOTTEN))) for d, s in by_decay.items()}
+    if curved:
+        df = df.withColumns({decay[d]: F.coalesce(F.sum(steps[d]).over(inside), F.lit(0.0)) for d in decay} | {
+            term[s]: F.when(_known(s.src), F.when(after[s].isNull(), F.col(s.src)).otherwise(F.lit(s.alpha) * F.col(s.src) / mass[s]))
+            for s in curved})
+        of = {s: F.col(decay[source[s], s.alpha]) for s in curved}
+        df = df.withColumns({term[s]: F.exp(-of[s]) * F.coalesce(F.sum(F.col(term[s]) * F.exp(of[s])).over(inside), F.lit(0.0))
+                             for s in curved} | {decay[d]: F.exp(-F.col(decay[d])) for d in decay})
+        ended = F.when(F.col(idx) % rows == rows - 1, F.struct(*decay.values(), *term.values()))
+        df = df.withColumn("__ends", F.collect_list(ended).over(w.rowsBetween(UNB, -1)))
+        start = F.struct(*[F.lit(1.0).alias(d) for d in decay.values()], *[F.lit(0.0).alias(t) for t in term.values()])
+        df = df.withColumn("__from", F.aggregate("__ends", start, lambda y, end: F.struct(
+            *[(y[d] * end[d]).alias(d) for d in decay.values()],
+            *[(end[decay[source[s], s.alpha]] * y[term[s]] + end[term[s]]).alias(term[s]) for s in curved])))
+    started = {s: _known(s.src) | F.col(gap[source[s]]).isNotNull() for s in specs}
+    out = {s.out: F.when(started[s], F.col(term[s]) + of[s] * F.col("__from")[term[s]]) if s in term else
+           F.last(F.when(_known(s.src), F.col(s.src)), ignorenulls=True).over(w.rowsBetween(UNB, CUR)) for s in specs}
+    weight = {d: f"__weight{k}" for k, d in enumerate(decay)}
+    kept = [c for c in df.columns if c not in (*decay.values(), *term.values(), "__ends", "__from") and c not in out]
+    df = df.select(*kept, *[c.alias(name) for name, c in out.items()],
+                   *[(F.col(decay[d]) * F.col("__from")[decay[d]]).alias(name) for d, name in weight.items()])
+    return _Smoothed(df, gap, weight, [*gap.values(), *weight.values(), block])
+
+
 def smooth_all(df: DataFrame, specs: Sequence[Smoothing], *, keys: Sequence[str] = SESSION_KEYS, order: str = "ts",
-               idx: str = "idx") -> DataFrame:
+               idx: str = "idx", keep_block: bool = False) -> DataFrame:
     """Adds all smoothings in a few shared stages; needs ``idx`` from
     :func:`with_index`.  NULL and NaN inputs carry the last value on, rows before
-    the first input are NULL.  Every stage is partitioned by ``keys`` (blocks by
-    more columns), so no stage shuffles again."""
-    w = series_window(keys, order)
-    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
-    gap_of = {c: f"__gap{k}" for k, c in enumerate(dict.fromkeys(s.gaps or s.src for s in specs))}
-    decay: dict[tuple[str, float], str] = {}  # (gaps, alpha) -> name of the running -ln a
-    totals, terms, scaled, sums, out = {}, {}, {}, {}, {}
-    for k, s in enumerate(specs):
-        source = s.gaps or s.src
-        gap = F.col(gap_of[source])
-        if s.alpha >= 1.0:
-            out[s.out] = F.last(F.when(known(s.src), F.col(s.src)), ignorenulls=True).over(running(w))
-            continue
-        log_q = math.log(1.0 - s.alpha)
-        mass = F.exp(gap * F.lit(log_q)) + F.lit(s.alpha)  # q**g + alpha
-        total = decay.get((source, s.alpha))
-        if total is None:
-            total = decay[source, s.alpha] = f"__dec{k}"
-            step = F.when(known(source) & gap.isNotNull(), F.least(F.log(mass) - gap * F.lit(log_q), F.lit(BLOCK)))
-            totals[total] = F.coalesce(F.sum(step).over(running(w)), F.lit(0.0))
-            scaled[f"{total}_blk"] = F.floor(F.col(total) / F.lit(BLOCK))
-        terms[f"__b{k}"] = F.when(known(s.src), F.when(gap.isNull(), F.col(s.src))
-                                  .otherwise(F.lit(s.alpha) * F.col(s.src) / mass))
-        block = f"{total}_blk"
-        scaled[f"__b{k}"] = F.col(f"__b{k}") * F.exp(F.col(total) - F.lit(BLOCK) * F.floor(F.col(total) / F.lit(BLOCK)))
-        sums[f"__s{k}"] = F.sum(f"__b{k}").over(running(Window.partitionBy(*keys, block).orderBy(order)))
-        sums[f"__p{k}"] = F.sum(f"__b{k}").over(Window.partitionBy(*keys).orderBy(block).rangeBetween(-1, -1))
-        value = F.coalesce(f"__s{k}", F.lit(0.0)) + F.lit(math.exp(-BLOCK)) * F.coalesce(f"__p{k}", F.lit(0.0))
-        out[s.out] = F.when(known(s.src) | gap.isNotNull(),
-                            F.exp(F.lit(BLOCK) * F.col(block) - F.col(total)) * value)
-    # one projection per stage: each re-analyses the plan
-    df = df.withColumns({name: F.col(idx) - F.last(F.when(known(c), F.col(idx)), ignorenulls=True)
-                         .over(w.rowsBetween(UNB, -1)) for c, name in gap_of.items()})
-    for stage in (totals | terms, scaled, sums):
-        df = df.withColumns(stage) if stage else df
-    made = {*gap_of.values(), *totals, *terms, *scaled, *sums}
-    kept = [c for c in df.columns if c not in made and c not in out]
-    return df.select(*kept, *[c.alias(name) for name, c in out.items()])
+    the first input are NULL.  Every stage is partitioned by ``keys`` and sorted by
+    block and ``order``: one sort for all of them, no exchange.  With ``keep_block``
+    the block column stays, and a further call on the result sorts nothing."""
+    got = _smoothed(df, specs, keys, order, idx)
+    made = got.added[:-1] if keep_block else got.added
+    return got.df.drop(*made)
+
+
+def smooth_unbroken(df: DataFrame, specs: Sequence[Smoothing], *, keys: Sequence[str] = ("symbol",), chunk: str = "dt",
+                    order: str = "ts") -> DataFrame:
+    """Smoothings of a series that goes on from chunk to chunk (``chunk`` ascends
+    with ``order``); equal to :func:`smooth_all` over the whole series, yet no
+    window, group or task holds more than a chunk's rows.
+
+    A chunk is smoothed as if nothing were before it.  What it needs of the past is
+    the value carried in and the rows since the last input, and what it hands on is
+    one map: its first input and place, its last value, the weight that its first
+    value still has in it, and the rows since its last input.  These rows, one a
+    chunk, are folded in order per series; the difference that the carried value
+    makes to a chunk's first value is added with its weight at each row."""
+    of_chunk = [*keys, chunk]
+    named = [s.out for s in specs]
+    specs = [replace(s, out=f"__out{k}") for k, s in enumerate(specs)]  # inputs must stay as they are
+    got = _smoothed(with_index(df, of_chunk, order, "__idx"), specs, of_chunk, order, "__idx")
+    local, idx = got.df, F.col("__idx")
+    source = {s: s.gaps or s.src for s in specs}
+    known = {c: f"k{k}" for k, c in enumerate(got.gap)}
+    value = {s: f"s{k}" for k, s in enumerate(specs)}
+    ends = [F.count(F.lit(1)).alias("n")]
+    for c, k in known.items():
+        ends += [F.min(F.when(_known(c), idx)).alias(f"{k}_first"), F.max(F.when(_known(c), idx)).alias(f"{k}_last")]
+    for s, v in value.items():
+        ends += [F.min(F.when(_known(s.src), F.struct(idx.alias("i"), F.col(s.src).cast("double").alias("x"))))["x"].alias(f"{v}_x"),
+                 F.max_by(s.out, "__idx").alias(f"{v}_y")]
+        weight = F.col(got.weight[source[s], s.alpha]) if s.alpha < 1.0 else F.lit(0.0)
+        ends += [F.max_by(weight, "__idx").alias(f"{v}_w")]
+    maps = local.groupBy(*of_chunk).agg(*ends)
+
+    kind = f"array<struct<chunk:{df.schema[chunk].dataType.simpleString()}," + ",".join(
+        f"{v}_{p}:double" for v in value.values() for p in ("y", "d")) + ">>"
+    start = F.struct(F.array().cast(kind).alias("out"), *[F.lit(0).cast("long").alias(f"{k}_since") for k in known.values()],
+                     *[F.lit(None).cast("double").alias(v) for v in value.values()])
+
+    def step(state, m):
+        moved, told = [], [m[chunk].alias("chunk")]
+        for k in known.values():
+            moved.append(F.when(m[f"{k}_first"].isNotNull(), m["n"] - 1 - m[f"{k}_last"])
+                         .otherwise(state[f"{k}_since"] + m["n"]).alias(f"{k}_since"))
+        for s, v in value.items():
+            k, y, x = known[source[s]], state[v], m[f"{v}_x"]
+            if s.alpha < 1.0:
+                q_gap = F.exp((state[f"{k}_since"] + m[f"{k}_first"] + 1) * F.lit(math.log(1.0 - s.alpha)))
+                change = F.when(y.isNotNull() & m[f"{k}_first"].isNotNull(), q_gap * (y - x) / (q_gap + F.lit(s.alpha)))
+            else:
+                change = F.lit(None).cast("double")
+            change = F.coalesce(change, F.lit(0.0))
+            moved.append(F.when(m[f"{k}_first"].isNotNull(), m[f"{v}_y"] + m[f"{v}_w"] * change).otherwise(y).alias(v))
+            told += [y.alias(f"{v}_y"), change.alias(f"{v}_d")]
+        return F.struct(F.concat(state["out"], F.array(F.struct(*told)).cast(kind)).alias("out"), *moved)
+
+    folded = (maps.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(chunk, *[c for c in maps.columns if c not in of_chunk]))).alias("maps"))
+              .select(*[F.col(c).alias(f"__key{k}") for k, c in enumerate(keys)],
+                      F.explode(F.aggregate("maps", start, step, lambda state: state["out"])).alias("__in")))
+    same = F.col("__in.chunk").eqNullSafe(F.col(chunk))
+    for k, c in enumerate(keys):
+        same &= F.col(f"__key{k}").eqNullSafe(F.col(c))
+    both = local.join(folded, same)
+    out = []
+    for (s, v), name in zip(value.items(), named):
+        weight = F.col(got.weight[source[s], s.alpha]) if s.alpha < 1.0 else F.lit(0.0)
+        out.append(F.coalesce(F.col(s.out) + weight * F.col(f"__in.{v}_d"), F.col(f"__in.{v}_y")).alias(name))
+    return both.select(*[c for c in df.columns if c not in named], *out)
 
 
 def smooth(df: DataFrame, src: str, out: str, alpha: float, **kw) -> DataFrame:
@@ -222,12 +329,46 @@ def atr(df: DataFrame, n: int = 14, out: str | None = None, **kw) -> DataFrame:
 def macd(df: DataFrame, src: str = "close", fast: int = 12, slow: int = 26, signal: int = 9,
          **kw) -> DataFrame:
     """MACD line, signal (EMA of the line) and histogram."""
-    df = emas(df, src, [fast, slow], ["_macd_fast", "_macd_slow"], **kw)
+    df = emas(df, src, [fast, slow], ["_macd_fast", "_macd_slow"], keep_block=True, **kw)
     df = df.withColumn("macd", F.col("_macd_fast") - F.col("_macd_slow")).drop("_macd_fast", "_macd_slow")
-    df = ema(df, "macd", signal, "macd_signal", **kw)
+    df = ema(df, "macd", signal, "macd_signal", keep_block=True, **kw)  # its blocks may be those of the line: no further sort
+    df = df.drop(*[c for c in df.columns if c.startswith("__block")])
     return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
+def study(df: DataFrame, src: str = "close", *, emas: Sequence[int] = (9, 21), rsi: int | None = 14, variant: str = "null",
+          atr: int | None = 14, macd: tuple[int, int, int] | None = (12, 26, 9), bands: tuple[int, float] | None = (20, 2.0),
+          keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> DataFrame:
+    """All indicators of a chart at once: ``idx, ema_<n>, rsi_<n>, atr_<n>, macd,
+    macd_signal, macd_hist, bb_mid, bb_upper, bb_lower``.  Inputs and bands share one
+    sort, all smoothings a second one, whatever their number."""
+    w = series_window(keys, order)
+    first = {"idx": (F.row_number().over(w) - 1).cast("int")}
+    if bands:
+        n, k = bands
+        last = w.rowsBetween(1 - n, CUR)
+        full = F.count(src).over(last) >= n
+        mid, wide = F.avg(src).over(last), F.lit(k) * F.stddev_pop(src).over(last)
+        first |= {"bb_mid": F.when(full, mid), "bb_upper": F.when(full, mid + wide), "bb_lower": F.when(full, mid - wide)}
+    specs = [Smoothing(src, f"ema_{n}", 2.0 / (n + 1.0)) for n in emas]
+    if rsi:
+        first["__up"], first["__dn"] = rsi_inputs(src, variant, keys=keys, order=order)
+        specs += rsi_smoothings("__up", "__dn", rsi, "__up", "__dn")
+    if atr:
+        first["__tr"] = true_range_expr(keys=keys, order=order)
+        specs.append(Smoothing("__tr", f"atr_{atr}", 1.0 / atr))
+    if macd:
+        specs += [Smoothing(src, name, 2.0 / (n + 1.0)) for name, n in zip(("__fast", "__slow"), macd)]
+    df = smooth_all(df.withColumns(first), specs, keys=keys, order=order, keep_block=True)
+    if macd:
+        df = df.withColumn("macd", F.col("__fast") - F.col("__slow"))
+        df = smooth_all(df, [Smoothing("macd", "macd_signal", 2.0 / (macd[2] + 1.0))], keys=keys, order=order, keep_block=True)
+        df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    if rsi:
+        df = df.withColumn(f"rsi_{rsi}", rsi_of(F.col("__up"), F.col("__dn"), variant))
+    return df.drop("__up", "__dn", "__tr", "__fast", "__slow", *[c for c in df.columns if c.startswith("__block")])
+
+
 def session_vwap(df: DataFrame, out: str = "vwap_intraday", *,
                  keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> DataFrame:
     """Cumulative typical-price VWAP; zero cumulative volume gives NULL."""

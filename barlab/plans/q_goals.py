@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barlab import fixtures
 from barlab.functions import indicators as ind
+from barlab.operators import unbroken
 from barlab.plans.oracle import SESSION, with_bars
 from barlab.plans.registry import register, rounded, sql_final
 
@@ -49,15 +50,8 @@ register("open_close_tags", sql=with_bars() + f" SELECT symbol, dt, ts, row_numb
 def q_sma_cross(spark, sf, fast: int = 10, slow: int = 30):
     """SMA10/SMA30 crossings of full means over a symbol's unbroken series: entry
     when the fast mean crosses above, exit when it crosses below (G4)."""
-    keys = ("symbol",)
-    b = fixtures.bars(spark, sf)
-    b = ind.sma(b, "close", fast, "sma_f", keys=keys, min_periods=fast)
-    b = ind.sma(b, "close", slow, "sma_s", keys=keys, min_periods=slow)
-    b = b.withColumn("d", F.col("sma_f") - F.col("sma_s"))
-    b = b.withColumn("pd", F.lag("d").over(ind.series_window(keys)))
-    sig = F.when((F.col("pd") <= 0) & (F.col("d") > 0), "entry").when((F.col("pd") >= 0) & (F.col("d") < 0), "exit")
-    return rounded(b.withColumn("signal", sig).filter(F.col("signal").isNotNull())
-                    .select("symbol", "ts", "sma_f", "sma_s", "signal"))
+    b = unbroken.sma_cross(fixtures.bars(spark, sf), fast, slow)
+    return rounded(b.filter(F.col("signal").isNotNull()).select("symbol", "ts", "sma_f", "sma_s", "signal"))
 
 
 _U = "PARTITION BY symbol ORDER BY ts"

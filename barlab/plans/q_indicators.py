@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from barlab import fixtures
 from barlab.functions import indicators as ind
-from barlab.plans.oracle import SESSION, ema_sql, wilder_sql, with_bars
+from barlab.operators import unbroken
+from barlab.plans.oracle import BARS_CTE, SESSION, ema_sql, unbroken_ctes, wilder_sql, with_bars
 from barlab.plans.registry import register, rounded, sql_final
 
 IDX_CTE = "b AS (SELECT *, CAST(row_number() OVER (PARTITION BY symbol, dt ORDER BY ts) - 1 AS INTEGER) AS idx FROM bars)"
@@ -267,16 +268,33 @@ register("fill_median", sql=sql_final(with_bars(_NULLED)
          ["symbol", "ts", "c", "c_filled"], ["c", "c_filled"]))(q_fill_median)
 
 
+# ---------------------------------------------------------------- the unbroken series, in day chunks
+LIVE_COLS = ["symbol", "ts", "close", "ema9", "ema21", "rsi", "atr"]
+
+
+def q_live_indicators(spark, sf):
+    """EMA 9 and 21, RSI 14, ATR 14 of a symbol's unbroken series of minute bars
+    (T1 in batch form): smoothed day by day, carried on by one row a day."""
+    return rounded(unbroken.live_indicators(fixtures.bars(spark, sf, unit="minute")).select(*LIVE_COLS))
+
+
+register("live_indicators", sql=sql_final(
+    "WITH RECURSIVE " + ", ".join([BARS_CTE.strip().replace("'hour'", "'minute'"), *unbroken_ctes("bars")])
+    + " SELECT symbol, ts, close, ema9, ema21, rsi, atr FROM ind", LIVE_COLS, LIVE_COLS[2:]))(q_live_indicators)
+
+
 # ---------------------------------------------------------------- smoothing over gaps
 def q_ema_gaps(spark, sf):
     """EMA 9 and RSI 14 over bars whose close is NULL every 17th hour (W2, W3, W6):
     a gap carries the value on and weighs on the next step."""
-    keys = ("symbol",)
     b = fixtures.bars(spark, sf).withColumn(
         "close", F.when(F.floor(F.unix_seconds("ts") / 3600) % 17 != 0, F.col("close")))
-    b = ind.ema(ind.with_index(b, keys), "close", 9, "ema9", keys=keys)
-    b = ind.rsi(b, "close", 14, "rsi", variant="fill50", keys=keys)
-    return rounded(b.select("symbol", "ts", "close", "ema9", "rsi"))
+    b = unbroken.with_previous(b, ["close"], ["pc"])
+    step = F.col("close") - F.col("pc")
+    b = b.withColumns({"up": F.when(step.isNotNull(), F.greatest(step, F.lit(0.0))),
+                       "dn": F.when(step.isNotNull(), F.greatest(-step, F.lit(0.0)))})
+    b = ind.smooth_unbroken(b, [ind.Smoothing("close", "ema9", 0.2), *ind.rsi_smoothings("up", "dn", 14, "up", "dn")])
+    return rounded(b.select("symbol", "ts", "close", "ema9", ind.rsi_of(F.col("up"), F.col("dn"), "fill50").alias("rsi")))
 
 
 def _recursive(src: str, alpha: float, name: str) -> str:

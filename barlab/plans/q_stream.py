@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barlab import fixtures
 from barlab.plans import q_swings
-from barlab.plans.oracle import BARS_CTE, ema_sql, wilder_sql
+from barlab.plans.oracle import BARS_CTE, unbroken_ctes
 from barlab.plans.registry import register, rounded, sql_final
 from barlab.session import scratch_dir
 from barlab.streaming import live
@@ -63,18 +63,8 @@ def q_stream_indicators(spark, sf):
 
 
 def _unbroken_sql(src: str, where: str = "TRUE") -> str:
-    s = "PARTITION BY symbol ORDER BY ts"
-    return sql_final(
-        f"WITH {BARS_CTE.strip()}, u AS (SELECT * FROM {src}), "
-        f"b AS (SELECT *, CAST(row_number() OVER ({s}) - 1 AS INTEGER) AS idx FROM u), "
-        f"e AS (SELECT *, close - lag(close) OVER ({s}) AS dlt, greatest(abs(high - low), abs(high - lag(close) "
-        f"OVER ({s})), abs(low - lag(close) OVER ({s}))) AS tr FROM b), "
-        f"i1 AS (SELECT *, {ema_sql('close', 9, part=s)} AS ema9, {ema_sql('close', 21, part=s)} AS ema21, "
-        "greatest(dlt, 0.0) AS up, greatest(-dlt, 0.0) AS dn FROM e), "
-        f"i2 AS (SELECT *, {wilder_sql('up', 14, start=1, part=s)} AS au, {wilder_sql('dn', 14, start=1, part=s)} "
-        f"AS ad, {wilder_sql('tr', 14, part=s)} AS atr FROM i1) "
-        "SELECT symbol, ts, close, ema9, ema21, coalesce(100.0 - 100.0 / (1.0 + au / nullif(ad, 0.0)), 50.0) AS rsi, "
-        f"atr FROM i2 WHERE {where}", IND_COLS, IND_D)
+    return sql_final("WITH RECURSIVE " + ", ".join([BARS_CTE.strip(), f"u AS (SELECT * FROM {src})", *unbroken_ctes("u")])
+                     + f" SELECT symbol, ts, close, ema9, ema21, rsi, atr FROM ind WHERE {where}", IND_COLS, IND_D)
 
 
 register("stream_indicators", sql=_unbroken_sql("bars"))(q_stream_indicators)

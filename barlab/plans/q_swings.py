@@ -12,7 +12,7 @@ from barlab.functions import indicators as ind
 from barlab.operators import backtest as bt
 from barlab.operators import swings
 from barlab.plans import oracle_walk
-from barlab.plans.oracle import BARS_CTE, ema_sql, wilder_sql
+from barlab.plans.oracle import BARS_CTE, unbroken_ctes
 from barlab.plans.registry import register, rounded, sql_final
 
 RULE_D_DAY = replace(bt.RULE_D, session_filter=None)
@@ -112,17 +112,7 @@ U = "PARTITION BY symbol ORDER BY ts"
 
 def _live_base(unit: str = "hour") -> list[str]:
     """Indicators over the unbroken series of each symbol."""
-    return [
-        BARS_CTE.strip().replace("'hour'", f"'{unit}'"),
-        f"b AS (SELECT *, CAST(row_number() OVER ({U}) - 1 AS INTEGER) AS idx FROM bars)",
-        f"e AS (SELECT *, close - lag(close) OVER ({U}) AS dlt, greatest(abs(high - low), "
-        f"abs(high - lag(close) OVER ({U})), abs(low - lag(close) OVER ({U}))) AS tr FROM b)",
-        f"i1 AS (SELECT *, {ema_sql('close', 9, part=U)} AS ema9, {ema_sql('close', 21, part=U)} AS ema21, "
-        "greatest(dlt, 0.0) AS up, greatest(-dlt, 0.0) AS dn FROM e)",
-        f"i2 AS (SELECT *, {wilder_sql('up', 14, start=1, part=U)} AS au, {wilder_sql('dn', 14, start=1, part=U)} AS ad, "
-        f"{wilder_sql('tr', 14, part=U)} AS atr FROM i1)",
-        "ind AS MATERIALIZED (SELECT *, coalesce(100.0 - 100.0 / (1.0 + au / nullif(ad, 0.0)), 50.0) AS rsi FROM i2)",
-    ]
+    return [BARS_CTE.strip().replace("'hour'", f"'{unit}'"), *unbroken_ctes("bars")]
 
 
 register("zigzag_last_leg", sql=sql_final(

@@ -37,11 +37,7 @@ def _minute_queries():
         return fixtures.bars(spark, sf, unit="minute")
 
     def indicators_1m(spark, sf):
-        b = ind.with_index(bars_1m(spark, sf))
-        b = ind.emas(b, "close", [9, 21])
-        b = ind.rsi(b, "close", 14, "rsi")
-        b = ind.atr(b, 14)
-        return ind.bollinger(ind.macd(b))
+        return ind.study(bars_1m(spark, sf))
 
     def medallion_1m(spark, sf):
         silver = medallion.bronze_to_silver(fixtures.bronze_bars(bars_1m(spark, sf)), "1min")

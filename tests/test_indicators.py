@@ -93,3 +93,63 @@ def test_rsi_with_gaps_equals_pandas(spark):
     d = pd.Series(x, dtype=float).diff()
     up, dn = (s.ewm(alpha=1 / 14, adjust=False).mean() for s in (d.clip(lower=0), (-d).clip(lower=0)))
     assert np.allclose(got, 100 - 100 / (1 + up / dn.replace(0, np.nan)), equal_nan=True)
+
+
+def _sorts(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Sort ["), plan.count("Exchange")
+
+
+def test_study_equals_the_single_indicators(spark):
+    bars = fixtures.bars(spark, SF_SMOKE, unit="minute").cache()
+    got = ind.study(bars).orderBy("symbol", "ts").toPandas()
+    b = ind.with_index(bars)
+    b = ind.bollinger(ind.macd(ind.atr(ind.rsi(ind.emas(b, "close", [9, 21]), "close", 14), 14)))
+    want = b.orderBy("symbol", "ts").toPandas()
+    for c in ("idx", "ema_9", "ema_21", "rsi_14", "atr_14", "macd", "macd_signal", "macd_hist", "bb_mid", "bb_upper", "bb_lower"):
+        assert np.allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True), c
+    assert set(got.columns) == set(want.columns)
+
+
+def test_smoothing_costs_one_sort_and_no_exchange(spark):
+    """All smoothings of a call share a sort; with_index has the other one."""
+    rows = [("x", 1, i, float(i % 7)) for i in range(50)]
+    df = spark.createDataFrame(rows, "symbol string, dt int, ts int, close double")
+    base = _sorts(ind.with_index(df))
+    assert base == (1, 1)
+    assert _sorts(ind.emas(ind.with_index(df), "close", [2, 9, 34, 200])) == (2, 1)
+    assert _sorts(ind.macd(ind.with_index(df))) == (2, 1)
+    ohlc = df.withColumns({c: F.col("close") for c in ("open", "high", "low")})
+    assert _sorts(ind.study(ohlc)) == (2, 1)
+
+
+@pytest.mark.parametrize("cuts", [0, 1, 25, 400])
+def test_unbroken_smoothing_equals_pandas_whatever_the_chunks(spark, cuts):
+    """NULLs at chunk ends and starts, whole chunks of NULLs, single-row chunks."""
+    n = 3_000
+    rng = np.random.default_rng(cuts)
+    x = 100 + rng.normal(size=n).cumsum()
+    x[rng.random(n) < 0.3] = np.nan
+    x[:7] = np.nan
+    x[900:1_900] = np.nan
+    chunk = np.searchsorted(np.sort(rng.choice(n, cuts, replace=False)), np.arange(n), side="right")
+    rows = [(s, int(chunk[i]), i, None if np.isnan(x[i]) else float(x[i])) for s in ("a", None) for i in range(n)]
+    df = spark.createDataFrame(rows, "symbol string, dt int, ts int, close double")
+    specs = [ind.Smoothing("close", "close" if k == 9 else f"e{k}", 2 / (k + 1)) for k in (1, 2, 9, 200)]
+    got = ind.smooth_unbroken(df, specs).orderBy("ts").toPandas()
+    for name in ("a", None):
+        part = got[got["symbol"].isna() if name is None else got["symbol"] == name]
+        for k in (1, 2, 9, 200):
+            want = pd.Series(x).ewm(span=k, adjust=False).mean().to_numpy()
+            col = "close" if k == 9 else f"e{k}"
+            assert np.allclose(part[col].to_numpy(float), want, rtol=1e-10, equal_nan=True), (name, k)
+
+
+def test_unbroken_plan_has_no_window_over_a_symbols_bars(spark):
+    """Windows by symbol alone run on the table of a row per chunk."""
+    bars = fixtures.bars(spark, SF_SMOKE, unit="minute")
+    from barlab.operators import unbroken
+    plan = unbroken.live_indicators(bars)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    alone = [line for line in windows if ", [symbol#" in line and ", dt#" not in line.split("], [")[1].split("]")[0]]
+    assert windows and alone and all("__last" in line for line in alone)
