@@ -181,6 +181,35 @@ def quantiles_so_far(seen: list[float], x: np.ndarray, q: float) -> np.ndarray:
     return out
 
 
+def ranks_needed(q: float, before: int, new: int) -> tuple[int, int]:
+    """First and last place (from 0) among ``before`` sorted values that the
+    quantiles ``q`` after each of ``new`` further values can ask for: with ``j`` of
+    them below, the k-th of all is one of the places ``k - j`` to ``k``."""
+    return max(0, int(q * max(before - 1, 0)) - new - 1), min(before - 1, int(q * max(before + new - 1, 0)) + 1)
+
+
+def quantiles_from(part: list[float], below: int, before: int, x: np.ndarray, q: float) -> np.ndarray:
+    """:func:`quantiles_so_far` where of the ``before`` values seen only ``part`` is at
+    hand: sorted, without the ``below`` smallest ones, and with the places of
+    :func:`ranks_needed`."""
+    out = np.full(len(x), math.nan)
+    part, total = list(part), before
+    under, over = below > 0, below + len(part) < before
+    for i, v in enumerate(np.asarray(x, float).tolist()):
+        if v == v:
+            total += 1
+            if under and v <= part[0]:
+                below += 1
+            elif not (over and v >= part[-1]):
+                bisect.insort(part, v)
+        if total:
+            place = q * (total - 1)
+            k = int(place)
+            a, b = part[k - below], part[min(k + 1, total - 1) - below]
+            out[i] = a + (b - a) * (place - k)
+    return out
+
+
 def smooth_on(last: float, x: np.ndarray, alpha: float) -> np.ndarray:
     """Exponential smoothing that goes on from ``last`` (NaN: seeded by the first
     value), in blocks within which the weights stay in double range."""
@@ -267,9 +296,12 @@ def advance_indicators(s: LiveState, close: np.ndarray, high: np.ndarray, low: n
     return ema9, ema21, rsi, atr
 
 
-def advance_live(s: LiveState, close, high, low, eod, rules: LiveRules = LiveRules(), style: str = "pct") -> dict:
+def advance_live(s: LiveState, close, high, low, eod, rules: LiveRules = LiveRules(), style: str = "pct",
+                 quantiles=None) -> dict:
     """The next bars of one series, in time order, prices known: indicators,
-    diagnostics, log and entry flags per bar; ``s`` moves on.
+    diagnostics, log and entry flags per bar; ``s`` moves on.  ``quantiles(x, q)``
+    gives the quantile of all ATR values up to each of ``x``, for callers that keep
+    those values elsewhere than in ``s.atrs``.
 
     One position at a time: an entry (all conditions hold and the stop is below
     the close) closes the slot until the next flatten bar, which is never logged
@@ -279,7 +311,8 @@ def advance_live(s: LiveState, close, high, low, eod, rules: LiveRules = LiveRul
     n = len(close)
     ema9, ema21, rsi, atr = advance_indicators(s, close, high, low)
     way, leg_lo, leg_hi = advance_legs(s.leg, close, high, low, atr, rules.zz_atr_mult)
-    gate = quantiles_so_far(s.atrs, atr, rules.atr_pct_q if style == "pct" else 0.5)
+    share = rules.atr_pct_q if style == "pct" else 0.5
+    gate = quantiles(atr, share) if quantiles else quantiles_so_far(s.atrs, atr, share)
     vol_ok = atr >= (gate if style == "pct" else rules.atr_med_mult * gate)
     size = leg_hi - leg_lo
     mid, deep = leg_lo + 0.5 * size, leg_lo + 0.618 * size

@@ -72,8 +72,8 @@ register("stream_indicators", sql=_unbroken_sql("bars"))(q_stream_indicators)
 
 # ---------------------------------------------------------------- T2 seeded
 def q_stream_seeded(spark, sf, n: int = 300):
-    """The last ``n`` bars before the split seed the state (no output); the
-    rest stream live (T2, S24)."""
+    """The last ``n`` bars before the split are the stream's initial state (no
+    output); the rest stream live (T2, S24)."""
     from pyspark.sql import Window
     bars = fixtures.bars(spark, sf)
     split = F.lit(split_day(bars))
@@ -82,10 +82,8 @@ def q_stream_seeded(spark, sf, n: int = 300):
     seed = before.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= n).drop("_rk")
     after = bars.filter(F.col("dt") >= split)
     src, sink, ckpt = (scratch_dir(spark, x) for x in ("seed-src", "seed-sink", "seed-ckpt"))
-    live.land(seed, src, seed=True)
-    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None)), sink, ckpt)
     live.land(after, src)
-    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None)), sink, ckpt)
+    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None), seed=seed), sink, ckpt)
     return rounded(spark.read.parquet(sink).filter(~F.col("late")).select(*IND_COLS))
 
 

@@ -6,9 +6,11 @@ Cluster settings win: anything already configured on the session
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+@contextlib.contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB, which state
+    variables need; the session's own setting is as before afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 

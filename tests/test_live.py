@@ -168,3 +168,76 @@ def test_state_survives_its_flat_form():
     zz.advance_live(s, close, high, low, np.zeros(60, bool))
     again = zz.LiveState.of(*s.flat())
     assert again == s and not math.isnan(again.ema9)
+
+
+class _Map:
+    """A map state in memory that counts what is written."""
+
+    def __init__(self):
+        self.held, self.written = {}, 0
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+        self.written += sum(len(v) if isinstance(v, list) else 1 for v in value)
+
+    def iterator(self):
+        return iter(self.held.items())
+
+
+def test_quantiles_of_paged_values_are_exact_and_writes_do_not_grow():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.round(rng.gamma(4, 0.3, 6_000), 3), np.full(1_500, 1.25), -rng.random(20), np.zeros(30)])
+    x[rng.random(len(x)) < 0.02] = np.nan
+    rng.shuffle(x)
+    want = [zz.quantiles_so_far([], x, q) for q in (0.5, 0.6)]
+    for size in (1, 10, 4_000):
+        seen, before, got, writes = live.Seen(_Map(), _Map()), 0, [[], []], []
+        stop = 400 if size == 1 else len(x)
+        for a in range(0, stop, size):
+            part = x[a:a + size]
+            for k, q in enumerate((0.5, 0.6)):
+                got[k].append(seen.quantiles(before, part, q))
+            at = seen.pages.written + seen.counts.written
+            before += seen.add(part)
+            writes.append(seen.pages.written + seen.counts.written - at)
+        for w, g in zip(want, got):
+            np.testing.assert_allclose(np.concatenate(g), w[:stop], equal_nan=True)
+        if size == 10:  # a page or two for each value at most, early and late
+            assert max(writes) <= 10 * (live.PAGE + 1) and sum(writes[-100:]) < 100 * 10 * (live.PAGE + 1)
+            assert len(max(seen.pages.held.values(), key=lambda v: len(v[0]))[0]) <= live.PAGE
+
+
+def test_buckets_ascend_with_the_value():
+    x = sorted([0.0, -0.0, 1e-300, -1e-300, 1.0, 1.0000001, -1.0, 2.5, 1e9, -1e9, 0.3])
+    b = [live.bucket_of(v) for v in x]
+    assert b == sorted(b) and live.bucket_of(0.0) == live.bucket_of(-0.0)
+
+
+def test_seed_moves_the_state_and_gives_no_rows(spark):
+    """Signals from a seeded start are those of the unbroken run; the seed may
+    hold symbols that never come, and late bars before its end are flagged."""
+    bars = fixtures.bars(spark, SF_SMOKE)
+    cols = ["symbol", "ts", "ema9", "atr", "leg_up", "in_zone", "vol_ok", "logged", "enter"]
+    src, sink, ckpt = (scratch_dir(spark, n) for n in ("init-src", "init-sink", "init-ckpt"))
+    cut = "2024-01-15"
+    live.land(bars.filter((F.col("ts") >= cut) & (F.col("symbol") != "click") | (F.col("ts") < "2024-01-02")), src)
+    live.run_available_now(live.stream_signals(live.read_bars(spark, src, watermark=None), seed=bars.filter(F.col("ts") < cut)), sink, ckpt)
+    out = spark.read.parquet(sink)
+    want = swings.live_signals(bars).filter((F.col("ts") >= cut) & (F.col("symbol") != "click"))
+    assert want.count() > 0 and _rows(out.filter("not late"), cols) == _rows(want, cols)
+    assert out.filter("late").count() == bars.filter("ts < '2024-01-02'").count() > 0
+
+
+def test_the_sessions_own_state_store_setting_stays(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    src, sink, ckpt = (scratch_dir(spark, n) for n in ("conf-src", "conf-sink", "conf-ckpt"))
+    live.land(_many(spark, 1), src)
+    live.run_available_now(live.stream_indicators(live.read_bars(spark, src, watermark=None)), sink, ckpt)
+    assert spark.conf.get(name, None) == before
