@@ -402,31 +402,6 @@ def fill_median(df: DataFrame, src: str, out: str | None = None, *,
     return df.withColumn(out or src, F.coalesce(F.col(src), med))
 
 
-def expanding_quantile(df: DataFrame, src: str, q: float, out: str, *,
-                       keys: Sequence[str] = SESSION_KEYS, order: str = "ts") -> DataFrame:
-    """Exact (linear) quantile of all values so far, current row included.
-
-    One pass per series with sorted insertion (``applyInPandas`` over the
-    series' rows): O(n log n) searches per series.  A window ``percentile``
-    over a running frame gives the same values but re-sorts its frame on every
-    row, O(n^2 log n) per series."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    from barlab.operators.zigzag import quantiles_so_far
-
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        return pdf.assign(**{out: quantiles_so_far([], pdf[src].to_numpy(float), q)})
-
-    from barlab.session import ship_package
-    ship_package(df.sparkSession)
-    res = df.groupBy(*keys).applyInPandas(per_series, schema)
-    return res.withColumn(out, F.when(~F.isnan(out), F.col(out)))
-
-
 def drawdown_cols(df: DataFrame, src: str, *, keys: Sequence[str], order: Sequence[str] | str,
                   prefix: str = "", from_zero: bool = False) -> DataFrame:
     """Running sum (equity), running peak and drawdown ``eq - peak`` (W13/W14);

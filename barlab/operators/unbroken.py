@@ -6,8 +6,9 @@ rows, and what a chunk must know of the past comes from a table of one row per
 chunk.  A symbol that holds a third of all bars is as many chunks as it has days.
 
 * :func:`with_previous`, :func:`with_halo`: the rows before a chunk's first one;
-* :func:`live_indicators`: EMA 9 and 21, RSI 14, ATR 14 of the unbroken series;
-* :func:`quantile_so_far`: exact order statistics of all values so far.
+* :func:`atr`, :func:`live_indicators`: smoothed indicators of the unbroken series.
+
+Order statistics of all values so far are in :mod:`barlab.operators.order_stats`.
 """
 
 from __future__ import annotations
@@ -83,15 +84,27 @@ def sma_cross(df: DataFrame, fast: int, slow: int, src: str = "close", *, keys:
     return out.filter(~F.col("__halo")).drop("__halo", "__d", "__pd")
 
 
+def _true_range(pc: Column) -> Column:
+    return F.greatest(F.abs(F.col("high") - F.col("low")), F.abs(F.col("high") - pc), F.abs(F.col("low") - pc))
+
+
+def atr(bars: DataFrame, n: int = 14, out: str = "atr", *, keys: Sequence[str] = SERIES, chunk: str = "dt",
+        order: str = "ts") -> DataFrame:
+    """Wilder ATR of the unbroken series."""
+    df = with_previous(bars, ["close"], ["__pc"], keys=keys, chunk=chunk, order=order)
+    df = df.withColumn("__tr", _true_range(F.col("__pc")))
+    df = ind.smooth_unbroken(df, [ind.Smoothing("__tr", out, 1 / n)], keys=keys, chunk=chunk, order=order)
+    return df.drop("__pc", "__tr")
+
+
 def live_indicators(bars: DataFrame, *, keys: Sequence[str] = SERIES, chunk: str = "dt", order: str = "ts") -> DataFrame:
     """Adds ``ema9, ema21, rsi, atr`` of the unbroken series: RSI is 50 where there
     is no loss, the first true range is the bar's own (T1 in batch form)."""
     df = with_previous(bars, ["close"], ["__pc"], keys=keys, chunk=chunk, order=order)
     step = F.col("close") - F.col("__pc")
-    pc, high, low = F.col("__pc"), F.col("high"), F.col("low")
     df = df.withColumns({
         "__up": F.when(step.isNotNull(), F.greatest(step, F.lit(0.0))), "__dn": F.when(step.isNotNull(), F.greatest(-step, F.lit(0.0))),
-        "__tr": F.greatest(F.abs(high - low), F.abs(high - pc), F.abs(low - pc))})
+        "__tr": _true_range(F.col("__pc"))})
     df = ind.smooth_unbroken(df, [
         ind.Smoothing("close", "ema9", 2 / 10), ind.Smoothing("close", "ema21", 2 / 22),
         *ind.rsi_smoothings("__up", "__dn", 14, "__au", "__ad"), ind.Smoothing("__tr", "atr", 1 / 14)],

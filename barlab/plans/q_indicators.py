@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barlab import fixtures
 from barlab.functions import indicators as ind
-from barlab.operators import unbroken
+from barlab.operators import order_stats, unbroken
 from barlab.plans.oracle import BARS_CTE, SESSION, ema_sql, unbroken_ctes, wilder_sql, with_bars
 from barlab.plans.registry import register, rounded, sql_final
 
@@ -205,34 +205,47 @@ register("session_index", sql=with_bars(IDX_CTE) + " SELECT symbol, dt, ts, idx
 
 # ---------------------------------------------------------------- volatility gates, fills
 def q_vol_gate(spark, sf):
-    """ATR >= expanding 0.60-quantile of ATR so far."""
-    b = ind.atr(_bars(spark, sf), 14, "atr")
-    b = ind.expanding_quantile(b, "atr", 0.6, "atr_q60")
+    """ATR >= 0.60-quantile of all ATR of the symbol so far, over the unbroken
+    series of minute bars (W18, A7)."""
+    b = unbroken.atr(fixtures.bars(spark, sf, unit="minute"))
+    b = order_stats.quantile_so_far(b, "atr", 0.6, "atr_q60")
     b = b.withColumn("vol_ok", F.coalesce(F.col("atr") >= F.col("atr_q60"), F.lit(False)))
     return rounded(b.select("symbol", "ts", "atr", "atr_q60", "vol_ok"))
 
 
 def q_vol_gate_median(spark, sf):
-    """ATR >= 1.2 x expanding median of ATR."""
-    b = ind.atr(_bars(spark, sf), 14, "atr")
-    b = ind.expanding_quantile(b, "atr", 0.5, "atr_med")
+    """ATR >= 1.2 x median of all ATR of the symbol so far."""
+    b = unbroken.atr(fixtures.bars(spark, sf, unit="minute"))
+    b = order_stats.quantile_so_far(b, "atr", 0.5, "atr_med")
     b = b.withColumn("vol_ok", F.coalesce(F.col("atr") >= F.lit(1.2) * F.col("atr_med"), F.lit(False)))
     return rounded(b.select("symbol", "ts", "atr", "atr_med", "vol_ok"))
 
 
-_ATR_CTE = f"a AS (SELECT *, {wilder_sql('tr', 14)} AS atr FROM t)"
-register("vol_gate", sql=sql_final(with_bars(
-    IDX_CTE, _TR_CTE, _ATR_CTE,
-    f"q AS (SELECT *, quantile_cont(atr, 0.6) {_RUN} AS atr_q60 FROM a)")
-    + " SELECT symbol, ts, atr, atr_q60, coalesce(atr >= atr_q60, false) AS vol_ok FROM q",
+_MINUTES = "WITH RECURSIVE " + ", ".join([BARS_CTE.strip().replace("'hour'", "'minute'"), *unbroken_ctes("bars")])
+_SO_FAR = "OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+register("vol_gate", sql=sql_final(
+    _MINUTES + f", q AS (SELECT *, quantile_cont(atr, 0.6) {_SO_FAR} AS atr_q60 FROM ind)"
+    " SELECT symbol, ts, atr, atr_q60, coalesce(atr >= atr_q60, false) AS vol_ok FROM q",
     ["symbol", "ts", "atr", "atr_q60", "vol_ok"], ["atr", "atr_q60"]))(q_vol_gate)
-register("vol_gate_median", sql=sql_final(with_bars(
-    IDX_CTE, _TR_CTE, _ATR_CTE,
-    f"q AS (SELECT *, quantile_cont(atr, 0.5) {_RUN} AS atr_med FROM a)")
-    + " SELECT symbol, ts, atr, atr_med, coalesce(atr >= 1.2 * atr_med, false) AS vol_ok FROM q",
+register("vol_gate_median", sql=sql_final(
+    _MINUTES + f", q AS (SELECT *, quantile_cont(atr, 0.5) {_SO_FAR} AS atr_med FROM ind)"
+    " SELECT symbol, ts, atr, atr_med, coalesce(atr >= 1.2 * atr_med, false) AS vol_ok FROM q",
     ["symbol", "ts", "atr", "atr_med", "vol_ok"], ["atr", "atr_med"]))(q_vol_gate_median)
 
 
+# ---------------------------------------------------------------- quantiles of groups of any size
+def q_value_quantiles(spark, sf):
+    """Exact 60 % quantile and median of all event values per symbol."""
+    ev = fixtures.table(spark, sf, "events").select(F.col("event_type").alias("symbol"), "value")
+    return rounded(order_stats.group_quantiles(ev, "value", {"q60": 0.6, "median": 0.5}, ["symbol"]))
+
+
+register("value_quantiles", sql=sql_final(
+    "SELECT event_type AS symbol, count(value) AS n, quantile_cont(value, 0.6) AS q60, quantile_cont(value, 0.5) AS median "
+    "FROM events WHERE value IS NOT NULL GROUP BY event_type", ["symbol", "n", "q60", "median"],
+    ["q60", "median"]))(q_value_quantiles)
+
+
 _NULLED = ("n AS (SELECT *, CASE WHEN floor(epoch(ts) / 3600) % 17 = 0 OR floor(epoch(ts) / 3600) % 7 = 0 "
            "THEN NULL ELSE close END AS c FROM bars)")
 
@@ -268,6 +281,17 @@ register("fill_median", sql=sql_final(with_bars(_NULLED)
          ["symbol", "ts", "c", "c_filled"], ["c", "c_filled"]))(q_fill_median)
 
 
+def q_fill_median_symbol(spark, sf):
+    """Gaps replaced by the median of the symbol's whole series (W21 over a group of any size)."""
+    b = order_stats.fill_with_median(_nulled(spark, sf), "c", "c_filled", ["symbol"])
+    return rounded(b.select("symbol", "ts", "c", "c_filled"))
+
+
+register("fill_median_symbol", sql=sql_final(with_bars(_NULLED)
+         + " SELECT symbol, ts, c, coalesce(c, quantile_cont(c, 0.5) OVER (PARTITION BY symbol)) AS c_filled FROM n",
+         ["symbol", "ts", "c", "c_filled"], ["c", "c_filled"]))(q_fill_median_symbol)
+
+
 # ---------------------------------------------------------------- the unbroken series, in day chunks
 LIVE_COLS = ["symbol", "ts", "close", "ema9", "ema21", "rsi", "atr"]
 
@@ -279,8 +303,7 @@ def q_live_indicators(spark, sf):
 
 
 register("live_indicators", sql=sql_final(
-    "WITH RECURSIVE " + ", ".join([BARS_CTE.strip().replace("'hour'", "'minute'"), *unbroken_ctes("bars")])
-    + " SELECT symbol, ts, close, ema9, ema21, rsi, atr FROM ind", LIVE_COLS, LIVE_COLS[2:]))(q_live_indicators)
+    _MINUTES + " SELECT symbol, ts, close, ema9, ema21, rsi, atr FROM ind", LIVE_COLS, LIVE_COLS[2:]))(q_live_indicators)
 
 
 # ---------------------------------------------------------------- smoothing over gaps
