@@ -24,7 +24,7 @@ from barlab.operators import zigzag as zz
 from barlab.session import scratch_dir, ship_package
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Through the shared folder: the next pass starts from files."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -52,7 +52,7 @@ def group_quantiles(df: DataFrame, src: str, shares: dict[str, float], keys: Seq
     state = whole.withColumn("__w", wanted).select(
         *names, "n", "a", "b", F.col("__w.name").alias("name"), F.lit(0).cast("long").alias("below"), F.col("n").alias("left"),
         (F.col("__w.q") * (F.col("n") - 1)).alias("place"))
-    state = _written(state.withColumn("lo", F.floor("place")), "quantile-state")
+    state = written(state.withColumn("lo", F.floor("place")), "quantile-state")
     same = F.lit(True)
     for n in names:
         same &= F.col(n).eqNullSafe(F.col(f"s{n}"))
@@ -77,7 +77,7 @@ def group_quantiles(df: DataFrame, src: str, shares: dict[str, float], keys: Seq
         moved = found.withColumnsRenamed({f"s{n}": n for n in names}).withColumn(
             "left", F.when(F.col("left") < F.col("was"), F.col("left")).otherwise(F.lit(0)))
         done = state.filter((F.col("left") <= enough) | (F.col("a") >= F.col("b")))
-        state = _written(done.unionByName(moved.drop("was")), "quantile-state")
+        state = written(done.unionByName(moved.drop("was")), "quantile-state")
 
     asked = state.withColumnsRenamed({n: f"s{n}" for n in names})
     values = (rows.join(asked, same & F.col("__v").between(F.col("a"), F.col("b")))
@@ -136,7 +136,7 @@ def quantile_so_far(df: DataFrame, src: str, q: float, out: str, *, keys: Sequen
                     "try_element_at(__edges, at + s) <= __v THEN at + s ELSE at END)")
     held = (known.join(edges, same).select(*of_chunk, "__v", bucket.alias("__b")).groupBy(*of_chunk, "__b")
             .agg(F.count("*").alias("__n"), F.collect_list("__v").alias("__x")))
-    held = _written(held, "quantile-buckets")
+    held = written(held, "quantile-buckets")
 
     counts = held.groupBy(*of_chunk).agg(F.sum("__n").alias("m"), F.map_from_entries(F.collect_list(F.struct("__b", "__n"))).alias("by"))
     counts = counts.selectExpr(*of_chunk, "m", f"transform(sequence(0, {size - 1}), b -> coalesce(by[b], 0L)) AS counts")

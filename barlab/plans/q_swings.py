@@ -8,9 +8,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from barlab import fixtures
-from barlab.functions import indicators as ind
 from barlab.operators import backtest as bt
-from barlab.operators import swings
+from barlab.operators import legs, swings, unbroken
 from barlab.plans import oracle_walk
 from barlab.plans.oracle import BARS_CTE, unbroken_ctes
 from barlab.plans.registry import register, rounded, sql_final
@@ -72,9 +71,8 @@ register("backtest_rolling", sql=oracle_walk.rolling_trades_sql(bt.RULE_D))(_tra
 
 # ---------------------------------------------------------------- F5 last leg
 def q_zigzag_last_leg(spark, sf):
-    one = ("symbol",)
-    b = ind.atr(ind.with_index(fixtures.bars(spark, sf), one), 14, "atr", keys=one)
-    leg = swings.last_leg(b, swings.LIVE.zz_atr_mult, keys=one)
+    leg = legs.last_leg(unbroken.atr(fixtures.bars(spark, sf)), swings.LIVE.zz_atr_mult)
+    leg = leg.withColumn("leg_dir", F.when(F.col("leg_way") > 0, "up").when(F.col("leg_way") < 0, "down"))
     return rounded(leg.select("symbol", "dt", "ts", "leg_dir", "leg_low", "leg_high"))
 
 

@@ -66,3 +66,21 @@ def test_sma_cross(spark, many):
         want = np.where((p <= 0) & (d > 0), "entry", np.where((p >= 0) & (d < 0), "exit", None))
         assert np.allclose(got["sma_s"].to_numpy(float), w, equal_nan=True)
         assert [x if isinstance(x, str) else None for x in got["signal"]] == want.tolist()
+
+
+@pytest.mark.parametrize("decimals,scale", [(None, 1.0), (0, 1.0), (1, 0.0), (None, 3.0)])
+def test_last_leg_whatever_the_chunks(spark, decimals, scale):
+    """Ties, thresholds of 0, wildly changing thresholds, chunks of one bar."""
+    from barlab.operators import legs
+    many = {f"s{k}": series(100 + k, n, cuts, decimals) for k, (n, cuts) in enumerate([(400, 0), (400, 20), (150, 149), (1, 0), (2, 1), (6, 3), (300, 60)])}
+    rng = np.random.default_rng(17)
+    atr = {g: rng.random(len(s[1])) * scale * (1 + 9 * (rng.random(len(s[1])) < 0.1)) * (rng.random(len(s[1])) < 0.9) for g, s in many.items()}
+    rows = [(g, int(s[0][i]), i, float(s[1][i]), float(s[2][i]), float(s[3][i]), float(atr[g][i])) for g, s in many.items() for i in range(len(s[1]))]
+    df = spark.createDataFrame(rows, SCHEMA + ", atr double").repartition(4)
+    out = legs.last_leg(df, 1.7)
+    assert out.columns == [*df.columns, "leg_way", "leg_low", "leg_high"]
+    for got, name in ((g, n) for (g, _), n in zip(by_symbol(out, many), many)):
+        way, lo, hi = zz.advance_legs(zz.LegState(), many[name][1], many[name][2], many[name][3], atr[name], 1.7)
+        assert got["leg_way"].tolist() == way.tolist(), name
+        np.testing.assert_array_equal(got["leg_low"].to_numpy(float), lo)
+        np.testing.assert_array_equal(got["leg_high"].to_numpy(float), hi)
