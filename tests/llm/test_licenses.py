@@ -91,3 +91,71 @@ def test_official_notices(spark):
     commented = ["".join(f" * {line.strip()}\n" for line in text.splitlines()) for _, text in NOTICES[:13]]
     got = [r["licenses"] for r in scanned(spark, *[text for _, text in NOTICES], *commented)]
     assert got == [name for name, _ in NOTICES] + [name for name, _ in NOTICES[:13]]
+
+
+BSD_FULL = """Copyright (c) 2015, {0}
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{1}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+CLAUSE = """
+3. Neither the name of {0} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+OLD_CLAUSE = """
+3. The name of the author may not be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+MIT_FULL = "MIT License\n\nCopyright (c) 2020 Someone. All rights reserved.\n\n" + MIT + """
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED.
+"""
+FULL = [
+    ("BSD-2-Clause", BSD_FULL.format("Jane Doe", "")), ("BSD-3-Clause", BSD_FULL.format("Jane Doe", CLAUSE.format("the copyright holder"))),
+    ("BSD-3-Clause", BSD_FULL.format("Some University", CLAUSE.format("the Some University, its Regents"))),
+    ("BSD-3-Clause", BSD_FULL.format("Jane Doe", OLD_CLAUSE)), ("MIT", MIT_FULL),
+    ("Apache-2.0", "Copyright 2019 The Authors. All Rights Reserved.\n\n" + APACHE),
+    ("Apache-2.0", "Licensed to the Apache Software Foundation (ASF) under one or more\ncontributor license agreements.  The ASF licenses this\n"
+     "file to You under the Apache License, Version 2.0 (the \"License\");\n" + APACHE.split("\n", 1)[1]),
+    ("GPL-2.0-only", GNU.format("program", ";", "", "", "2").replace("License as published", "License version 2 as published")
+     .replace("Foundation either version 2 of the License, or\n    (at your option) any later version.", "Foundation.")),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy it."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 "
+     "which is available at\nhttps://www.eclipse.org/legal/epl-2.0/\n\nMore."),
+    ("MIT", "// SPDX-License-Identifier: MIT\nint main() {}"), ("GPL-2.0-or-later", "/* SPDX-License-Identifier: GPL-2.0-or-later */"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty.\n\nPermission is granted to anyone to use this "
+     "software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following "
+     "restrictions:\n\n1. The origin must not be misrepresented."),
+    ("CC-BY-NC-SA-4.0", CC.format("-NonCommercial-ShareAlike")),
+]
+
+
+def test_unshortened_notices(spark):
+    restricted = [name for name, _ in FULL].index("CC-BY-NC-SA-4.0")
+    commented = [(n, "".join(f" * {line.strip()}\n" for line in t.splitlines())) for n, t in FULL[:6]]
+    got = scanned(spark, *[t for _, t in FULL + commented])
+    assert [r["licenses"] for r in got] == [n for n, _ in FULL + commented]
+    assert [k for k, r in enumerate(got) if r["restricted"]] == [restricted]
+
+
+def test_rights_reserved_restricts_only_alone(spark):
+    far = " ".join(f"Sentence number {k} says nothing." for k in range(30))
+    got = scanned(spark, "Prose.\nAll rights reserved.", "All rights reserved.\nReleased under the MIT License.",
+                  "Released under the MIT License. " + far + " All rights reserved.", "All rights reserved. All rights reserved.",
+                  "All rights reserved. All rights reserved. Released under the MIT License.",
+                  "All rights reserved. This program is free software.")
+    assert [r["licenses"] for r in got] == ["Proprietary", "MIT", "MIT,Proprietary", "Proprietary", "MIT", "Proprietary"]
+    assert [r["restricted"] for r in got] == [True, False, True, True, False, True]
