@@ -198,14 +198,37 @@ def training_order(plan: DataFrame, partitions: int | None = None) -> DataFrame:
     return spread.sortWithinPartitions(*keys)
 
 
-def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source") -> DataFrame:
     """The copies that ``plan`` takes, each a row of ``docs`` with all its columns
-    as they are, range-sorted by training position."""
-    by_row = plan.groupBy(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).agg(
+    as they are, range-sorted by training position.
+
+    A row is found by identifier, text and source.  Rows that agree in these share
+    the positions of their plan rows evenly, whatever else they differ in: rows are
+    told apart by a 64-bit hash of the other columns, equal rows are counted, and
+    each kind of row takes as many places in turn as it has rows.  No row is lost
+    and none meets all its likes in one task."""
+    key = [F.col(id_col).cast("long").alias("__gone"), text_key(text_col).alias("__key"), F.col(source_col).cast("string").alias("__source")]
+    by_row = plan.groupBy(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key"), F.col("source").alias("__source")).agg(
         F.array_sort(F.flatten(F.collect_list("positions"))).alias("__positions"), F.count("*").alias("__rows"))
     by_row = written(by_row, "mix-plan")
-    once = docs.dropDuplicates([id_col, text_col]) if by_row.filter("__rows > 1").limit(1).count() else docs
-    taken = once.join(by_row.filter(F.size("__positions") > 0), same_row(id_col, text_col))
+    rest = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
+    kind = F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+    same = same_row(id_col, text_col) & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+    once = docs
+    if by_row.filter("__rows > 1").limit(1).count():
+        kinds = docs.select(*key, kind.alias("__kind")).groupBy("__gone", "__key", "__source", "__kind").agg(F.count("*").alias("__n"))
+        w = Window.partitionBy("__gone", "__key", "__source").orderBy("__kind").rowsBetween(Window.unboundedPreceding, -1)
+        kinds = kinds.withColumn("__first", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+        kinds = kinds.withColumnsRenamed({c: f"{c}_k" for c in ("__gone", "__key", "__source")})
+        likes = (F.col("__gone").eqNullSafe(F.col("__gone_k")) & (F.col("__key") == F.col("__key_k"))
+                 & F.col("__source").eqNullSafe(F.col("__source_k")))
+        turn = lambda i: F.pmod(i, F.col("__rows"))
+        own = F.filter("__positions", lambda _, i: (turn(i) >= F.col("__first")) & (turn(i) < F.col("__first") + F.col("__n")))
+        by_row = by_row.join(kinds, likes).select("__gone", "__key", "__source", "__kind", own.alias("__positions"))
+        once = docs.dropDuplicates(docs.columns)
+        same &= kind == F.col("__kind")
+    taken = once.join(by_row.filter(F.size("__positions") > 0), same)
     copies = taken.select(*docs.columns, F.posexplode("__positions").alias("__epoch", "__position"))
     keys = ["__position", F.col(id_col).asc_nulls_last(), "__epoch"]
     return copies.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*docs.columns)

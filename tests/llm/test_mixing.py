@@ -113,3 +113,24 @@ def test_no_python_in_plan(small):
     for df in (training_order(curriculum_mix(small)), mixed_documents(small, curriculum_mix(small))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_that_share_identifier_and_text_stay_apart(spark):
+    """Two sources, two languages, repeated rows: each row's copies are its own."""
+    rows = [(1, "one two three", "en", "a", 1), (1, "one two three", "en", "b", 1), (1, "one two three", "de", "a", 1),
+            (1, "one two three", "de", "a", 1), (1, "one two three", None, None, None), (None, "x y", "en", "a", 2),
+            (None, "x y", "en", "a", 2), (None, "x y", "en", "b", 2), (2, "single row of a", "en", "a", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plan = curriculum_mix(docs)
+    want, got = {}, {}
+    for r in plan.collect():
+        key = (r["doc_id"], r["size"], r["source"])
+        want[key] = want.get(key, 0) + r["copies"]
+    mixed = [tuple(r) for r in mixed_documents(docs.repartition(4), plan).collect()]
+    assert set(mixed) <= set(rows)
+    for r in mixed:
+        key = (r[0], count(r[1]), r[3])
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    of_a = [r for r in mixed if r[0] == 1 and r[3] == "a"]
+    assert abs(sum(r[2] == "de" for r in of_a) * 1 - sum(r[2] == "en" for r in of_a) * 2) <= 2  # two rows of three
