@@ -50,6 +50,15 @@ def _hour_number(ts: Column) -> Column:
     return F.floor(F.unix_seconds(ts) / 3600)
 
 
+def quotes_from_events(events: DataFrame) -> DataFrame:
+    """Quotes ``symbol, ts, bid, ask, seq``: an event is a quote around its value,
+    ``k`` cents wide on either side; every 11th has no ask and every 13th is crossed."""
+    k = F.get_json_object("props", "$.k").cast("double") / 100
+    side = F.when(F.col("event_id") % 13 == 0, -k - 0.01).otherwise(k)
+    return events.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), (F.col("value") - side).alias("bid"),
+                         F.when(F.col("event_id") % 11 != 0, F.col("value") + side).alias("ask"), F.col("event_id").alias("seq"))
+
+
 def bronze_bars(b: DataFrame, with_duplicates: bool = True, with_nulls: bool = True) -> DataFrame:
     """Vendor-named bronze rows ``t,o,h,l,c,v,n,vw`` plus ``symbol, dt`` and an
     ingest sequence.  Duplicates: a later-ingested copy with a shifted close.

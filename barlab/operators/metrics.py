@@ -82,14 +82,22 @@ def summary_of(a: Column) -> list[Column]:
             (a["net"] / a["n"]).alias("expectancy"), (a["wins"] / a["n"] * 100.0).alias("win_pct"), a["dd"].alias("maxDD")]
 
 
-def _merged(trades: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``group`` and the merged metrics ``a`` of its trades."""
+def _day_rows(trades: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``group, dt`` and the metrics ``m`` of the day's trades."""
     day = trades.groupBy(*group, "dt").agg(F.sort_array(F.collect_list(F.struct("ts_in", "pnl_R"))).alias("t"))
-    days = day.select(*group, "dt", day_metrics(F.col("t")).alias("m")).groupBy(*group).agg(
-        F.sort_array(F.collect_list(F.struct("dt", "m"))).alias("days"))
+    return day.select(*group, "dt", day_metrics(F.col("t")).alias("m"))
+
+
+def _merged_days(days: DataFrame, group: Sequence[str]) -> DataFrame:
+    days = days.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("dt", "m"))).alias("days"))
     return days.select(*group, merged_days(F.col("days")).alias("a"))
 
 
+def _merged(trades: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``group`` and the merged metrics ``a`` of its trades."""
+    return _merged_days(_day_rows(trades, group), group)
+
+
 def trade_summary(trades: DataFrame, group: Sequence[str]) -> DataFrame:
     """n, wins, losses, netR, profit factor (inf without losses), maxDD,
     expectancy and win % per group (A9, A10)."""
@@ -97,19 +105,17 @@ def trade_summary(trades: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def summary_by_day_total(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Per-day rows and a total row per instrument in one grouping pass.
+    """Per-day rows and a total row per instrument.
 
-    Day rows take the drawdown inside the day, total rows the drawdown over
-    all days in (dt, ts_in) order."""
+    Each day is reduced once; day rows read its metrics (drawdown inside the day),
+    total rows merge the days in (dt, ts_in) order.  The largest group is a day's
+    trades or an instrument's days."""
     inst = list(instrument)
-    t = ind.drawdown_cols(trades, "pnl_R", keys=[*inst, "dt"], order=["ts_in"], prefix="d_")
-    t = ind.drawdown_cols(t, "pnl_R", keys=inst, order=["dt", "ts_in"], prefix="a_")
-    g = t.rollup(*inst, "dt").agg(
-        *summary_aggs(with_dd=False),
-        F.when(F.grouping("dt") == 1, F.min("a_dd")).otherwise(F.min("d_dd")).alias("maxDD"),
-        F.grouping("dt").alias("is_total"),
-        F.grouping(inst[0]).alias("_g0"))
-    return g.filter(F.col("_g0") == 0).drop("_g0")
+    days = _day_rows(trades, inst)
+    per_day = days.select(*inst, "dt", *summary_of(F.col("m")), F.lit(0).cast("tinyint").alias("is_total"))
+    total = _merged_days(days, inst).select(*inst, F.lit(None).cast(trades.schema["dt"].dataType).alias("dt"), *summary_of(F.col("a")),
+                                            F.lit(1).cast("tinyint").alias("is_total"))
+    return per_day.unionByName(total)
 
 
 def equity_daily(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -120,9 +126,18 @@ def equity_daily(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) ->
 
 
 def equity_trades(trades: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Cumulative R by trade in (dt, ts_in) order."""
-    w = Window.partitionBy(*group).orderBy("dt", "ts_in").rowsBetween(Window.unboundedPreceding, 0)
-    return trades.withColumn("cum_R", F.sum("pnl_R").over(w))
+    """Cumulative R by trade in (dt, ts_in) order (W14): the sum of the days
+    before, from a table of one row a day, and the running sum inside the day."""
+    days = trades.groupBy(*group, "dt").agg(F.sum("pnl_R").alias("__day"))
+    past = Window.partitionBy(*group).orderBy("dt").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(*[F.col(c).alias(f"__d_{c}") for c in (*group, "dt")],
+                       F.coalesce(F.sum("__day").over(past), F.lit(0.0)).alias("__before"))
+    same = F.lit(True)
+    for c in (*group, "dt"):
+        same &= F.col(c).eqNullSafe(F.col(f"__d_{c}"))
+    inside = Window.partitionBy(*group, "dt").orderBy("ts_in").rowsBetween(Window.unboundedPreceding, 0)
+    out = trades.join(days, same).withColumn("cum_R", F.col("__before") + F.sum("pnl_R").over(inside))
+    return out.drop("__before", *[f"__d_{c}" for c in (*group, "dt")])
 
 
 def run_summary(trades: DataFrame, instrument: Sequence[str] = ("symbol",)) -> DataFrame:

@@ -8,6 +8,8 @@ chunk.  A symbol that holds a third of all bars is as many chunks as it has days
 * :func:`with_previous`, :func:`with_halo`: the rows before a chunk's first one;
 * :func:`atr`, :func:`live_indicators`: smoothed indicators of the unbroken series.
 
+* :func:`as_of_join`, :func:`spread_features`: the last quote at or before a time.
+
 Order statistics of all values so far are in :mod:`barlab.operators.order_stats`.
 """
 
@@ -110,3 +112,50 @@ def live_indicators(bars: DataFrame, *, keys: Sequence[str] = SERIES, chunk: str
         *ind.rsi_smoothings("__up", "__dn", 14, "__au", "__ad"), ind.Smoothing("__tr", "atr", 1 / 14)],
         keys=keys, chunk=chunk, order=order)
     return df.withColumn("rsi", ind.rsi_of(F.col("__au"), F.col("__ad"), "fill50")).drop("__pc", "__up", "__dn", "__tr", "__au", "__ad")
+
+
+def as_of_join(left: DataFrame, right: DataFrame, cols: Sequence[str], *, on: str = "ts", right_on: str = "ts",
+               keys: Sequence[str] = SERIES, tie: Sequence[str] = ()) -> DataFrame:
+    """``left`` with ``cols`` of the last row of ``right`` of the same ``keys`` at or
+    before its time ``on``; NULL if there is none.  Of rows of ``right`` at one time
+    the last by ``tie`` counts; rows without a time are no rows of ``right``.
+
+    Both sides are dealt by key and day and swept in time order: inside a day the
+    last row seen so far is a running ``last``; what the days before leave behind
+    comes from a table of one row per key and day.  No join by range, and no window
+    over more than a key's day."""
+    of_day = [*keys, "__day"]
+    value = F.struct(*[F.col(c) for c in cols])
+    r = right.filter(F.col(right_on).isNotNull()).select(
+        *keys, F.to_date(right_on).alias("__day"), F.col(right_on).alias("__t"), F.lit(0).alias("__side"),
+        (F.struct(*tie) if tie else F.lit(0)).alias("__tie"), value.alias("__r"))
+    l = left.select(*keys, F.to_date(on).alias("__day"), F.col(on).alias("__t"), F.lit(1).alias("__side"),
+                    F.struct(*left.columns).alias("__l"))
+    last = r.groupBy(*of_day).agg(F.max_by("__r", F.struct("__t", "__tie")).alias("__last"))
+    days = last.unionByName(l.select(*of_day).distinct(), allowMissingColumns=True).groupBy(*of_day).agg(
+        F.max("__last").alias("__last"))  # one row a key and day, of either side
+    before = F.last("__last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1))
+    days = _renamed(days.select(*of_day, before.alias("__before")), of_day, "__b_")
+    both = r.unionByName(l, allowMissingColumns=True)
+    w = Window.partitionBy(*of_day).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    swept = both.withColumn("__seen", F.last("__r", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
+    out = swept.join(days, _same(of_day, "__b_")).withColumn(
+        "__found", F.when(F.col("__t").isNotNull(), F.coalesce("__seen", "__before")))
+    return out.select("__l.*", *[F.col("__found")[c].alias(c) for c in cols])
+
+
+def spread_features(bars: DataFrame, quotes: DataFrame, bar_seconds: int, n: int = 20) -> DataFrame:
+    """Adds the quote in force at each bar's end and what it says of trading costs
+    (G1): ``bid, ask, quote_ts, spread, mid, spread_bps`` (of the mid price),
+    ``quote_age`` in seconds, and ``spread_avg``, the mean spread of the session's
+    last ``n`` bars.  Quotes: ``symbol, ts, bid, ask`` and ``seq``, which orders
+    quotes of one time; a quote with a missing or crossed side is no quote."""
+    good = quotes.filter(F.col("bid").isNotNull() & F.col("ask").isNotNull() & (F.col("ask") >= F.col("bid")))
+    ends = bars.withColumn("__end", F.timestamp_seconds(F.unix_seconds("ts") + bar_seconds))
+    df = as_of_join(ends, good.withColumnRenamed("ts", "quote_ts"), ["bid", "ask", "quote_ts"], on="__end", right_on="quote_ts", tie=["seq"])
+    mid = (F.col("bid") + F.col("ask")) / 2
+    df = df.withColumns({"spread": F.col("ask") - F.col("bid"), "mid": mid,
+                         "spread_bps": F.try_divide(F.col("ask") - F.col("bid"), mid) * F.lit(10_000.0),
+                         "quote_age": F.unix_seconds("__end") - F.unix_seconds("quote_ts")})
+    last = ind.series_window().rowsBetween(1 - n, 0)
+    return df.withColumn("spread_avg", F.avg("spread").over(last)).drop("__end")

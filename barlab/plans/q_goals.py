@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barlab import fixtures
 from barlab.functions import indicators as ind
 from barlab.operators import unbroken
-from barlab.plans.oracle import SESSION, with_bars
+from barlab.plans.oracle import BARS_CTE, SESSION, with_bars
 from barlab.plans.registry import register, rounded, sql_final
 
 
@@ -65,6 +65,33 @@ register("sma_cross", sql=sql_final(with_bars(
     ["symbol", "ts", "sma_f", "sma_s", "signal"], ["sma_f", "sma_s"]))(q_sma_cross)
 
 
+# ---------------------------------------------------------------- G1
+_SPREAD = ["symbol", "ts", "close", "bid", "ask", "quote_ts", "spread", "mid", "spread_bps", "quote_age", "spread_avg"]
+_SPREAD_D = ["close", "bid", "ask", "spread", "mid", "spread_bps", "spread_avg"]
+
+
+def q_spread_features(spark, sf):
+    """Quote in force at the end of each minute bar, spread and its mean (G1)."""
+    quotes = fixtures.quotes_from_events(fixtures.table(spark, sf, "events"))
+    b = unbroken.spread_features(fixtures.bars(spark, sf, unit="minute"), quotes, bar_seconds=60)
+    return rounded(b.select(*_SPREAD))
+
+
+register("spread_features", sql=sql_final(
+    "WITH " + BARS_CTE.strip().replace("'hour'", "'minute'") + ", "
+    "v AS (SELECT event_type AS symbol, ts, event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS k FROM events), "
+    "s AS (SELECT *, CASE WHEN event_id % 13 = 0 THEN -k - 0.01 ELSE k END AS side FROM v), "
+    "p AS (SELECT symbol, ts, event_id, value - side AS bid, CASE WHEN event_id % 11 <> 0 THEN value + side END AS ask FROM s), "
+    "q AS (SELECT symbol, CAST(ts AS TIMESTAMP) AS quote_ts, arg_max(bid, event_id) AS bid, arg_max(ask, event_id) AS ask FROM p "
+    "WHERE ask >= bid GROUP BY symbol, ts), "
+    "e AS (SELECT symbol, ts, dt, close, CAST(ts AS TIMESTAMP) + INTERVAL 1 MINUTE AS bar_end FROM bars), "
+    "j AS (SELECT e.*, q.bid, q.ask, q.quote_ts FROM e ASOF LEFT JOIN q ON e.symbol = q.symbol AND q.quote_ts <= e.bar_end) "
+    "SELECT symbol, ts, close, bid, ask, quote_ts, ask - bid AS spread, (bid + ask) / 2 AS mid, "
+    "(ask - bid) / nullif((bid + ask) / 2, 0) * 10000 AS spread_bps, "
+    "CAST(floor(epoch(bar_end)) - floor(epoch(quote_ts)) AS BIGINT) AS quote_age, "
+    f"avg(ask - bid) OVER ({SESSION} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS spread_avg FROM j", _SPREAD, _SPREAD_D))(q_spread_features)
+
+
 # ---------------------------------------------------------------- G6
 def q_breakout(spark, sf, n: int = 20):
     """Close above the highest high of the previous ``n`` bars."""

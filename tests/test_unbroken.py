@@ -84,3 +84,23 @@ def test_last_leg_whatever_the_chunks(spark, decimals, scale):
         assert got["leg_way"].tolist() == way.tolist(), name
         np.testing.assert_array_equal(got["leg_low"].to_numpy(float), lo)
         np.testing.assert_array_equal(got["leg_high"].to_numpy(float), hi)
+
+
+def test_as_of_join(spark):
+    """Ties, days without quotes, symbols without quotes, rows without a time."""
+    import datetime as dt
+    rng = np.random.default_rng(21)
+    t0 = dt.datetime(2024, 3, 1)
+    at = lambda h: t0 + dt.timedelta(hours=int(h))
+    quotes = [(s, at(h), float(k), k) for s in ("a", "b", None) for k, h in enumerate(np.sort(rng.integers(30, 300, 40)))]
+    quotes += [("a", None, -1.0, 99)]
+    bars = [(s, at(h), k) for s in ("a", "b", "c", None) for k, h in enumerate(rng.permutation(400)[:150])] + [("a", None, 7)]
+    left = spark.createDataFrame(bars, "symbol string, ts timestamp, n int").repartition(3)
+    right = spark.createDataFrame(quotes, "symbol string, qt timestamp, bid double, seq int").repartition(3)
+    got = {(r["symbol"], r["ts"], r["n"]): (r["bid"], r["qt"]) for r in
+           unbroken.as_of_join(left, right, ["bid", "qt"], right_on="qt", tie=["seq"]).collect()}
+    assert len(got) == len(bars)
+    for s, t, n in bars:
+        seen = [(q, k, b) for g, q, b, k in quotes if g == s and q is not None and t is not None and q <= t]
+        want = max(seen) if seen else None
+        assert got[s, t, n] == ((want[2], want[0]) if want else (None, None)), (s, t)
