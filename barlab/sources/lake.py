@@ -85,6 +85,35 @@ def inventory(df: DataFrame, group: Sequence[str] = ("symbol",)) -> DataFrame:
         F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that answers counts, minima and maxima of
+    Parquet scans from file footers; the caller's session stays as it is."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def row_count(spark: SparkSession, path: str) -> DataFrame:
+    """``n_rows`` of a lake, from its footers."""
+    return footer_session(spark).read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def footer_inventory(spark: SparkSession, path: str, group: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Files, rows and first/last day per group without reading a column (S13):
+    rows per day folder come from the footers, files from the listing, days from
+    the folders' names."""
+    own = footer_session(spark)
+    rows = own.read.parquet(path)
+    # by all partition columns, which is what the scan can answer
+    rows = rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).groupBy(*group).agg(
+        F.sum("n").alias("n_rows"), F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))
+    files = (own.read.format("binaryFile").option("basePath", path).option("pathGlobFilter", "*.parquet").load(path)
+             .groupBy(*group).agg(F.count("path").alias("n_files")))
+    return rows.join(files, list(group)).select(*group, "n_files", "n_rows", "min_dt", "max_dt")
+
+
 #: Every time alias and the bar columns, with the partition columns.
 DRIFT_SCHEMA = T.StructType([
     *[T.StructField(c, T.TimestampType()) for c in TS_ALIASES],

@@ -105,3 +105,45 @@ def test_no_shared_folder_fails_off_one_machine():
                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="checkpoint"):
         ensure_checkpoint_dir(away)
+
+
+def test_unreadable_files_do_not_end_the_run(spark, tmp_path):
+    """A truncated archive, a truncated page, an empty file and good pages with line breaks."""
+    import datetime as dt
+    import gzip
+
+    from barlab.sources import ingest
+    good = '{"bars": [\n {"t": "2024-01-02T10:00:00Z", "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10}\n], "next_page_token": null}'
+    packed = gzip.compress((good * 200).encode())
+    files = {"symbol=A/dt=2024-01-02/page=0/part-0.json": good.encode(), "symbol=A/dt=2024-01-03/page=0/part-0.json.gz": packed[:len(packed) // 2],
+             "symbol=A/dt=2024-01-03/page=1/part-1.json.gz": gzip.compress(good.encode()), "symbol=B/dt=2024-01-02/page=0/part-0.json": good[:40].encode(),
+             "symbol=B/dt=2024-01-04/page=0/part-0.json": b'{"bars": null}', "symbol=B/dt=2024-01-04/page=0/notes.txt": b"no page"}
+    for name, data in files.items():
+        at = tmp_path / name
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(data)
+    landed = ingest.read_landed(spark, str(tmp_path), "part-*").cache()
+    assert landed.count() == 5 and landed.filter("body IS NULL").count() == 1
+    got = {(r["symbol"], r["dt"].day): (r["n_files"], r["n_failed"], r["n_bars"], r["status"]) for r in ingest.day_status(landed).collect()}
+    assert got == {("A", 2): (1, 0, 1, "ok"), ("A", 3): (2, 1, 1, "failed"), ("B", 2): (1, 1, 0, "failed"), ("B", 3): (0, 0, 0, "empty"),
+                   ("B", 4): (1, 0, 0, "empty")}
+    bars = ingest.ingest_bars_json(landed).collect()
+    assert len(bars) == 2 and {r["dt"] for r in bars} == {dt.date(2024, 1, 2)}
+
+
+def test_counts_come_from_footers(spark):
+    from barlab import fixtures
+    from barlab.operators import medallion
+    from barlab.session import scratch_dir
+    from barlab.sources import lake
+    from tests.conftest import SF_SMOKE
+    path = lake.write_lake(medallion.bronze_to_silver(fixtures.bronze_bars(fixtures.bars(spark, SF_SMOKE))), scratch_dir(spark, "footers"))
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    count, inventory = lake.row_count(spark, path), lake.footer_inventory(spark, path)
+    for df in (count, inventory):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan
+    scan = lake.scan(spark, path)
+    assert count.first()["n_rows"] == scan.count()
+    assert sorted(map(tuple, inventory.collect())) == sorted(map(tuple, lake.inventory(scan).collect()))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
