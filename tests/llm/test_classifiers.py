@@ -1,4 +1,7 @@
+import hashlib
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -200,3 +203,78 @@ def test_training_looks_at_whole_texts():
     net = q.train_cnn([(q.chunks_of(t), y) for t, y in texts], epochs=6)
     scores = [q.Scorer.of(net).score(q.Scorer.of(net).features(q.cut(t)).max(0)) for t, _ in texts]
     assert all((s >= 0.5) == bool(y) for s, (_, y) in zip(scores, texts))
+
+
+def plain_language(model, text):
+    """Language and score of a text word by word, n-gram by n-gram, from the model's tables."""
+    evidence = []
+    for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        if not any(c.isalpha() for c in word):
+            continue
+        if word in model.words:
+            evidence.append([float(x) for x in model.word_rows[model.words[word]]])
+            continue
+        padded, found = f"<{word}>", []
+        for start in range(len(padded)):
+            known = [padded[start:start + size] for size in range(model.max_gram, 0, -1) if padded[start:start + size] in model.grams]
+            found += known[:1]
+        rows = [model.gram_rows[model.grams[g]] for g in found]
+        evidence.append([sum(float(r[k]) for r in rows) / len(rows) if rows else 0.0 for k in range(len(model.languages))])
+    if not evidence or not model.languages:
+        return "und", 0.0
+    mean = [sum(e[k] for e in evidence) / len(evidence) * min(len(evidence), 10) for k in range(len(model.languages))]
+    best = max(range(len(mean)), key=lambda k: (mean[k], -k))
+    return model.languages[best], 1.0 / sum(math.exp(m - mean[best]) for m in mean)
+
+
+def test_language_equals_a_plain_scorer(spark, docs, edge):
+    model = fit_languages(docs)
+    texts = [r["text"] for r in docs.limit(150).collect()] + [r[1] for r in edge_rows()] + ["zzz " * 30_000, "x" * 500, "größe 12 ŁÓDŹ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in predict_language(df, model).collect()}
+    for k, text in enumerate(texts):
+        name, score = plain_language(model, text)
+        assert got[k][0] == name and abs(got[k][1] - score) < 1e-4, k
+
+
+def plain_toxicity(model, text):
+    found = set()
+    for word in set(re.findall(r"[^\W\d_]+", (text or "").lower())):
+        for key in {"=" + word} | {word[:n] for n in (4, 5, 6) if len(word) >= n}:
+            found.add(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(), "little", signed=True))
+    logit = model.bias + math.fsum(model.weights.get(h, 0.0) for h in found)
+    return 1.0 / (1.0 + math.exp(-min(30.0, max(-30.0, logit))))
+
+
+def test_toxicity_equals_a_plain_scorer(spark, docs, labels):
+    model = fit_toxicity(docs, labels)
+    texts = [r["text"] for r in docs.limit(300).collect()] + [r[1] for r in edge_rows()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in score_toxicity(df, model).collect():
+        want = plain_toxicity(model, texts[r["doc_id"]])
+        assert abs(r["score"] - want) < 1e-12 and r["predicted"] == int(r["score"] >= 0.3)
+
+
+def test_training_risk_is_the_non_negative_estimator():
+    """The trained weights lower the risk written out document by document."""
+    rng = np.random.default_rng(5)
+    n, features, prior = 300, 12, 0.25
+    toxic = rng.random(n) < prior
+    p = (toxic & (rng.random(n) < 0.6)).astype(float)
+    has = rng.random((n, features)) < np.where(toxic[:, None], 0.4, 0.1)
+
+    def risk(w, b):
+        on_p, on_u_negative, on_p_negative = [], [], []
+        for k in range(n):
+            z = sum(w[f] for f in range(features) if has[k, f]) + b
+            loss_pos, loss_neg = 1 / (1 + math.exp(z)), 1 / (1 + math.exp(-z))
+            on_u_negative.append(loss_neg)
+            if p[k]:
+                on_p.append(loss_pos)
+                on_p_negative.append(loss_neg)
+        mean = lambda x: sum(x) / len(x)
+        return prior * mean(on_p) + max(0.0, mean(on_u_negative) - prior * mean(on_p_negative))
+
+    doc_of, feature_of = np.nonzero(has)
+    w, b = nn_pu_train(doc_of, feature_of, p, np.ones(n), features, prior)
+    assert risk(w, b) < risk(np.full(features, 1.5), -2.0) and risk(w, b) < min(risk(np.zeros(features), -9.0), risk(np.zeros(features), 9.0))
