@@ -14,7 +14,7 @@ from barlab.operators import fib, medallion
 from barlab.plans.oracle import with_bars
 from barlab.plans.registry import register, rounded, sql_final
 from barlab.sources import ingest, lake
-from barlab.session import scratch_dir
+from barlab.session import exists, scratch_dir
 
 BAR6 = ["symbol", "ts", "open", "high", "low", "close", "volume"]
 BAR6_D = ["open", "high", "low", "close", "volume"]
@@ -47,7 +47,7 @@ def _lake(spark, sf, kind: str = "silver") -> str:
     """A lake written once per session and input folder under the shared
     checkpoint folder (the written table doubles as a lineage cut)."""
     key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _LAKES:
+    if key not in _LAKES or not exists(spark, _LAKES[key]):  # scratch folders may have been cleaned since
         path = scratch_dir(spark, f"lake-{kind}")
         if kind == "silver":
             lake.write_lake(_silver(spark, sf), path)

@@ -106,6 +106,12 @@ def clean_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder that was written is still there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def object_store_settings(endpoint: str, access_key: str, secret_key: str, *, path_style: bool = True,
                           ssl: bool | None = None, region: str | None = None) -> dict[str, str]:
     """``spark.hadoop.fs.s3a.*`` settings for an S3-compatible store.
