@@ -206,25 +206,27 @@ register("session_index", sql=with_bars(IDX_CTE) + " SELECT symbol, dt, ts, idx
 # ---------------------------------------------------------------- volatility gates, fills
 def q_vol_gate(spark, sf):
     """ATR >= 0.60-quantile of all ATR of the symbol so far, over the unbroken
-    series of minute bars (W18, A7)."""
-    b = unbroken.atr(fixtures.bars(spark, sf, unit="minute"))
+    series of hourly bars (W18, A7)."""
+    b = unbroken.atr(fixtures.bars(spark, sf))
     b = order_stats.quantile_so_far(b, "atr", 0.6, "atr_q60")
     b = b.withColumn("vol_ok", F.coalesce(F.col("atr") >= F.col("atr_q60"), F.lit(False)))
     return rounded(b.select("symbol", "ts", "atr", "atr_q60", "vol_ok"))
 
 
 def q_vol_gate_median(spark, sf):
-    """ATR >= 1.2 x median of all ATR of the symbol so far."""
+    """ATR >= 1.2 x median of all ATR of the symbol so far, over the unbroken
+    series of minute bars (W19, A8)."""
     b = unbroken.atr(fixtures.bars(spark, sf, unit="minute"))
     b = order_stats.quantile_so_far(b, "atr", 0.5, "atr_med")
     b = b.withColumn("vol_ok", F.coalesce(F.col("atr") >= F.lit(1.2) * F.col("atr_med"), F.lit(False)))
     return rounded(b.select("symbol", "ts", "atr", "atr_med", "vol_ok"))
 
 
+_HOURS = "WITH RECURSIVE " + ", ".join([BARS_CTE.strip(), *unbroken_ctes("bars")])
 _MINUTES = "WITH RECURSIVE " + ", ".join([BARS_CTE.strip().replace("'hour'", "'minute'"), *unbroken_ctes("bars")])
 _SO_FAR = "OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 register("vol_gate", sql=sql_final(
-    _MINUTES + f", q AS (SELECT *, quantile_cont(atr, 0.6) {_SO_FAR} AS atr_q60 FROM ind)"
+    _HOURS + f", q AS (SELECT *, quantile_cont(atr, 0.6) {_SO_FAR} AS atr_q60 FROM ind)"
     " SELECT symbol, ts, atr, atr_q60, coalesce(atr >= atr_q60, false) AS vol_ok FROM q",
     ["symbol", "ts", "atr", "atr_q60", "vol_ok"], ["atr", "atr_q60"]))(q_vol_gate)
 register("vol_gate_median", sql=sql_final(
