@@ -14,7 +14,7 @@ from tests.llm.test_decontaminate import brute as hit_brute
 def test_registered():
     got = E.queries()
     assert set(QUERIES) | {"pipeline"} <= set(got) and set(ORACLE_SQL) <= set(E.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
