@@ -77,7 +77,9 @@ def same_row(id_col: str, text_col: str) -> Column:
 
 def anti_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, limit: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows that ``gone`` (``__gone, __key``) names; it is
-    broadcast only if counting shows at most ``limit`` rows."""
+    broadcast only if counting shows at most ``limit`` rows.  ``gone`` is written
+    before it is counted, so what finds it runs once."""
+    gone = written(gone, "gone")
     few = gone.limit(limit + 1).count() <= limit
     return docs.join(F.broadcast(gone) if few else gone, same_row(id_col, text_col), "left_anti")
 

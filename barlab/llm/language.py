@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.llm.common import batch_of, held_out, short_batches, small_join
+from barlab.llm.common import batch_of, held_out, short_batches, small_join, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Evidence of an n-gram counts this much less for each character it is shorter than the longest (log scale).
@@ -69,7 +69,7 @@ class LanguageModel:
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language, chosen by a hash of the row;
     all rows of smaller ones."""
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("lang_rows"))
+    sizes = written(docs.groupBy("lang").agg(F.count("*").alias("lang_rows")), "language-sizes")
     unit = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return small_join(docs, sizes, "lang").filter(unit * F.col("lang_rows") < per_language).drop("lang_rows")
 

@@ -167,7 +167,7 @@ def _nudged(placed: DataFrame, with_targets, max_epochs: int) -> DataFrame:
             .agg(F.min(F.struct(miss.alias("miss"), "bucket", "row")).alias("best"), F.first("off").alias("off")))
     best = best.select("source", F.col("best.bucket").alias("b_bucket"), F.col("best.row").alias("b_row"),
                        F.signum("off").cast("int").alias("change"))
-    best = best.withColumnRenamed("source", "s_source")
+    best = written(best.withColumnRenamed("source", "s_source"), "mix-best")  # counted below, then joined
     hit = (F.col("source").eqNullSafe(F.col("s_source")) & (F.col("bucket") == F.col("b_bucket"))
            & (F.col("row") == F.col("b_row")))
     joined = placed.join(F.broadcast(best) if best.limit(100_001).count() <= 100_000 else best, hit, "left")
